@@ -37,15 +37,19 @@ def digest(high: Column, low: Column, rank: Column | None = None) -> Column:
     return word if rank is None else F.concat(word, F.when(rank > 0, F.concat(F.lit("-"), rank.cast("string"))).otherwise(""))
 
 
-def collisions(forms: DataFrame, keys: DataFrame) -> DataFrame:
+def hinted(keys: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """keys, to be broadcast if they are few; they must be written or checkpointed."""
+    return F.broadcast(keys) if keys.limit(most + 1).count() <= most else keys
+
+
+def collisions(forms, keys: DataFrame) -> DataFrame:
     """(h1, h2, form, rank) of all forms in buckets that hold different ones; hardly ever a row.
 
-    forms: h1, h2, form. keys: h1, h2 of any rows, from which buckets with more than one row are taken.
+    forms: a function that gives h1, h2, form of the rows whose bucket is in the table it gets. keys: h1, h2 of any rows, from which buckets with more than one row are taken.
     Each bucket's least and greatest forms are compared byte by byte, combined before they are shuffled.
     """
     shared = cut(keys.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2"))
-    small = shared.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    held = forms.join(F.broadcast(shared) if small else shared, ["h1", "h2"], "left_semi")
+    held = forms(shared)
     bounds = held.groupBy("h1", "h2").agg(F.min("form").alias("least"), F.max("form").alias("most")).filter(F.col("least") != F.col("most"))
     clash = cut(bounds.select("h1", "h2"))
     if clash.isEmpty():
@@ -64,7 +68,7 @@ def fingerprint_documents(df: DataFrame, text: str = "text", out: str = "fingerp
     a, b = wide_hash(F.col("__form"))
     hashed = hashed.withColumn("__h1", a).withColumn("__h2", b)
     forms = hashed.select(F.col("__h1").alias("h1"), F.col("__h2").alias("h2"), F.col("__form").alias("form"))
-    clash = collisions(forms, forms.select("h1", "h2"))
+    clash = collisions(lambda shared: forms.join(hinted(shared), ["h1", "h2"], "left_semi"), forms.select("h1", "h2"))
     if clash.isEmpty():
         return hashed.withColumn(out, digest(F.col("__h1"), F.col("__h2"))).drop("__form", "__h1", "__h2")
     named = clash.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("form").alias("__form"), F.col("rank").alias("__rank"))
@@ -97,20 +101,26 @@ def with_next(df: DataFrame, id_col: str, tie: str, columns: list[str], range_ro
     return dealt.withColumn("next", F.lead(F.struct(*columns)).over(w)).filter("__d.copy = 0").drop("__k", "__r", "__d")
 
 
+def edited_form(text: Column, following: Column) -> Column:
+    """The text with the last half of its code points replaced by the first as many (or all) of the following one."""
+    half = F.floor(F.char_length(text) / 2).cast("int")
+    return F.concat(F.substring(text, F.lit(1), F.char_length(text) - half), F.substring(following, F.lit(1), half))
+
+
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    half = F.floor(F.char_length("text") / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.char_length("text") - half), F.substring(F.col("next.text"), F.lit(1), half))
-    rows = with_next(docs, "doc_id", "tie", ["text"]).select("doc_id", "tie", "text", edited.alias("edited"))
-    own, new = canonical(F.col("text")), canonical(F.col("edited"))
-    formed = rows.select("doc_id", "tie", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), own.alias("form"), new.alias("edited_form"))
-    a, b = wide_hash(F.col("form"))
-    c, d = wide_hash(F.col("edited_form"))
-    hashed = formed.select("*", a.alias("h1"), b.alias("h2"), c.alias("e1"), d.alias("e2"))
-    narrow = cut(hashed.select("doc_id", "tie", "n_chars", "edited_sha256", "h1", "h2", "e1", "e2", F.sha2("form", 256).alias("s"), F.sha2("edited_form", 256).alias("es")))
+    rows = with_next(docs, "doc_id", "tie", ["doc_id", "tie", "text"])
+    rows = rows.select("doc_id", "tie", "text", edited_form(F.col("text"), F.col("next.text")).alias("edited"), F.col("next.doc_id").alias("next_id"), F.col("next.tie").alias("next_tie"))
+    own, new = wide_hash(F.col("form")), wide_hash(F.col("edited_form"))
+    formed = rows.select("*", canonical(F.col("text")).alias("form"), canonical(F.col("edited")).alias("edited_form"))
+    narrow = cut(
+        formed.select(
+            "doc_id", "tie", "next_id", "next_tie", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+            own[0].alias("h1"), own[1].alias("h2"), new[0].alias("e1"), new[1].alias("e2"), F.sha2("form", 256).alias("s"), F.sha2("edited_form", 256).alias("es"),
+        )
+    )
     keys = narrow.select("h1", "h2").unionAll(narrow.select("e1", "e2"))
-    forms = hashed.select(F.explode(F.array(F.struct("h1", "h2", "form"), F.struct(F.col("e1").alias("h1"), F.col("e2").alias("h2"), F.col("edited_form").alias("form")))).alias("x")).select("x.*")
-    clash = collisions(forms, keys)
+    clash = collisions(lambda shared: shared_forms(docs, narrow, shared), keys)
     if clash.isEmpty():
         prints = narrow.select("*", digest(F.col("h1"), F.col("h2")).alias("fingerprint"), digest(F.col("e1"), F.col("e2")).alias("edited_fingerprint"))
     else:
@@ -121,3 +131,15 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = prints.select("doc_id", "tie", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint")
     same = lambda other: (F.col("fingerprint") == F.col(other)).cast("double")
     return with_next(prints, "doc_id", "tie", ["fingerprint"]).select("*", same("edited_fingerprint").alias("near_edited"), same("next.fingerprint").alias("near_next")).drop("next", "tie")
+
+
+def shared_forms(docs: DataFrame, narrow: DataFrame, shared: DataFrame) -> DataFrame:
+    """h1, h2 and form of the documents and edited texts whose hashes are in `shared`. Only texts that these are made of are moved."""
+    owners = narrow.join(hinted(shared), ["h1", "h2"], "left_semi").select("doc_id", "tie").distinct()
+    edits = narrow.join(hinted(shared.toDF("e1", "e2")), ["e1", "e2"], "left_semi").select("doc_id", "tie", "next_id", "next_tie").distinct()
+    wanted = cut(owners.unionAll(edits.select("doc_id", "tie")).unionAll(edits.select("next_id", "next_tie")).distinct())
+    texts = cut(docs.join(hinted(wanted), ["doc_id", "tie"], "left_semi").dropDuplicates(["doc_id", "tie"]))
+    after = texts.select(F.col("doc_id").alias("next_id"), F.col("tie").alias("next_tie"), F.col("text").alias("next_text"))
+    bodies = owners.join(texts, ["doc_id", "tie"]).select("text").unionAll(edits.join(texts, ["doc_id", "tie"]).join(after, ["next_id", "next_tie"]).select(edited_form(F.col("text"), F.col("next_text"))))
+    a, b = wide_hash(F.col("form"))
+    return bodies.select(canonical(F.col("text")).alias("form")).select(a.alias("h1"), b.alias("h2"), "form")
