@@ -155,15 +155,28 @@ def near_links(prints: DataFrame, radius: int = RADIUS, unit: int = UNIT, blocks
 
 
 def near_components(printed: DataFrame, id_col: str = "doc_id", radius: int = RADIUS, unit: int = UNIT) -> DataFrame:
-    """(fingerprint, component_id) for each distinct fingerprint of `printed`: the smallest id whose fingerprint it reaches by steps of at most `radius` bits."""
+    """(fingerprint, root, component_id) for each distinct fingerprint of `printed`: the least fingerprint, and the smallest id of any, that it reaches by steps of at most `radius` bits."""
     first = cut(printed.groupBy("fingerprint").agg(F.min(id_col).alias("first")))
     roots = components(near_links(first.select("fingerprint"), radius, unit), "a", "b")
     linked = first.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    return linked.join(least, "root").select("fingerprint", "component_id")
+    return linked.join(least, "root").select("fingerprint", "root", "component_id")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     printed = cut(fingerprints(documents(spark, sf_dir).select("doc_id", "text")))
-    found = printed.join(near_components(printed), "fingerprint")
+    found = printed.join(near_components(printed).drop("root"), "fingerprint")
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of docs without near-duplicates: of each component the row of the smallest id stays (of equal ids, the least fingerprint; of repeated rows, one). Null ids come last.
+
+    Texts are hashed twice rather than stored twice; only the rows that may stay are shuffled with their text.
+    """
+    printed = cut(fingerprints(docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").alias("__text")), "__text", words=words).drop("__text"))
+    joined = printed.join(near_components(printed, "__id", radius).drop("component_id"), "fingerprint")
+    first = joined.groupBy("root").agg(F.min(F.struct(F.col("__id").isNull().alias("void"), F.col("__id").alias("id"), F.col("fingerprint").alias("print"))).alias("k")).select("k.id", "k.print")
+    marked = fingerprints(docs, text, "__print", words)
+    kept = marked.join(first, marked[id_col].eqNullSafe(first["id"]) & (marked["__print"] == first["print"]), "left_semi")
+    return kept.dropDuplicates([id_col, "__print"]).drop("__print")
