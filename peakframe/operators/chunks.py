@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peakframe.operators.ordering import placed
+
 #: Values that one chunk holds at most, so that no signature, however common, becomes one row.
 CHUNK = 100_000
 
@@ -26,11 +28,5 @@ def unpack(chunks: DataFrame) -> DataFrame:
 
 
 def with_ids(chunks: DataFrame, keys: list[str]) -> DataFrame:
-    """Ids by order of the keys. Chunks are few (one for up to CHUNK values); ids are dealt in ranges of keys: a count for each range, then positions inside."""
-    ranged = chunks.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id())
-    from pyspark.sql import Window
-
-    sized = ranged.groupBy("__p").agg(F.count("*").alias("k"))
-    first = sized.withColumn("before", F.coalesce(F.sum("k").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("k")
-    place = F.row_number().over(Window.partitionBy("__p").orderBy(*keys))
-    return ranged.join(F.broadcast(first), "__p").withColumn("id", F.col("before") + place).drop("__p", "before")
+    """Ids from 1 in the order of the keys."""
+    return placed(chunks, keys, "__place").withColumn("id", F.col("__place") + 1).drop("__place")

@@ -46,9 +46,9 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def odd_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog rows whose URLs are of neither kind, or of both: one of each for each nation."""
-    nations = table(spark, sf_dir, "nation")
     shapes = F.explode(F.array(F.lit("root://store.example/opendata/x"), F.lit("root://store.example/mc20_a/data16_b/x")))
-    return nations.select(F.lit("1995r-pp").alias("release"), (-F.col("n_nationkey").cast("long") - 1).alias("pos"), F.concat(shapes, F.col("n_nationkey").cast("string"), F.lit(".root")).alias("url"))
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", shapes.alias("shape"))
+    return nations.select(F.lit("1995r-pp").alias("release"), (-F.col("n_nationkey").cast("long") - 1).alias("pos"), F.concat("shape", F.col("n_nationkey").cast("string"), F.lit(".root")).alias("url"))
 
 
 def array_values(spark: SparkSession, sf_dir: str) -> DataFrame:
