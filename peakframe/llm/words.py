@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import hashlib
 import json
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 
 #: Entries of the memo of words that a worker keeps; when it is full it starts anew.
 MEMO = 1_000_000
+#: Texts whose words are looked up together.
+GROUP = 256
 #: What Python and the library surely treat alike: letters up to here are letters to both, and composed.
 PLAIN_END = "ɐ"
 ENDS = ".,;:!?"
@@ -53,7 +56,7 @@ class JsonTokenizer:
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Put white-space-free words into the memo. Most are a core of letters with one mark behind; cores are encoded many at a time."""
         if len(self.memo) + len(words) > MEMO:
             self.memo.clear()
@@ -67,10 +70,10 @@ class JsonTokenizer:
                 split.append((w, core.lower(), end))
             else:
                 other.append(w)
-        new = sorted({x for _, core, end in split for x in (core, end) if x and x not in self.cores})
-        for i in range(0, len(new), 2000):
-            part = new[i : i + 2000]
-            ids = np.frombuffer(self.raw([" ".join(part)])[0], dtype="<u4")
+        new = sorted({x for _, core, end in split for x in (core, end) if x}.difference(self.cores))
+        for i in range(0, len(new), 20_000):
+            part = new[i : i + 20_000]
+            ids = np.frombuffer(b"".join(self.raw([" ".join(part[j : j + 500]) for j in range(0, len(part), 500)])), dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part):  # not as foreseen: one at a time
                 self.cores.update(zip(part, self.raw(part), strict=True))
@@ -87,20 +90,22 @@ class JsonTokenizer:
         if not self.by_word:
             return self.raw(texts)
         out: list[bytes] = []
-        for text in texts:
-            words = text.split()
-            while True:
-                try:
-                    out.append(b"".join([self.memo[w] for w in words]))
-                    break
-                except KeyError:
-                    if len(set(words)) > MEMO:
-                        out += self.raw([text])
-                        break
-                    self.learn([w for w in set(words) if w not in self.memo])
-                    missing = [w for w in set(words) if w not in self.memo]  # gone when the memo started anew
-                    if missing:
-                        self.learn(missing)
+        for a in range(0, len(texts), GROUP):
+            group = texts[a : a + GROUP]
+            split = [t.split() for t in group]
+            distinct = set(chain.from_iterable(split))
+            if len(distinct) > MEMO:
+                out += self.raw(group)
+                continue
+            for _ in range(2):  # the second time only if the memo was full and started anew
+                if missing := distinct.difference(self.memo):
+                    self.learn(missing)
+            memo = self.memo
+            got = [b"".join([memo[w] for w in words]) for words in split]
+            for i, t in enumerate(group):
+                if "\x1c" in t or "\x1d" in t or "\x1e" in t or "\x1f" in t:  # white space to Python only
+                    got[i] = self.raw([t])[0]
+            out += got
         return out
 
 
