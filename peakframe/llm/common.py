@@ -19,6 +19,17 @@ from pyspark.sql.pandas.types import to_arrow_schema
 SLICE_CHARS = 8_000_000
 
 
+_kept: dict = {}
+
+
+def kept(key: str, make: Callable[[], object]):
+    """What make() gives, remembered by this Python process until another key is asked for: workers keep it from task to task."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def ship(spark: SparkSession) -> None:
     """Give executors this package, once per application."""
     sc = spark.sparkContext

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakframe.llm.common import documents, row_map, ship
+from peakframe.llm.common import documents, kept, row_map, ship
 
 #: Hash buckets of n-grams: the model is a table of this many rows and a column for each language, whatever the corpus.
 BUCKETS = 1 << 16
@@ -223,10 +224,10 @@ def identify(df: DataFrame, model: Model, text: str = "text", spans: str | None
     Null, empty and letterless texts are `und` with score 0 and no runs; so are all if the model has no language. Columns with the new names are replaced.
     The model, a table of BUCKETS rows and at most MAX_LANGS columns, is broadcast.
     """
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    sent, key = df.sparkSession.sparkContext.broadcast(model), f"langid-{uuid.uuid4().hex}"
 
     def make():
-        labeller = Labeller(sent.value)
+        labeller = kept(key, lambda: Labeller(sent.value))
 
         def f(values):
             out: list[list] = [[], [], []]

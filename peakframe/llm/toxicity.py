@@ -8,9 +8,11 @@ by what they look like. A toxic text is a mixture of ordinary words with a small
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakframe.llm.common import cut, documents, row_map, ship
+from peakframe.llm.common import cut, documents, kept, row_map, ship
 
 #: Hash buckets of words and of n-grams of characters: the model has this size whatever the corpus.
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 20, 1 << 20
@@ -144,22 +146,21 @@ def tables(words: DataFrame):
 
 def likelihoods(df: DataFrame, model: Model, text: str, out: str) -> DataFrame:
     """df with the mean log-likelihood ratio of the words of `text` in `out`; 0 without words."""
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    sent, key = df.sparkSession.sparkContext.broadcast(model), f"toxicity-{uuid.uuid4().hex}"
 
     def make():
-        memo: dict[str, float] = {}
+        memo: dict[str, float] = kept(key, dict)
 
         def f(values):
-            got = []
-            for v in values:
-                words = WORD.findall((v or "").lower())
-                if missing := [w for w in dict.fromkeys(words) if w not in memo]:
-                    if len(memo) + len(missing) > MEMO:
-                        memo.clear()
-                        missing = list(dict.fromkeys(words))
-                    memo.update(zip(missing, sent.value.ratios(missing).tolist(), strict=True))
-                got.append(sum([memo[w] for w in words]) / len(words) if words else 0.0)
-            return [got]
+            split = [WORD.findall((v or "").lower()) for v in values]
+            missing = set(chain.from_iterable(split)).difference(memo)
+            if len(memo) + len(missing) > MEMO:
+                memo.clear()
+                missing = set(chain.from_iterable(split))
+            words = sorted(missing)
+            for i in range(0, len(words), 20_000):
+                memo.update(zip(words[i : i + 20_000], sent.value.ratios(words[i : i + 20_000]).tolist(), strict=True))
+            return [[sum([memo[w] for w in ws]) / len(ws) if ws else 0.0 for ws in split]]
 
         return f
 
@@ -190,9 +191,9 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", held: str
     rows_ = labelled.filter(F.col(label).isNotNull())
     words = cut(counted_words(rows_.filter(~F.col(held)), text, label))
     model = Model(*tables(words))
-    kept = rows_.filter(held)
-    share = min(1.0, rows / max(1, kept.count()))
-    chosen = kept.filter(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else kept
+    apart = rows_.filter(held)
+    share = min(1.0, rows / max(1, apart.count()))
+    chosen = apart.filter(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else apart
     scored = likelihoods(chosen.select(text, F.col(label).cast("double").alias("y")), model, text, "x").select("x", "y").toPandas()
     model.slope, model.offset = fitted_line(scored["x"].to_numpy(dtype=float), scored["y"].to_numpy(dtype=float))
     return model
