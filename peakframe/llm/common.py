@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,19 @@ def kept(key: str, make: Callable[[], object]):
     return _kept[key]
 
 
+def mixed_hash(columns: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of each row of unsigned columns."""
+    h = np.full(len(columns[0]), 0x9E3779B97F4A7C15, dtype=np.uint64)
+    for c in columns:
+        h = (h ^ c.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
 def ship(spark: SparkSession) -> None:
     """Give executors this package, once per application."""
     sc = spark.sparkContext

@@ -5,9 +5,9 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakframe.llm.common import documents, kept, row_map, ship
+from peakframe.llm.common import code_points, documents, kept, mixed_hash, row_map, ship
 
 #: Hash buckets of n-grams: the model is a table of this many rows and a column for each language, whatever the corpus.
 BUCKETS = 1 << 16
@@ -24,7 +24,9 @@ FIT_ROWS = 10_000
 #: Most languages that a model may have.
 MAX_LANGS = 500
 #: What a change of language costs, in the units of a word's score, and what an n-gram weighs in it.
-SWITCH, WEIGHT = 12.0, 0.3
+SWITCH, WEIGHT = 20.0, 0.3
+#: Texts whose words are looked up together.
+GROUP = 256
 #: Words that a worker remembers; when full it starts anew.
 MEMO = 400_000
 
@@ -48,18 +50,28 @@ def core(word: str) -> str:
     return word[m.start() : end].lower()
 
 
-def script(word: str) -> int:
-    """Number of the script of the first letter."""
-    m = LETTER.search(word)
-    return NUMBER[bisect_right(STARTS, ord(m[0] if m else word[0])) - 1]
+def scripts(words: list[str]) -> np.ndarray:
+    """Number of the script of each word's first character."""
+    first = code_points("".join([w[0] for w in words]))
+    return np.array(NUMBER)[np.searchsorted(STARTS, first, side="right") - 1]
 
 
-def features(word: str) -> list[int]:
-    """Buckets of the n-grams of 1 to 4 characters, of the whole word, and of its script (which stands behind the buckets)."""
-    w = f" {word} "
-    grams = {w[i : i + n] for n in (1, 2, 3, 4) for i in range(len(w) - n + 1)}
-    grams.add(f"={word}")
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in sorted(grams)] + [BUCKETS + script(word)]
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, place of the word) of the n-grams of 1 to 4 characters of each word between spaces, and of the whole word."""
+    codes = code_points(" " + " ".join(words) + " ")
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    begin = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])  # the space before each word
+    owner = np.repeat(np.arange(len(words)), sizes + 1)
+    end = (begin + sizes + 1)[owner]  # the space behind the word of each position
+    at = np.arange(len(owner))
+    buckets, places = [], []
+    for n in (1, 2, 3, 4):
+        p = at[(at + n - 1 <= end) & ((n > 1) | (at != begin[owner]))]
+        buckets.append(mixed_hash([codes[p + k] for k in range(n)]) % BUCKETS)
+        places.append(owner[p])
+    buckets.append(np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in words), dtype=np.uint64, count=len(words)))
+    places.append(np.arange(len(words)))
+    return np.concatenate(buckets).astype(np.int64), np.concatenate(places)
 
 
 def fold(id_col: str, n: int):
@@ -73,7 +85,7 @@ class Model:
         self.languages = languages
         grams, scripts = counts[:BUCKETS], counts[BUCKETS:]
         logs = np.log(grams + 0.5) - np.log(grams.sum(axis=0) + 0.5 * BUCKETS)
-        self.logs = (WEIGHT * (logs - logs.mean(axis=1, keepdims=True))).astype(np.float32)
+        self.logs = (WEIGHT * (logs - logs.sum(axis=1, keepdims=True) / max(1, len(languages)))).astype(np.float32)
         self.allowed = scripts > 1e-3 * scripts.sum(axis=0)
 
 
@@ -102,10 +114,12 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "do
                 for w, n in counted.items():
                     cores[core(w)] += n
                 cores.pop("", None)
-                got = [features(w) for w in cores]
-                if got:
-                    weights = np.repeat(np.fromiter(cores.values(), dtype=np.float64), [len(g) for g in got])
-                    sums[k] = sums.get(k, 0) + np.bincount(np.concatenate(got), weights=weights, minlength=width)
+                if cores:
+                    names, weights = list(cores), np.fromiter(cores.values(), dtype=np.float64)
+                    buckets, places = features(names)
+                    x = np.bincount(buckets, weights=weights[places], minlength=width)
+                    x[BUCKETS:] += np.bincount(scripts(names), weights=weights, minlength=len(SCRIPTS))
+                    sums[k] = sums.get(k, 0) + x
         for k, x in sums.items():
             at = np.flatnonzero(x)
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(at)), pa.array(at), pa.array(x[at].astype(np.int64))], names=["l", "bucket", "n"])
@@ -130,7 +144,14 @@ class Labeller:
         self.table = np.zeros((1024, self.n), dtype=np.float32)
         self.lettered = np.zeros(1024, dtype=bool)
 
-    def learn(self, words: list[str]) -> None:
+    def know(self, words) -> None:
+        """Put all of the words into the memo; the second time only if it was full and started anew."""
+        distinct = set(words)
+        for _ in range(2):
+            if missing := distinct.difference(self.raw):
+                self.learn(missing)
+
+    def learn(self, words: set[str]) -> None:
         if len(self.raw) + len(words) > MEMO:
             self.reset()
         new: dict[str, int] = {}
@@ -144,15 +165,10 @@ class Labeller:
             return
         while len(self.table) < len(self.cores):
             self.table, self.lettered = np.concatenate([self.table, np.zeros_like(self.table)]), np.concatenate([self.lettered, np.zeros_like(self.lettered)])
-        got = [features(c) for c in new]
-        sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-        flat = np.concatenate(got)
-        last = np.cumsum(sizes) - 1
-        scripts = flat[last] - BUCKETS
-        grams = np.delete(flat, last)
-        starts = np.concatenate([[0], np.cumsum(sizes - 1)[:-1]])
-        scores = np.add.reduceat(self.model.logs[grams], starts, axis=0)
-        allowed = self.model.allowed[scripts]
+        names = list(new)
+        buckets, places = features(names)
+        scores = np.stack([np.bincount(places, weights=self.model.logs[buckets, k], minlength=len(names)) for k in range(self.n)], axis=1)
+        allowed = self.model.allowed[scripts(names)]
         scores = np.where(allowed.any(axis=1, keepdims=True), np.where(allowed, scores, scores.min(axis=1, keepdims=True) - 30), 0)
         first = len(self.cores) - len(new)
         self.table[first : first + len(new)] = scores
@@ -179,20 +195,18 @@ class Labeller:
             out.append(state)
         return np.array(out[::-1])
 
-    def label(self, text: str):
+    def label(self, text: str, words: list[str] | None = None):
         """(language, score, indexes of languages by word, sizes of words) or None where no word has a letter."""
-        words = text.split()
+        if not self.n:
+            return None
+        words = text.split() if words is None else words
         try:
-            at = [self.raw[w] for w in words]
+            at = np.array([self.raw[w] for w in words], dtype=np.int64)
         except KeyError:
-            distinct = set(words)
-            self.learn([w for w in distinct if w not in self.raw])
-            if missing := [w for w in distinct if w not in self.raw]:  # gone when the memo started anew
-                self.learn(missing)
-            at = [self.raw[w] for w in words]
-        at = np.array(at, dtype=np.int64)
+            self.know(words)
+            at = np.array([self.raw[w] for w in words], dtype=np.int64)
         lettered = self.lettered[at] if len(at) else np.zeros(0, dtype=bool)
-        if not lettered.any() or not self.n:
+        if not lettered.any():
             return None
         s = self.table[at]
         path = self.path(s)
@@ -231,8 +245,12 @@ def identify(df: DataFrame, model: Model, text: str = "text", spans: str | None
 
         def f(values):
             out: list[list] = [[], [], []]
-            for v in values:
-                got = labeller.label(v) if v else None
+            for i, v in enumerate(values):
+                if i % GROUP == 0:
+                    split = [(x or "").split() for x in values[i : i + GROUP]]
+                    if labeller.n:
+                        labeller.know(chain.from_iterable(split))
+                got = labeller.label(v, split[i % GROUP]) if v else None
                 out[0].append(got[0] if got else "und")
                 out[1].append(got[1] if got else 0.0)
                 if spans:

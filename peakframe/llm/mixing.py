@@ -95,10 +95,10 @@ s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w, source_size * 2.0::DOUBLE AS bound FROM s),
 l AS (SELECT *, bound / w AS level FROM w),
 a AS (SELECT *, (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS total,
-             sum(bound) OVER (ORDER BY level) + level * (sum(w) OVER () - sum(w) OVER (ORDER BY level)) AS at FROM l),
+             sum(bound) OVER (ORDER BY level) + level * (sum(w) OVER () - sum(w) OVER (ORDER BY level)) AS at_ FROM l),
 t AS (SELECT source, source_size,
-             CASE WHEN at <= total THEN bound
-                  ELSE w * ((total - sum(CASE WHEN at <= total THEN bound ELSE 0 END) OVER ()) / sum(CASE WHEN at <= total THEN 0 ELSE w END) OVER ()) END AS target FROM a),
+             CASE WHEN at_ <= total THEN bound
+                  ELSE w * ((total - sum(CASE WHEN at_ <= total THEN bound ELSE 0 END) OVER ()) / sum(CASE WHEN at_ <= total THEN 0 ELSE w END) OVER ()) END AS target FROM a),
 j AS (SELECT d.*, t.source_size, t.target, least(floor(t.target / nullif(t.source_size, 0)), 2) AS whole
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) - size AS reached FROM j)

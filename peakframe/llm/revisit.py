@@ -87,16 +87,16 @@ def op7_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = r"""
 WITH p AS (
-  SELECT page_id, url, (page_id * 10000) % 999983 AS at, md5(coalesce(html, '')) AS etag, coalesce(strlen(html), 0)::VARCHAR AS bytes,
+  SELECT page_id, url, (page_id * 10000) % 999983 AS at_, md5(coalesce(html, '')) AS etag, coalesce(strlen(html), 0)::VARCHAR AS bytes,
          regexp_replace(trim(url), '#.*$', '') AS plain FROM pages),
 k AS (
   SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(plain, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?]*)', 1)), '^(www|m)\.', ''), ':(80|443)$', '')
          || regexp_replace(regexp_extract(plain, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?]*([^?]*)', 1), '/+$', '') AS base,
          list_sort(list_filter(string_split(regexp_extract(plain, '\?(.*)$', 1), '&'), lambda q: q <> '' AND NOT regexp_matches(q, '^(?i)(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) AS kept FROM p),
-c AS (SELECT page_id, etag, bytes, at, CASE WHEN len(kept) > 0 THEN base || '?' || array_to_string(kept, '&') ELSE base END AS key FROM k),
-o AS (SELECT key, at AS ts, max(page_id) AS page_id FROM c GROUP BY key, at),
+c AS (SELECT page_id, etag, bytes, at_, CASE WHEN len(kept) > 0 THEN base || '?' || array_to_string(kept, '&') ELSE base END AS key FROM k),
+o AS (SELECT key, at_ AS ts, max(page_id) AS page_id FROM c GROUP BY key, at_),
 f AS (SELECT o.key, o.ts, o.page_id, c.etag, c.bytes FROM o JOIN c ON c.page_id = o.page_id),
-r AS (SELECT page_id * 4 + n AS record_id, key, at + n * 86400 AS ts, CASE WHEN page_id % 7 = 0 THEN NULL WHEN page_id % 11 = 0 THEN etag || '-new' ELSE etag END AS etag FROM c, (VALUES (1), (2), (3)) v(n)),
+r AS (SELECT page_id * 4 + n AS record_id, key, at_ + n * 86400 AS ts, CASE WHEN page_id % 7 = 0 THEN NULL WHEN page_id % 11 = 0 THEN etag || '-new' ELSE etag END AS etag FROM c, (VALUES (1), (2), (3)) v(n)),
 j AS (SELECT r.*, f.page_id AS opage, f.ts AS ots, f.etag AS oetag, f.bytes FROM r ASOF LEFT JOIN f ON r.key = f.key AND r.ts > f.ts),
 s AS (SELECT *, CASE WHEN opage IS NULL THEN 'no_original' WHEN etag <> oetag THEN 'mismatch' WHEN etag = oetag THEN 'resolved' ELSE 'unverified' END AS status FROM j)
 SELECT record_id, key, ts, opage * 4 AS original_id, ots AS original_ts, status, etag, 't' || ts::VARCHAR AS date,

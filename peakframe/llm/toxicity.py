@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakframe.llm.common import cut, documents, kept, row_map, ship
+from peakframe.llm.common import code_points, cut, documents, kept, mixed_hash, row_map, ship
 
 #: Hash buckets of words and of n-grams of characters: the model has this size whatever the corpus.
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 20, 1 << 20
@@ -35,6 +35,13 @@ BROADCAST_ROWS = 1_000_000
 #: Words that a worker remembers; when full it starts anew.
 MEMO = 500_000
 WORD = re.compile(r"\w+")
+#: What stands before and behind a word, so that each of its characters, and its end, has four before it.
+PAD, STOP = "\x02" * 4, "\x03"
+
+
+def slots(columns: list[np.ndarray], size: int) -> np.ndarray:
+    """Buckets of n-grams given by their columns of code points."""
+    return (mixed_hash(columns) % np.uint64(size)).astype(np.int64)
 
 
 def bucket(s: str, size: int) -> int:
@@ -48,7 +55,7 @@ def scaled(discount: float, n: np.ndarray) -> np.ndarray:
 
 def grams(word: str) -> list[str]:
     """The five characters that end at each character of the word and behind it."""
-    w = f"\x02\x02\x02\x02{word}\x03"
+    w = f"{PAD}{word}{STOP}"
     return [w[i : i + 5] for i in range(len(w) - 4)]
 
 
@@ -82,20 +89,20 @@ class Model:
 
     def ratios(self, words: list[str]) -> np.ndarray:
         """Log-likelihood ratio of each word, toxic against ordinary."""
-        got = [grams(w) for w in words]
-        flat = [g for x in got for g in x]
-        top = np.array([bucket(g, GRAM_BUCKETS) for g in flat])
-        context = np.array([bucket(g[:4], GRAM_BUCKETS) for g in flat])
-        pair = np.array([bucket(g[2:], GRAM_BUCKETS) for g in flat])
-        pair_context = np.array([bucket(g[2:4], GRAM_BUCKETS) for g in flat])
-        single = np.array([bucket(g[4], 1 << 16) for g in flat])
+        codes = code_points("".join([f"{PAD}{w}{STOP}" for w in words]))
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 5
+        stop = np.repeat(np.cumsum(sizes), sizes)
+        p = np.flatnonzero(np.arange(len(codes)) + 5 <= stop)
+        columns = [codes[p + k] for k in range(5)]
+        top, context = slots(columns, GRAM_BUCKETS), slots(columns[:4], GRAM_BUCKETS)
+        pair, pair_context, single = slots(columns[2:], GRAM_BUCKETS), slots(columns[2:4], GRAM_BUCKETS), slots(columns[4:], 1 << 16)
         d = SHARED_DISCOUNT
         p1 = (self.singles[single] + 0.5) / (self.singles.sum() + 0.5 * (1 << 16))
         total, kinds = self.pair_contexts[pair_context, 0], self.pair_contexts[pair_context, 1]
         p3 = np.where(total > 0, (np.maximum(self.pairs[pair] - d, 0) + d * kinds * p1) / np.maximum(total, 1), p1)
         sums, left = self.contexts[context][:, 0:2], self.contexts[context][:, 2:4]
         p5 = np.where(sums > 0, (self.tops[top] + (sums - left) * p3[:, None]) / np.maximum(sums, 1), p3[:, None])
-        starts = np.concatenate([[0], np.cumsum([len(x) for x in got])[:-1]])
+        starts = np.concatenate([[0], np.cumsum(sizes - 4)[:-1]])
         spelled = np.exp(np.add.reduceat(np.log(np.maximum(p5, 1e-12).astype(np.float64)), starts, axis=0))
         at = np.array([bucket(w, WORD_BUCKETS) for w in words])
         back = (1 - SPELLING) * self.shared[at][:, None] + SPELLING * np.maximum(spelled, 1e-60)
@@ -123,7 +130,19 @@ def tables(words: DataFrame):
     discounts = scaled(GRAM_DISCOUNT, np.array([float(x or 0) for x in found]))
     over = lambda c, d: F.greatest(F.col(c) - float(d), F.lit(0.0)).alias(f"left_{c}")
     third = top.groupBy(F.substring("g", 3, 3).alias("g")).agg(F.count("*").alias("n"))
-    slot = lambda c, size: F.pmod(F.crc32(c), F.lit(size)).alias("at")
+    at_word = F.pmod(F.crc32("word"), F.lit(WORD_BUCKETS)).alias("at")
+
+    def slotted(df: DataFrame, width: int, a: int, b: int, size: int) -> DataFrame:
+        """df with n-grams g, all of `width` characters, replaced by the buckets `at` of their characters a to b - 1."""
+        names = [c for c in df.columns if c != "g"]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                codes = code_points("".join(batch.column(0).to_pylist())).reshape(-1, width)
+                yield pa.RecordBatch.from_arrays([pa.array(slots([codes[:, k] for k in range(a, b)], size)), *batch.columns[1:]], names=["at", *names])
+
+        kinds = dict(df.dtypes)
+        return df.select("g", *names).mapInArrow(run, ", ".join(["at long", *[f"{n} {kinds[n]}" for n in names]]))
 
     def gathered(df: DataFrame, size: int) -> np.ndarray:
         """At most `size` rows: sums by bucket."""
@@ -133,13 +152,15 @@ def tables(words: DataFrame):
         out[got["at"].to_numpy(dtype=int)] = got[names].to_numpy(dtype=float)
         return out
 
+    both = top.select("g", "toxic", "ordinary")
+    split = top.select("g", "toxic", "ordinary", over("toxic", discounts[0]), over("ordinary", discounts[1]))
     return (
-        gathered(words.select(slot("word", WORD_BUCKETS), "toxic", "ordinary"), WORD_BUCKETS),
-        gathered(top.select(slot("g", GRAM_BUCKETS), "toxic", "ordinary"), GRAM_BUCKETS),
-        gathered(top.select(slot(F.substring("g", 1, 4), GRAM_BUCKETS), "toxic", "ordinary", over("toxic", discounts[0]), over("ordinary", discounts[1])), GRAM_BUCKETS),
-        gathered(third.select(slot("g", GRAM_BUCKETS), "n"), GRAM_BUCKETS)[:, 0],
-        gathered(third.select(slot(F.substring("g", 1, 2), GRAM_BUCKETS), "n", F.lit(1).alias("kinds")), GRAM_BUCKETS),
-        gathered(third.select(slot(F.substring("g", 3, 1), 1 << 16), F.lit(1).alias("n")), 1 << 16)[:, 0],
+        gathered(words.select(at_word, "toxic", "ordinary"), WORD_BUCKETS),
+        gathered(slotted(both, 5, 0, 5, GRAM_BUCKETS), GRAM_BUCKETS),
+        gathered(slotted(split, 5, 0, 4, GRAM_BUCKETS), GRAM_BUCKETS),
+        gathered(slotted(third.select("g", "n"), 3, 0, 3, GRAM_BUCKETS), GRAM_BUCKETS)[:, 0],
+        gathered(slotted(third.select("g", "n", F.lit(1).alias("kinds")), 3, 0, 2, GRAM_BUCKETS), GRAM_BUCKETS),
+        gathered(slotted(third.select("g", F.lit(1).alias("n")), 3, 2, 3, 1 << 16), 1 << 16)[:, 0],
         discounts,
     )
 
