@@ -15,6 +15,8 @@ from peakframe.llm.common import cut, documents
 BROADCAST_KEYS = 100_000
 #: Rows of a range of ids, in which neighbours are found.
 RANGE_ROWS = 20_000
+#: Most quantiles, and most ranges in each.
+CELLS, CUTS = 256, 512
 
 
 def canonical(text: Column) -> Column:
@@ -78,27 +80,37 @@ def fingerprint_documents(df: DataFrame, text: str = "text", out: str = "fingerp
 def with_next(df: DataFrame, id_col: str, tie: str, columns: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
     """df with `next`, a struct of `columns` of the row that follows in descending order of (id, tie); after the last comes the first.
 
-    Null ids come last. Rows are dealt by ranges of ids; the first rows of each range are also sent to the range before it, so no task sees all rows.
+    Null ids come last. Rows are dealt by ranges of ids: quantiles, each cut evenly, CELLS * CUTS ranges at most. The first rows of each range are also sent to the range before it, so
+    no task sees all rows; what is collected or broadcast is a row for each quantile or range.
     """
     key = F.coalesce(F.col(id_col), F.lit(-(2**63)))
-    ids = df.select(key.alias("k"))
-    n, most = ids.agg(F.count("*"), F.max("k")).first()
-    parts = max(1, -(-n // range_rows))
-    bounds = ids.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] if parts > 1 else []
-    bounds = sorted({b for b in bounds if b is not None})
-    # range 0 has the greatest ids; a row is in the range numbered by how many bounds exceed it
-    range_of = F.when(F.lit(not bounds), 0).otherwise(F.size(F.filter(F.array(*map(F.lit, bounds)) if bounds else F.array(F.lit(0)), lambda b: b > F.col("__k"))))
-    placed = df.withColumn("__k", key).withColumn("__r", range_of)
-    heads = dict(ids.withColumnRenamed("k", "__k").groupBy(range_of.alias("r")).agg(F.max("__k")).collect())  # a row for each range
-    order = sorted(heads)
-    before = {heads[r]: order[i - 1] for i, r in enumerate(order)}  # the range that a head also goes to; -1 wraps around
-    wraps = F.create_map(*[F.lit(x) for kv in before.items() for x in kv]) if before else F.create_map(F.lit(0), F.lit(0))
+    ids = df.select(key.alias("__k"))
+    n = ids.count()
+    if not n:
+        return df.withColumn("next", F.lit(None).cast(df.select(F.struct(*columns).alias("s")).schema["s"].dataType))
+    parts = -(-n // range_rows)
+    cells = min(CELLS, parts)
+    bounds = ids.agg(F.percentile_approx("__k", [i / cells for i in range(1, cells)], 20 * cells)).first()[0] if cells > 1 else []
+    bounds = sorted(set(bounds))
+    # cell 0 has the greatest ids: a row's cell is how many bounds exceed its id
+    cell = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b > F.col("__k"))) if bounds else F.lit(0)
+    held = {r["c"]: r for r in ids.groupBy(cell.alias("c")).agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count("*").alias("n")).collect()}
+    cuts = [min(CUTS, -(-held[c]["n"] // range_rows)) if c in held else 1 for c in range(len(bounds) + 1)]
+    tops = F.array(*[F.lit(float(held[c]["hi"]) if c in held else 0.0) for c in range(len(cuts))])
+    steps = F.array(*[F.lit((float(held[c]["hi"]) - float(held[c]["lo"])) / m or 1.0 if c in held else 1.0) for c, m in enumerate(cuts)])
+    last = F.array(*[F.lit(m - 1) for m in cuts])
+    at = F.col("__c") + 1
+    place = F.least(F.floor((F.element_at(tops, at) - F.col("__k").cast("double")) / F.element_at(steps, at)), F.element_at(last, at))
+    ranged = lambda d: d.withColumn("__c", cell).withColumn("__r", (F.col("__c") * CUTS + place).cast("int")).drop("__c")
+    heads = cut(ranged(ids).groupBy("__r").agg(F.max("__k").alias("__k")))  # a row for each range
+    before = F.coalesce(F.lag("__r").over(Window.orderBy("__r")), F.max("__r").over(Window.partitionBy()))  # the first head goes to the last range
+    marked = ranged(df.withColumn("__k", key)).join(F.broadcast(heads.withColumn("__b", before)), ["__r", "__k"], "left")
     # in a range: its own rows, then the copy of the next range's head
     own = F.struct(F.lit(0).alias("copy"), F.col("__r").alias("r"))
-    copies = F.when(F.element_at(wraps, F.col("__k")).isNotNull(), F.array(own, F.struct(F.lit(1).alias("copy"), F.element_at(wraps, F.col("__k")).alias("r")))).otherwise(F.array(own))
-    dealt = placed.withColumn("__d", F.explode(copies)).repartition(F.col("__d.r"))
+    copies = F.when(F.col("__b").isNotNull(), F.array(own, F.struct(F.lit(1).alias("copy"), F.col("__b").alias("r")))).otherwise(F.array(own))
+    dealt = marked.withColumn("__d", F.explode(copies)).repartition(F.col("__d.r"))
     w = Window.partitionBy("__d.r").orderBy("__d.copy", F.desc("__k"), F.desc_nulls_last(tie))
-    return dealt.withColumn("next", F.lead(F.struct(*columns)).over(w)).filter("__d.copy = 0").drop("__k", "__r", "__d")
+    return dealt.withColumn("next", F.lead(F.struct(*columns)).over(w)).filter("__d.copy = 0").drop("__k", "__r", "__b", "__d")
 
 
 def edited_form(text: Column, following: Column) -> Column:
