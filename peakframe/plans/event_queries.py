@@ -336,17 +336,17 @@ def signed_mass(spark, d):
     return v.select("event_id", L.signed_mass(L.total(F.col("all"))).alias("q")).filter(F.abs("q") > 1).select("event_id", (F.round("q", 1) + 0.0).alias("m_mev"))
 
 
-@query("particle_mass_assign", f"WITH {SQL_K} SELECT ptype, count(*) AS n, round(sum(CASE WHEN event_id % 2 = 0 THEN mass ELSE {_M0} END), 4) AS total FROM k GROUP BY ptype")
+@query("particle_mass_assign", f"WITH {SQL_K} SELECT ptype, count(*) AS n, round(sum(CASE WHEN event_id % 2 = 0 THEN mass ELSE {_M0} END), 6) AS total FROM k GROUP BY ptype")
 def particle_mass_assign(spark, d):
     stored = lambda p: F.when(F.col("event_id") % 2 == 0, p["mass"])
     rows = typed(cut_events(spark, d), lambda p, t: L.particle_mass(stored(p), t).alias("m"))
-    return rows.groupBy("x.ptype").agg(F.count("*").alias("n"), F.round(F.sum("x.m"), 4).alias("total"))
+    return rows.groupBy("x.ptype").agg(F.count("*").alias("n"), F.round(F.sum("x.m"), 6).alias("total"))
 
 
-@query("mev_to_gev", f"WITH {SQL_K} SELECT ptype, round(sum(pt * 1e-3), 3) AS gev FROM k GROUP BY ptype")
+@query("mev_to_gev", f"WITH {SQL_K} SELECT ptype, round(sum(pt * 1e-3), 5) AS gev FROM k GROUP BY ptype")
 def mev_to_gev(spark, d):
     rows = typed(cut_events(spark, d), lambda p, t: L.mev_to_gev(p["pt"]).alias("gev"))
-    return rows.groupBy("x.ptype").agg(F.round(F.sum("x.gev"), 3).alias("gev"))
+    return rows.groupBy("x.ptype").agg(F.round(F.sum("x.gev"), 5).alias("gev"))
 
 
 @query("mass_spectrum", f"WITH {sql_masses()} SELECT fs, im, source_file, event_id, m FROM mass")
@@ -354,10 +354,10 @@ def mass_spectrum(spark, d):
     return M.mass_spectrum(cut_events(spark, d), combos(spark))
 
 
-@query("mass_spectrum_subleading", f"WITH {sql_masses(1)} SELECT fs, im, count(*) AS n, round(sum(m), 2) AS total FROM mass GROUP BY fs, im")
+@query("mass_spectrum_subleading", f"WITH {sql_masses(1)} SELECT fs, im, count(*) AS n, round(sum(m), 6) AS total FROM mass GROUP BY fs, im")
 def mass_spectrum_subleading(spark, d):
     found = M.mass_spectrum(cut_events(spark, d), combos(spark, subleading=1))
-    return found.groupBy("fs", "im").agg(F.count("*").alias("n"), F.round(F.sum("m"), 2).alias("total"))
+    return found.groupBy("fs", "im").agg(F.count("*").alias("n"), F.round(F.sum("m"), 6).alias("total"))
 
 
 @query("mass_nonempty", f"WITH {sql_masses()}, t AS (SELECT fs, im, CASE WHEN length(im) > 4 THEN m ELSE 0 END AS m FROM mass) SELECT fs, im, count(*) AS n FROM t GROUP BY fs, im HAVING bool_or(m <> 0)")
@@ -410,15 +410,15 @@ def hist_counts(spark, d):
     return P.bin_counts(masses(spark, d)).select("fs", "im", "bin", "cnt")
 
 
-@query("gen_edges", f"WITH {sql_masses()}, {sql_bins('a', 'mass')}, i AS (SELECT *, unnest(range(0, nb + 1)) AS i FROM ar) SELECT fs, im, i, round({_EDGE.format(i='i')}, 6) AS edge FROM i WHERE nb > 0")
+@query("gen_edges", f"WITH {sql_masses()}, {sql_bins('a', 'mass')}, i AS (SELECT *, unnest(range(0, nb + 1)) AS i FROM ar) SELECT fs, im, i, {_EDGE.format(i='i')} AS edge FROM i WHERE nb > 0")
 def gen_edges(spark, d):
     r = P.ranges(masses(spark, d)).filter("nb > 0").withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb"))))
-    return r.select("fs", "im", "i", F.round(L.edge(F.col("lo"), F.col("hi"), F.col("nb"), F.col("i")), 6).alias("edge"))
+    return r.select("fs", "im", "i", L.edge(F.col("lo"), F.col("hi"), F.col("nb"), F.col("i")).alias("edge"))
 
 
-@query("rightmost_peak_bin", f"WITH {sql_masses()}, {sql_bins('a', 'mass')}, {SQL_PEAK} SELECT fs, im, peak_bin, peak_cnt, round(peak, 6) AS peak FROM pk")
+@query("rightmost_peak_bin", f"WITH {sql_masses()}, {sql_bins('a', 'mass')}, {SQL_PEAK} SELECT fs, im, peak_bin, peak_cnt, peak FROM pk")
 def rightmost_peak_bin(spark, d):
-    return P.peaks(P.bin_counts(masses(spark, d))).withColumn("peak", F.round("peak", 6))
+    return P.peaks(P.bin_counts(masses(spark, d)))
 
 
 @query("peak_cut", f"WITH {SQL_CUT} SELECT fs, im, event_id, m FROM kept")
@@ -426,9 +426,9 @@ def peak_cut(spark, d):
     return P.peak_cut(masses(spark, d)).select("fs", "im", "event_id", "m")
 
 
-@query("first_empty_bin", f"WITH {SQL_CUT}, {SQL_GAP} SELECT fs, im, gap_bin, round(gap, 6) AS gap FROM gp")
+@query("first_empty_bin", f"WITH {SQL_CUT}, {SQL_GAP} SELECT fs, im, gap_bin, gap FROM gp")
 def first_empty_bin(spark, d):
-    return P.first_gaps(P.bin_counts(P.peak_cut(masses(spark, d)))).withColumn("gap", F.round("gap", 6))
+    return P.first_gaps(P.bin_counts(P.peak_cut(masses(spark, d))))
 
 
 @query("tail_split", f"WITH {SQL_SPLIT} SELECT fs, im, part, count(*) AS n, min(m) AS lo, max(m) AS hi FROM parts GROUP BY fs, im, part")

@@ -86,17 +86,17 @@ def union_signatures(spark, d):
     return v.filter("shard < 2").select("signature").union(v.filter("shard >= 1").select("signature")).distinct()
 
 
-@query("union_batches", f"WITH {V} SELECT shard, count(*) AS n, round(sum(m), 3) AS total, count(extra) AS extras FROM (SELECT shard, m, NULL::INT AS extra FROM vals WHERE shard = 0 UNION ALL SELECT shard, m, 1 FROM vals WHERE shard > 0) GROUP BY shard")
+@query("union_batches", f"WITH {V} SELECT shard, count(*) AS n, round(sum(m), 5) AS total, count(extra) AS extras FROM (SELECT shard, m, NULL::INT AS extra FROM vals WHERE shard = 0 UNION ALL SELECT shard, m, 1 FROM vals WHERE shard > 0) GROUP BY shard")
 def union_batches(spark, d):
     v = X.array_values(spark, d).select("shard", "m")
     both = v.filter("shard = 0").unionByName(v.filter("shard > 0").withColumn("extra", F.lit(1)), allowMissingColumns=True)
-    return both.groupBy("shard").agg(F.count("*").alias("n"), F.round(F.sum("m"), 3).alias("total"), F.count("extra").alias("extras"))
+    return both.groupBy("shard").agg(F.count("*").alias("n"), F.round(F.sum("m"), 5).alias("total"), F.count("extra").alias("extras"))
 
 
 # --- chunks ----------------------------------------------------------------------------------------------------------
-@query("chunk_pack", f"WITH {CHUNKS} SELECT shard, signature, n_entries, round(list_sum(payload), 3) AS total, payload[1] AS lo, payload[len(payload)] AS hi FROM ch")
+@query("chunk_pack", f"WITH {CHUNKS} SELECT shard, signature, n_entries, round(list_sum(payload), 5) AS total, payload[1] AS lo, payload[len(payload)] AS hi FROM ch")
 def chunk_pack(spark, d):
-    return chunks(spark, d).select("shard", "signature", "n_entries", F.round(F.aggregate("payload", F.lit(0.0), lambda a, x: a + x), 3).alias("total"), F.element_at("payload", 1).alias("lo"), F.element_at("payload", -1).alias("hi"))
+    return chunks(spark, d).select("shard", "signature", "n_entries", F.round(F.aggregate("payload", F.lit(0.0), lambda a, x: a + x), 5).alias("total"), F.element_at("payload", 1).alias("lo"), F.element_at("payload", -1).alias("hi"))
 
 
 @query("chunk_unpack", f"WITH {V} SELECT signature, m FROM vals")
@@ -112,11 +112,11 @@ def chunk_scan(spark, d):
 
 
 
-@query("chunk_by_signature", f"WITH {CHUNKS} SELECT shard, signature, n_entries, round(list_sum(payload), 3) AS total FROM ch WHERE signature LIKE 'parsed_1995%'")
+@query("chunk_by_signature", f"WITH {CHUNKS} SELECT shard, signature, n_entries, round(list_sum(payload), 5) AS total FROM ch WHERE signature LIKE 'parsed_1995%'")
 def chunk_by_signature(spark, d):
     """Chunks of the signatures asked for; the filter reaches the scan before anything is packed."""
     v = X.array_values(spark, d).filter(F.col("signature").like("parsed_1995%"))
-    return C.pack(v, ["shard", "signature"], chunk=10**9).select("shard", "signature", "n_entries", F.round(F.aggregate("payload", F.lit(0.0), lambda a, x: a + x), 3).alias("total"))
+    return C.pack(v, ["shard", "signature"], chunk=10**9).select("shard", "signature", "n_entries", F.round(F.aggregate("payload", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
 
 
 @query("chunk_list_signatures", f"WITH {V} SELECT DISTINCT signature FROM vals")
@@ -254,13 +254,13 @@ def sink_histograms(spark, d):
     return spark.read.parquet(path).groupBy("hist_name").agg(F.count("*").alias("bins"), F.sum("content").alias("entries"))
 
 
-@query("sink_mass_arrays", f"WITH {EQ.sql_masses()} SELECT fs, im, count(*) AS n, round(sum(m), 3) AS total FROM mass GROUP BY fs, im")
+@query("sink_mass_arrays", f"WITH {EQ.sql_masses()} SELECT fs, im, count(*) AS n, round(sum(m), 6) AS total FROM mass GROUP BY fs, im")
 def sink_mass_arrays(spark, d):
     """Appended by final state, in two goes, and read back."""
     path, m = scratch(spark, "masses"), EQ.masses(spark, d)
     for odd in (0, 1):
         m.filter(F.col("event_id") % 2 == odd).repartition("fs").write.mode("append").partitionBy("fs").parquet(path)
-    return spark.read.parquet(path).groupBy("fs", "im").agg(F.count("*").alias("n"), F.round(F.sum("m"), 3).alias("total"))
+    return spark.read.parquet(path).groupBy("fs", "im").agg(F.count("*").alias("n"), F.round(F.sum("m"), 6).alias("total"))
 
 
 @query("ranges_save", f"WITH {NAMED} SELECT name, min(m) AS gmin, max(m) AS gmax FROM nv GROUP BY name")

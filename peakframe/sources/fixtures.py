@@ -87,7 +87,7 @@ def file_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Column names of the four layouts, by the nation's key modulo 4.
+#: Column names of the four layouts. A customer is a file here; its key modulo 4 says which.
 INVENTORY = {
     0: ["AnalysisElectronsAuxDyn.pt", "AnalysisElectronsAuxDyn.eta", "AnalysisElectronsAuxDyn.phi", "AnalysisElectronsAuxDyn.mass", "AnalysisMuonsAuxDyn.pt", "AnalysisMuonsAuxDyn.eta", "AnalysisMuonsAuxDyn.phi", "AnalysisMuonsAuxDyn.m", "AnalysisJetsAuxDyn.pt", "AnalysisJetsAuxDyn.eta", "AnalysisTauJetsAuxDyn.pt", "AnalysisTauJetsAuxDyn.eta", "AnalysisTauJetsAuxDyn.phi"],
     1: ["nElectron", "Electron_pt", "Electron_eta", "Electron_phi", "Electron_mass", "Muon_pt", "Muon_eta", "Muon_phi", "Jet_pt", "Jet_eta", "Jet_phi", "Jet_mass", "Jet_btagDeepFlavB", "Photon_pt", "Photon_eta", "Tau_pt", "Tau_eta", "Tau_phi", "Tau_charge"],
@@ -100,12 +100,12 @@ RELEASES = {0: "2024r-pp_mc", 1: "record_30529", 2: "2025e-13tev-beta", 3: "unkn
 
 def columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The column inventory: file, release, table, column_name."""
-    k = F.col("n_nationkey") % 4
+    k = (F.col("c_custkey") % 4).cast("int")
     by = lambda d: F.element_at(F.create_map(*[F.lit(x) for kv in d.items() for x in kv]), k)
     names = F.when(k == 0, F.array(*map(F.lit, INVENTORY[0])))
     for i in (1, 2, 3):
         names = names.when(k == i, F.array(*map(F.lit, INVENTORY[i])))
-    return table(spark, sf_dir, "nation").select(F.concat(F.lit("file"), F.col("n_nationkey").cast("string")).alias("file"), by(RELEASES).alias("release"), by(TABLES).alias("table"), F.explode(names).alias("column_name"))
+    return table(spark, sf_dir, "customer").select(F.concat(F.lit("file"), F.col("c_custkey").cast("string")).alias("file"), by(RELEASES).alias("release"), by(TABLES).alias("table"), F.explode(names).alias("column_name"))
 
 
 # The same views as SQL, each the body of a WITH clause.
@@ -131,4 +131,4 @@ SQL_FILES = """files AS (SELECT event_id AS file_id, event_type <> 'error' AS ok
   CASE WHEN event_type = 'error' THEN 'E'||(user_id%7) END AS error_type FROM events)"""
 _LAYOUT = " UNION ALL ".join(f"SELECT {k} AS k, '{RELEASES[k]}' AS release, '{TABLES[k]}' AS \"table\", unnest({names!r}) AS column_name" for k, names in INVENTORY.items())
 SQL_COLUMNS = f"""layout AS ({_LAYOUT}),
-cols AS (SELECT 'file'||n_nationkey AS file, release, "table", column_name FROM nation JOIN layout ON n_nationkey % 4 = k)"""
+cols AS (SELECT 'file'||c_custkey AS file, release, "table", column_name FROM customer JOIN layout ON c_custkey % 4 = k)"""
