@@ -33,7 +33,7 @@ CALIBRATION_ROWS = 20_000
 #: Most label rows (12 bytes each) that are broadcast to the texts; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
 #: Words that a worker remembers; when full it starts anew.
-MEMO = 500_000
+MEMO = 400_000
 WORD = re.compile(r"\w+")
 #: What stands before and behind a word, so that each of its characters, and its end, has four before it.
 PAD, STOP = "\x02" * 4, "\x03"
@@ -79,7 +79,7 @@ class Model:
     """Arrays by bucket; two columns are (toxic, ordinary). n: the words of either class. Discounts of the ordinary class are larger by as much as it has more, so both forget alike."""
 
     def __init__(self, words, tops, contexts, pairs, pair_contexts, singles, discounts):
-        n = words.sum(axis=0)
+        n = words.sum(axis=0, dtype=np.float64)
         kept = np.maximum(words - scaled(WORD_DISCOUNT, n), 0)
         self.own = (kept / np.maximum(kept.sum(axis=0), 1)).astype(np.float32)
         self.shared = (words.sum(axis=1) / max(1.0, n.sum())).astype(np.float32)
@@ -147,9 +147,10 @@ def tables(words: DataFrame):
     def gathered(df: DataFrame, size: int) -> np.ndarray:
         """At most `size` rows: sums by bucket."""
         names = [c for c in df.columns if c != "at"]
-        got = df.groupBy("at").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
-        out = np.zeros((size, len(names)))
-        out[got["at"].to_numpy(dtype=int)] = got[names].to_numpy(dtype=float)
+        got = df.groupBy("at").agg(*[F.sum(c).cast("double").alias(c) for c in names]).toArrow()
+        out, at = np.zeros((size, len(names)), dtype=np.float32), got["at"].to_numpy()
+        for i, c in enumerate(names):
+            out[at, i] = got[c].to_numpy()
         return out
 
     both = top.select("g", "toxic", "ordinary")
@@ -215,8 +216,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", held: str
     apart = rows_.filter(held)
     share = min(1.0, rows / max(1, apart.count()))
     chosen = apart.filter(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else apart
-    scored = likelihoods(chosen.select(text, F.col(label).cast("double").alias("y")), model, text, "x").select("x", "y").toPandas()
-    model.slope, model.offset = fitted_line(scored["x"].to_numpy(dtype=float), scored["y"].to_numpy(dtype=float))
+    scored = likelihoods(chosen.select(text, F.col(label).cast("double").alias("y")), model, text, "x").select("x", "y").toArrow()
+    model.slope, model.offset = fitted_line(scored["x"].to_numpy(), scored["y"].to_numpy())
     return model
 
 

@@ -9,17 +9,16 @@ from pathlib import Path
 
 import numpy as np
 
-#: Entries of the memo of words that a worker keeps; when it is full it starts anew.
-MEMO = 1_000_000
+from peakframe.llm.common import kept
+
+#: Entries of the memo of words that a worker keeps, and of the memo of their cores (lower case, without a mark behind); a full one starts anew. About 170 MB together.
+MEMO, CORES = 400_000, 400_000
 #: Texts whose words are looked up together.
 GROUP = 256
 #: What Python and the library surely treat alike: letters up to here are letters to both, and composed.
 PLAIN_END = "ɐ"
 ENDS = ".,;:!?"
 
-_kept: dict = {}
-
-
 def version(path: str) -> str:
     """Digest of a tokenizer's file."""
     return hashlib.sha256(Path(path).read_bytes()).hexdigest()
@@ -60,7 +59,7 @@ class JsonTokenizer:
         """Put white-space-free words into the memo. Most are a core of letters with one mark behind; cores are encoded many at a time."""
         if len(self.memo) + len(words) > MEMO:
             self.memo.clear()
-        if len(self.cores) > MEMO // 2:
+        if len(self.cores) > CORES:
             self.cores.clear()
         split, other = [], []
         for w in words:
@@ -122,10 +121,8 @@ class PieceTokenizer:
 
 
 def tokenizer(name: str):
-    """The tokenizer of a public file name (or path), loaded once in each Python process."""
+    """The tokenizer of a public file name (or path), loaded once in each Python process and kept while nothing else is."""
     import public_tokenizers
 
-    if name not in _kept:
-        path = name if "/" in name else public_tokenizers.path(name)
-        _kept[name] = PieceTokenizer(path) if path.endswith(".model") else JsonTokenizer(path)
-    return _kept[name]
+    path = name if "/" in name else public_tokenizers.path(name)
+    return kept(f"tokenizer-{path}", lambda: PieceTokenizer(path) if path.endswith(".model") else JsonTokenizer(path))
