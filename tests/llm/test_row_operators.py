@@ -236,12 +236,12 @@ def model(spark):
 
 def test_spans_of_mixed_texts(spark, model):
     text = "the lazy dog runs over this and the quick fox  быстрая лиса прыгает через собаку 123 der faule hund läuft davon und springt über den fuchs"
-    df = spark.createDataFrame([(1, text), (2, "狐狸 跳过了"), (3, "12 !!"), (4, None), (5, "")], "doc_id long, text string")
+    df = spark.createDataFrame([(1, text), (2, "狐狸 跳过了"), (3, "12 !!"), (4, None), (5, ""), (6, "² Ⅷ_ ½")], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in langid.identify(df, model, spans="spans").collect()}
     got = [(s["lang"], text[s["start"] : s["end"]]) for s in rows[1]["spans"]]
     assert [k for k, _ in got] == ["en", "ru", "de"] and got[1][1].startswith("быстрая") and got[2][1].endswith("fuchs")
     assert rows[2]["lang_pred"] == "zh"
-    assert [(rows[i]["lang_pred"], rows[i]["score"], rows[i]["spans"]) for i in (3, 4, 5)] == [("und", 0.0, [])] * 3
+    assert [(rows[i]["lang_pred"], rows[i]["score"], rows[i]["spans"]) for i in (3, 4, 5, 6)] == [("und", 0.0, [])] * 4
 
 
 def test_viterbi_like_all_paths(model):
