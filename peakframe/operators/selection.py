@@ -45,13 +45,21 @@ def cuts_normalized(cuts: DataFrame) -> DataFrame:
     )
 
 
+def pinned(df: DataFrame, new: dict[str, Column]) -> DataFrame:
+    """df with new columns that are computed once: a generator of one row keeps the optimizer from copying their expressions into every predicate and sum above."""
+    if not new:
+        return df
+    order = [*df.columns, *[c for c in new if c not in df.columns]]
+    return df.select(*[c for c in df.columns if c not in new], F.inline(F.array(F.struct(*[x.alias(c) for c, x in new.items()])))).select(*order)
+
+
 def btag_split(df: DataFrame, threshold: float = BTAG, field: str = "btag") -> DataFrame:
     """Jets with a score of at least the threshold become BJets; without the field nothing changes. Null scores stay jets."""
     inner = df.schema["Jets"].dataType.elementType
     if field not in inner.names:
         return df
     tagged = lambda j: F.coalesce(j[field] >= threshold, F.lit(False))
-    return df.withColumn("BJets", F.filter("Jets", tagged)).withColumn("Jets", F.filter("Jets", lambda j: ~tagged(j)))
+    return pinned(df, {"BJets": F.filter("Jets", tagged), "Jets": F.filter("Jets", lambda j: ~tagged(j))})
 
 
 def relative_isolation(p: Column, field: str = "iso") -> Column:
@@ -74,7 +82,7 @@ def inside(cut: dict, isolated: bool, fields: list[str]):
 def kinematic_cuts(df: DataFrame, cuts: dict[str, dict]) -> DataFrame:
     """Keeps the particles inside their type's cuts; types without cuts, and the number of events, stay. Isolation is cut for electrons that have the field."""
     new = {t: F.filter(t, inside(c, t == "Electrons", df.schema[t].dataType.elementType.names)) for t, c in normalized(cuts).items() if t in df.columns}
-    return df.withColumns(new)
+    return pinned(df, new)
 
 
 def uniform_cuts(df: DataFrame, cut: dict, types: list[str]) -> DataFrame:
