@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
@@ -17,16 +19,23 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Characters of text that a row map holds in Python objects at once.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 
 
 _kept: dict = {}
 
 
 def kept(key: str, make: Callable[[], object]):
-    """What make() gives, remembered by this Python process until another key is asked for: workers keep it from task to task."""
+    """What make() gives, remembered by this Python process until another key is asked for: workers keep it from task to task.
+
+    A process that goes on to something else gives the memory back first, for it shares its executor's with others.
+    """
     if key not in _kept:
-        _kept.clear()
+        if _kept:
+            _kept.clear()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # where the C library has it
+                ctypes.CDLL(None).malloc_trim(0)
         _kept[key] = make()
     return _kept[key]
 

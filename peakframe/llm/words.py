@@ -11,8 +11,8 @@ import numpy as np
 
 from peakframe.llm.common import kept
 
-#: Entries of the memo of words that a worker keeps, and of the memo of their cores (lower case, without a mark behind); a full one starts anew. About 170 MB together.
-MEMO, CORES = 400_000, 400_000
+#: Entries of the memo of words that a worker keeps, and of the memo of their cores (lower case, without a mark behind); a full one starts anew. About 130 MB together.
+MEMO, CORES = 300_000, 300_000
 #: Texts whose words are looked up together.
 GROUP = 256
 #: What Python and the library surely treat alike: letters up to here are letters to both, and composed.
