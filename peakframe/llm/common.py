@@ -13,13 +13,14 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Characters of text that a row map holds in Python objects at once.
-SLICE_CHARS = 4_000_000
+#: Bytes of text that a row map holds in Python objects at once.
+SLICE_BYTES = 4_000_000
 
 
 _kept: dict = {}
@@ -93,16 +94,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def slices(texts: list, most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about `most` characters, one text at least."""
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about `most` bytes of a text or binary column, one row at least: only a slice at a time need become Python objects."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = held = 0
-    for i, t in enumerate(texts):
-        if i > start and held + len(t or "") > most:
-            yield start, i
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and held + n > most:
+            yield batch.slice(start, i - start)
             start, held = i, 0
-        held += len(t or "")
-    if start < len(texts):
-        yield start, len(texts)
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
 
 
 def row_map(df: DataFrame, column: str, make: Callable[[], Callable[[list], list[list]]], fields: list[T.StructField]) -> DataFrame:
@@ -122,10 +124,8 @@ def row_map(df: DataFrame, column: str, make: Callable[[], Callable[[list], list
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for batch in batches:
-            values = batch.column(batch.num_columns - 1).to_pylist()
-            for a, b in slices(values):
-                out = f(values[a:b])
-                part = batch.slice(a, b - a)
+            for part in slices(batch, batch.num_columns - 1):
+                out = f(part.column(part.num_columns - 1).to_pylist())
                 arrays = [part.column(i) for i in range(len(kept))] + [pa.array(x, type=added.field(i).type) for i, x in enumerate(out)]
                 yield pa.RecordBatch.from_arrays(arrays, names=kept + names)
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakframe.llm.common import code_points, documents, kept, mixed_hash, row_map, ship
+from peakframe.llm.common import SLICE_BYTES, code_points, documents, kept, mixed_hash, row_map, ship, slices
 
 #: Hash buckets of n-grams: the model is a table of this many rows and a column for each language, whatever the corpus.
 BUCKETS = 1 << 16
@@ -106,7 +106,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, 0, 4 * SLICE_BYTES) for b in batches):
             words: dict[str, Counter] = {}
             for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words.setdefault(k, Counter()).update((t or "").split())

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakframe.llm.common import code_points, cut, documents, kept, mixed_hash, row_map, ship
+from peakframe.llm.common import SLICE_BYTES, code_points, cut, documents, kept, mixed_hash, row_map, ship, slices
 
 #: Hash buckets of words and of n-grams of characters: the model has this size whatever the corpus.
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 20, 1 << 20
@@ -64,7 +64,7 @@ def counted_words(df: DataFrame, text: str, label: str) -> DataFrame:
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(slices(b, 0, 4 * SLICE_BYTES) for b in batches):
             sums = (Counter(), Counter())
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 sums[int(y)].update(WORD.findall((t or "").lower()))
