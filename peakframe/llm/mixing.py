@@ -14,6 +14,8 @@ from peakframe.llm.common import cut, documents
 WEIGHTS, SHARE, MOST, SEED = (5, 2, 1), 1.5, 2.0, "mix-1"
 #: Slices of the unit interval in which running sums are made: a source's documents spread evenly over them.
 SLICES = 1 << 16
+#: Slices whose sums are summed in one window; the windows' own sums, SLICES / SPAN rows of a source, come after.
+SPAN = 1 << 8
 BLANK = "\\x20\\x09-\\x0D"
 
 
@@ -50,12 +52,14 @@ def mix(df: DataFrame, size: str, source: str = "source", id_col: str = "doc_id"
     new = ["source_size", "target", "taken"]
     base = df.drop(*new).withColumns({"__s": F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`")), F.lit("")), "__n": F.coalesce(F.col(f"`{size}`"), F.lit(0)).cast("long"), "__u": uniform(F.col(f"`{id_col}`"), seed)})
     base = base.withColumn("__f", F.floor(F.col("__u") * SLICES).cast("int"))
-    sums = cut(base.groupBy("__s", "__f").agg(F.sum("__n").alias("words")))
+    sums = cut(base.groupBy("__s", "__f").agg(F.sum("__n").alias("words")).withColumn("__g", F.floor(F.col("__f") / SPAN)))
     names = F.when(F.col("__s") != "", F.substring("__s", 2, 2**31 - 1))
     goals = targets(sums.groupBy("__s").agg(F.sum("words").alias("source_size")).select(names.alias("source"), "source_size"), weights, share, most)
     goals = goals.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("__s"), "source_size", "target", F.least(F.floor(F.try_divide("target", "source_size")), F.lit(int(most))).alias("__whole"))
-    before = F.sum("words").over(Window.partitionBy("__s").orderBy("__f").rowsBetween(Window.unboundedPreceding, -1))
-    places = sums.withColumn("__before", F.coalesce(before, F.lit(0))).join(goals, "__s").drop("words")
+    before = lambda order, *by: F.coalesce(F.sum("words").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.groupBy("__s", "__g").agg(F.sum("words").alias("words")).withColumn("__start", before("__g", "__s")).join(goals, "__s").drop("words")
+    places = sums.withColumn("__inside", before("__f", "__s", "__g")).drop("words").join(starts, ["__s", "__g"])
+    places = places.withColumn("__before", F.col("__start") + F.col("__inside")).drop("__g", "__start", "__inside")
     ratio = F.try_divide("target", "source_size")
     chance = ratio - F.col("__whole")  # inclusion probability beyond the certain copies
     key = F.try_divide(F.col("__u") / (1 - F.col("__u")), chance / (1 - chance))
