@@ -11,13 +11,32 @@ import numpy as np
 
 from peakframe.llm.common import kept
 
-#: Entries of the memo of words that a worker keeps, and of the memo of their cores (lower case, without a mark behind); a full one starts anew. About 130 MB together.
-MEMO, CORES = 300_000, 300_000
+#: Entries of a generation of the memo of words that a worker keeps, and of the memo of their cores (lower case, without the marks behind). About 130 MB together.
+MEMO, CORES = 200_000, 150_000
 #: Texts whose words are looked up together.
 GROUP = 256
 #: What Python and the library surely treat alike: letters up to here are letters to both, and composed.
 PLAIN_END = "ɐ"
-ENDS = ".,;:!?"
+#: Marks that, in any run behind a word of letters, the library splits off as one part.
+ENDS = ".,;:!?$&%*#"
+
+
+class Memo:
+    """Values by key, at most `most` in each of two generations: when the younger is full it becomes the older, from which what is asked for again comes back."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.before = most, {}, {}
+
+    def lacking(self, keys: set[str]) -> set[str]:
+        """The keys whose values must still be put into `now`, which holds those of all the others."""
+        missing = keys.difference(self.now)
+        back = {k: self.before[k] for k in missing if k in self.before}
+        if len(self.now) + len(missing) > self.most:
+            back.update({k: self.now[k] for k in keys.difference(missing)})
+            self.now, self.before = {}, self.now
+        self.now.update(back)
+        return missing.difference(back)
+
 
 def version(path: str) -> str:
     """Digest of a tokenizer's file."""
@@ -49,41 +68,37 @@ class JsonTokenizer:
         if self.by_word:
             self.ends = np.zeros(self.library.get_vocab_size(), dtype=bool)
             self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(suffix)]] = True
-            self.memo: dict[str, bytes] = {}
-            self.cores: dict[str, bytes] = {}
+            self.memo, self.cores = Memo(MEMO), Memo(CORES)
 
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[str]) -> None:
-        """Put white-space-free words into the memo. Most are a core of letters with one mark behind; cores are encoded many at a time."""
-        if len(self.memo) + len(words) > MEMO:
-            self.memo.clear()
-        if len(self.cores) > CORES:
-            self.cores.clear()
+        """Put white-space-free words into the memo. Most are a core of letters, some with marks behind; cores are encoded many at a time."""
         split, other = [], []
         for w in words:
-            end = w[-1] if w[-1] in ENDS else ""
-            core = w[:-1] if end else w
+            core = w.rstrip(ENDS)
+            end = w[len(core) :]
             if core.isalpha() and (core.isascii() or max(core) < PLAIN_END):
                 split.append((w, core.lower(), end))
             else:
                 other.append(w)
-        new = sorted({x for _, core, end in split for x in (core, end) if x}.difference(self.cores))
+        new = list(self.cores.lacking({x for _, core, end in split for x in (core, end) if x}))
+        memo, cores = self.memo.now, self.cores.now
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             ids = np.frombuffer(b"".join(self.raw([" ".join(part[j : j + 500]) for j in range(0, len(part), 500)])), dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part):  # not as foreseen: one at a time
-                self.cores.update(zip(part, self.raw(part), strict=True))
+                cores.update(zip(part, self.raw(part), strict=True))
                 continue
             data, at = ids.tobytes(), 0
             for x, b in zip(part, (4 * cuts).tolist(), strict=True):
-                self.cores[x] = data[at:b]
+                cores[x] = data[at:b]
                 at = b
         for w, core, end in split:
-            self.memo[w] = self.cores[core] + self.cores[end] if end else self.cores[core]
-        self.memo.update(zip(other, self.raw(other), strict=True))
+            memo[w] = cores[core] + cores[end] if end else cores[core]
+        memo.update(zip(other, self.raw(other), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
@@ -93,13 +108,12 @@ class JsonTokenizer:
             group = texts[a : a + GROUP]
             split = [t.split() for t in group]
             distinct = set(chain.from_iterable(split))
-            if len(distinct) > MEMO:
+            if len(distinct) > self.memo.most:
                 out += self.raw(group)
                 continue
-            for _ in range(2):  # the second time only if the memo was full and started anew
-                if missing := distinct.difference(self.memo):
-                    self.learn(missing)
-            memo = self.memo
+            if missing := self.memo.lacking(distinct):
+                self.learn(missing)
+            memo = self.memo.now
             got = [b"".join([memo[w] for w in words]) for words in split]
             for i, t in enumerate(group):
                 if "\x1c" in t or "\x1d" in t or "\x1e" in t or "\x1f" in t:  # white space to Python only
