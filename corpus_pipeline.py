@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakframe.llm import langid, mixing, packing, secrets, simhash
+from peakframe.llm import langid, mixing, near_copies, packing, secrets
 from peakframe.llm.common import documents, scratch
 
 #: A document stays if its language is known and its score is at least this; a text half in one language, half in another has about 0.5.
@@ -23,8 +23,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group whose SimHashes are linked."""
-    return simhash.one_of_each(docs).select(*docs.columns)
+    """Keeps the document of the smallest id of each group linked by a Jaccard similarity of 0.8 or more of five-word shingles."""
+    return near_copies.one_of_each(docs).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
