@@ -28,9 +28,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces each secret, or the encoded stretch that hides it, by a mark; n_chars follows. No document goes."""
+    """Replaces each secret, or the encoded stretch that hides it or is too long to be opened whole, by a mark; n_chars follows. No document goes."""
     clean = secrets.scan_secrets(docs.withColumn("__text", F.col("text")), "__text", redacted="__clean")
-    changed = F.size("secret_spans") > 0
+    changed = (F.size("secret_spans") > 0) | F.col("truncated")
     new = {"text": F.col("__clean")} | ({"n_chars": F.when(changed, F.char_length("__clean").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
     return clean.withColumns(new).select(*docs.columns)
 

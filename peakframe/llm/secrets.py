@@ -68,28 +68,46 @@ class Layer:
         return (self.text, *self.origin(0, len(self.text)))
 
 
-def inflate(data: bytes, most: int) -> tuple[bytes, bool] | None:
-    """The content of gzip, zlib, zstandard, bzip2 or xz data and whether it was cut at `most`, or None."""
+def member(data: bytes, most: int) -> tuple[bytes, bool, bytes] | None:
+    """The content of the gzip, zlib, zstandard, bzip2 or xz member that data begins with, whether it was cut at `most`, and the data behind it; or None."""
     try:
         if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
             d = zlib.decompressobj(47)
-            return d.decompress(data, most), bool(d.unconsumed_tail)
-        if data[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-            return d.decompress(data, most), not d.eof and not d.needs_input
-        if data[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor(memlimit=1 << 28)
-            return d.decompress(data, most), not d.eof and not d.needs_input
+            return d.decompress(data, most), bool(d.unconsumed_tail), d.unused_data
+        if data[:3] == b"BZh" or data[:6] == b"\xfd7zXZ\x00":
+            d = bz2.BZ2Decompressor() if data[:3] == b"BZh" else lzma.LZMADecompressor(memlimit=1 << 28)
+            return d.decompress(data, most), not d.eof and not d.needs_input, d.unused_data if d.eof else b""
         if data[:4] == b"\x28\xb5\x2f\xfd":
             import zstandard
 
-            out = zstandard.ZstdDecompressor().stream_reader(data).read(most + 1)
-            return out[:most], len(out) > most
+            d, parts, n = zstandard.ZstdDecompressor().decompressobj(), [], 0
+            for i in range(0, len(data), 64):  # a block of 128 KB may come from four bytes
+                parts.append(d.decompress(data[i : i + 64]))
+                n += len(parts[-1])
+                if d.eof or n > most:
+                    break
+            return b"".join(parts)[:most], n > most, d.unused_data + data[i + 64 :] if d.eof else b""
     except Exception:  # damaged data is no layer
         return None
     return None
 
 
+def inflate(data: bytes, most: int) -> tuple[bytes, bool] | None:
+    """The content of all members of gzip, zlib, zstandard, bzip2 or xz data, one behind the other, and whether it was cut at `most`, or None."""
+    if (got := member(data, most)) is None:
+        return None
+    parts, n, cut = [got[0]], len(got[0]), got[1]
+    while not cut and (rest := got[2].lstrip(b"\0")):  # zeros may pad members
+        if n >= most:
+            cut = member(rest, 1) is not None
+            break
+        if (got := member(rest, most - n)) is None:
+            break
+        parts.append(got[0])
+        n, cut = n + len(got[0]), got[1]
+    return b"".join(parts), cut
+
+
 def as_text(data: bytes, most: int) -> tuple[str, bool] | None:
     """Text inside bytes, unpacked as often as they are compressed; None where there is none."""
     cut, seen = False, set()
@@ -181,10 +199,10 @@ def unwrapped(layer: Layer, most: int):
             yield Layer(got[0], *layer.origin(m.start(), m.end()), layer.depth + 1), got[1]
 
 
-def scan(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list[tuple[int, int, int, int]], int, bool]:
-    """(start, kind, end, depth of the shallowest layer that shows it) of all findings in order, how many layers there are, whether one was cut."""
+def scan_layers(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list[tuple[int, int, int, int]], int, list[tuple[int, int]]]:
+    """(start, kind, end, depth of the shallowest layer that shows it) of all findings in order, how many layers there are, the stretches (start, end) whose layers were cut."""
     root = Layer(text)
-    seen, work, found, layers, cut = {root.key()}, [root], {}, 0, False
+    seen, work, found, layers, cut = {root.key()}, [root], {}, 0, set()
     while work:
         layer = work.pop()
         layers += 1
@@ -192,11 +210,18 @@ def scan(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list[tuple[int, int, i
             k = (layer.origin(a, b)[0], kind, layer.origin(a, b)[1])
             found[k] = min(found.get(k, layer.depth), layer.depth)
         for below, was_cut in unwrapped(layer, most):
-            cut |= was_cut
+            if was_cut:
+                cut.add(below.origin(0, len(below.text)))
             if below.text and (key := below.key()) not in seen:
                 seen.add(key)
                 work.append(below)
-    return [(*k, d) for k, d in sorted(found.items())], layers, cut
+    return [(*k, d) for k, d in sorted(found.items())], layers, sorted(cut)
+
+
+def scan(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list[tuple[int, int, int, int]], int, bool]:
+    """The findings and the number of layers as scan_layers gives them, and whether a layer was cut."""
+    spans, layers, cut = scan_layers(text, most)
+    return spans, layers, bool(cut)
 
 
 def redact(text: str, spans: list[tuple[int, int]], mark: str = "[REDACTED]") -> str:
@@ -215,7 +240,7 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.Str
 
 
 def scan_secrets(df: DataFrame, text: str = "text", max_layer_bytes: int = MAX_LAYER_BYTES, redacted: str | None = None) -> DataFrame:
-    """df with secret_spans (start, kind, end, depth; depth 0 stands in the text itself), n_layers and truncated; with `redacted`, a column of that name has the text without them.
+    """df with secret_spans (start, kind, end, depth; depth 0 stands in the text itself), n_layers and truncated; with `redacted`, a column of that name has the text without them, and without the encoded stretches whose layers were cut.
 
     Null and empty texts have no spans, one layer, and null or empty redacted text. Repeated rows each keep their row; equal texts have equal findings.
     Columns of df that have these names are replaced. Memory: one text and its layers at a time.
@@ -223,9 +248,9 @@ def scan_secrets(df: DataFrame, text: str = "text", max_layer_bytes: int = MAX_L
 
     def make():
         def f(values):
-            got = [scan(v or "", max_layer_bytes) for v in values]
-            out = [[[{"start": s, "kind": KINDS[k], "end": e, "depth": d} for s, k, e, d in x[0]] for x in got], [x[1] for x in got], [x[2] for x in got]]
-            return out + ([[v if v is None else redact(v, [(s, e) for s, _, e, _ in x[0]]) for v, x in zip(values, got, strict=True)]] if redacted else [])
+            got = [scan_layers(v or "", max_layer_bytes) for v in values]
+            out = [[[{"start": s, "kind": KINDS[k], "end": e, "depth": d} for s, k, e, d in x[0]] for x in got], [x[1] for x in got], [bool(x[2]) for x in got]]
+            return out + ([[v if v is None else redact(v, [(s, e) for s, _, e, _ in x[0]] + x[2]) for v, x in zip(values, got, strict=True)]] if redacted else [])
 
         return f
 
