@@ -12,6 +12,7 @@ import lzma
 import re
 import unicodedata
 import zlib
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,14 @@ LONG_HEX = re.compile("[0-9a-f]{24}")
 PERCENT = re.compile("(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|[＀-￯\U0001d400-\U0001d7ff]")
 BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
-CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9f]")
+#: Base64 in lines; the mark of a PEM's end is none.
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*(?!-----)[A-Za-z0-9+/_-]+)+={0,2}")
+LINE = re.compile("[A-Za-z0-9+/_-]+={0,2}")
+#: What bytes that are not all text must have to be a layer: as much ASCII as the shortest secret, or mostly text.
+READABLE = re.compile("[\x20-\x7e]{12}")
+#: The same, in UTF-16 of either byte order.
+UTF_16 = {"utf-16-le": re.compile(rb"(?:[\x09-\x0d\x20-\x7e]\x00){12}"), "utf-16-be": re.compile(rb"(?:\x00[\x09-\x0d\x20-\x7e]){12}")}
+CONTROL = re.compile("[\x00-\x08\x0e-\x1f\x7f-\x9f\ufffd]")
 
 
 def findings(text: str) -> list[tuple[int, int, int]]:
@@ -109,18 +117,19 @@ def inflate(data: bytes, most: int) -> tuple[bytes, bool] | None:
 
 
 def as_text(data: bytes, most: int) -> tuple[str, bool] | None:
-    """Text inside bytes, unpacked as often as they are compressed; None where there is none."""
+    """Text inside bytes (UTF-8, or UTF-16 and UTF-8), unpacked as often as they are compressed, with marks for what can't be decoded; None where there is none."""
     cut, seen = False, set()
     while (opened := inflate(data, most)) is not None and data not in seen:
         seen.add(data)
         data, cut = opened[0], cut or opened[1]
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        if not seen:
-            return None
-        text = data.decode("utf-8", "replace")
-    return None if not text or (not seen and CONTROL.search(text)) else (text, cut)
+    text = data.decode("utf-8", "replace")
+    if b"\0" in data:
+        for code, pattern in UTF_16.items():
+            if m := pattern.search(data):
+                return data[m.start() % 2 :].decode(code, "replace") + "\n" + text, cut
+    if not text or (not seen and not READABLE.search(text) and 4 * len(CONTROL.findall(text)) > len(text)):
+        return None
+    return text, cut
 
 
 def rewritten(layer: Layer, pattern: re.Pattern, unwrap) -> Layer | None:
@@ -147,11 +156,25 @@ def rewritten(layer: Layer, pattern: re.Pattern, unwrap) -> Layer | None:
 
 
 def from_percent(run: str):
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text, [3 * len(c.encode()) for c in text]
+    text = bytes.fromhex(run.replace("%", "")).decode("utf-8", "surrogateescape")  # a surrogate for each byte that can't be decoded
+    sizes = [3 if "\ud800" <= c <= "\udfff" else 3 * len(c.encode()) for c in text]
+    text = re.sub("[\ud800-\udfff]", "\ufffd", text)
+    return None if not text.strip("\ufffd") else (text, sizes)
+
+
+def wrapped(text: str):
+    """(start, end, base64) of runs of lines of equal width, the last one maybe shorter."""
+    for m in WRAPPED.finditer(text):
+        lines = [(m.start() + x.start(), m.start() + x.end()) for x in LINE.finditer(m[0])]
+        width, i = [b - a for a, b in lines], 0
+        while i < len(lines):
+            j = i + 1
+            while j < len(lines) and width[j] == width[i]:
+                j += 1
+            end = j + (j < len(lines) and width[j] < width[i])
+            if end - i > 1 and width[i] >= 16:
+                yield lines[i][0], lines[end - 1][1], "".join(text[a:b] for a, b in lines[i:end])
+            i = j
 
 
 def from_escape(run: str):
@@ -187,16 +210,16 @@ def unwrapped(layer: Layer, most: int):
                 yield Layer(got[0], *layer.origin(m.start(), m.end()), layer.depth + 1), got[1]
     if ("\\" in text or "&#" in text or not text.isascii()) and (x := rewritten(layer, ESCAPE, from_escape)) is not None:
         yield x, False
-    for m in BASE64.finditer(text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    for start, end, run in chain(((m.start(), m.end(), m[0]) for m in BASE64.finditer(text)), wrapped(text) if "\n" in text else ()):
+        body = run.rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
-            continue
+            body = body[:-1]
         try:
             data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
         if (got := as_text(data, most)) is not None:
-            yield Layer(got[0], *layer.origin(m.start(), m.end()), layer.depth + 1), got[1]
+            yield Layer(got[0], *layer.origin(start, end), layer.depth + 1), got[1]
 
 
 def scan_layers(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list[tuple[int, int, int, int]], int, list[tuple[int, int]]]:

@@ -1,4 +1,4 @@
-"""Layers of compressed data with several members, and layers that are cut."""
+"""Layers of compressed data with several members, layers that are cut, base64 in lines, bytes that are not all UTF-8."""
 
 from __future__ import annotations
 
@@ -45,3 +45,34 @@ def test_stretch_of_a_cut_layer_is_redacted(spark, monkeypatch):
     docs = spark.createDataFrame([(1, f"x {big} y", 9)], "doc_id long, text string, n_chars long")
     (row,) = corpus_pipeline.secret_scan(spark, docs, "").collect()
     assert row["text"] == "x [REDACTED] y" and row["n_chars"] == len(row["text"])
+
+
+def lines(data, width, end="\n"):
+    x = base64.b64encode(data).decode()
+    return end.join(x[i : i + width] for i in range(0, len(x), width))
+
+
+@pytest.mark.parametrize("width", [64, 76, 21])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("data", [b"some words " * 3 + b"that stand before password=" + b"hunter2secret" * 12 + b" and others, behind", gzip.compress(bytes(range(256)) * 2 + SECRET + bytes(range(255, 0, -1)))])
+def test_base64_goes_over_lines(width, end, data):
+    hidden = lines(data, width, end)
+    for text in (f"lead\n{hidden}\n\ntail", f"-----BEGIN X-----\n{hidden}\n-----END X-----", f"a_long_word_before_all_of_it\n{hidden} tail"):
+        a = text.index(hidden)
+        assert any(s <= a and e >= a + len(hidden.rstrip("=\r\n ")) for s, e in shown(text)), text
+
+
+@pytest.mark.parametrize("data", [b"\xff\xfe\x80 " + SECRET + b"\xf0 end", b"\x01\x02" + SECRET, SECRET.decode().encode("utf-16"), SECRET.decode().encode("utf-16-be"), "ключ ".encode("utf-16-le") + SECRET.decode().encode("utf-16-le")])
+def test_layers_that_are_not_all_text(data):
+    hidden = base64.b64encode(data).decode()
+    assert shown(f"lead {hidden} tail")
+
+
+def test_valid_parts_of_percent_runs():
+    hidden = "%ff%C3" + "".join(f"%{b:02x}" for b in SECRET) + "%80"
+    assert shown(f"lead {hidden} é") == [(5 + 6, 5 + 6 + 3 * len(SECRET))]
+    assert secrets.scan("%ff%fe %80")[1] == 1
+
+
+def test_digests_are_no_layers():
+    assert secrets.scan("0f" * 20 + " Donaudampfschifffahrtsgesellschaft a/path/of/some/words/here")[1] == 1
