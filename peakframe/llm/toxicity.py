@@ -16,7 +16,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +28,8 @@ WORD_BUCKETS, GRAM_BUCKETS = 1 << 20, 1 << 20
 WORD_DISCOUNT, GRAM_DISCOUNT, SHARED_DISCOUNT = 2.0, 2.0, 0.75
 #: Weight of the shared backoff against a class's own counts; of spelling in the backoff; and of the toxic words among those of a toxic text, the others being ordinary.
 BACKOFF, SPELLING, TOXIC_SHARE = 0.1, 0.05, 0.01
-#: Most labelled texts on which the two parameters that turn a likelihood ratio into a score are fitted.
-CALIBRATION_ROWS = 20_000
+#: Most labelled texts, about, on which the two parameters that turn a likelihood ratio into a score are fitted, and their largest share of all.
+CALIBRATION_ROWS, CALIBRATION_SHARE = 20_000, 0.25
 #: Most label rows (12 bytes each) that are broadcast to the texts; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
 #: Words that a worker remembers; when full it starts anew.
@@ -205,18 +205,21 @@ def fitted_line(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0] / sd), float(w[1] - w[0] * mean / sd)
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", held: str = "held", rows: int = CALIBRATION_ROWS) -> Model:
-    """A model of texts labelled 1 or 0. Rows where `held` is true are kept out of the counts; at most `rows` of them, by a digest of their text, fit the curve of the scores.
+def calibrating(labels: DataFrame, id_col: str = "doc_id", rows: int = CALIBRATION_ROWS) -> Column:
+    """Whether a row of `labels` is one of about `rows` that fit the curve of the scores, by a digest of its id: no more than the curve needs are kept out of the counts."""
+    share = min(CALIBRATION_SHARE, rows / max(1, labels.count()))
+    return F.pmod(F.xxhash64(F.lit("calibration"), F.col(id_col)), F.lit(1 << 40)) < int(share * (1 << 40))
+
+
+def fit(labelled: DataFrame, text: str = "text", label: str = "label", held: str = "held") -> Model:
+    """A model of texts labelled 1 or 0. Rows where `held` is true are kept out of the counts and fit the curve of the scores; they should be no more than that needs (see calibrating).
 
     All other rows are counted whole. Null labels are left out, null texts are empty. Without rows the model says the same of every text.
     """
     rows_ = labelled.filter(F.col(label).isNotNull())
     words = cut(counted_words(rows_.filter(~F.col(held)), text, label))
     model = Model(*tables(words))
-    apart = rows_.filter(held)
-    share = min(1.0, rows / max(1, apart.count()))
-    chosen = apart.filter(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else apart
-    scored = likelihoods(chosen.select(text, F.col(label).cast("double").alias("y")), model, text, "x").select("x", "y").toArrow()
+    scored = likelihoods(rows_.filter(held).select(text, F.col(label).cast("double").alias("y")), model, text, "x").select("x", "y").toArrow()
     model.slope, model.offset = fitted_line(scored["x"].to_numpy(), scored["y"].to_numpy())
     return model
 
@@ -233,6 +236,6 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
     labels = labels.filter((fold != 0) & F.col("toxic").isNotNull())
     small = labels.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    labelled = docs.filter(fold != 0).join(F.broadcast(labels) if small else labels, "doc_id").select("text", F.col("toxic").alias("label"), (fold == 4).alias("held"))
+    labelled = docs.filter(fold != 0).join(F.broadcast(labels) if small else labels, "doc_id").select("text", F.col("toxic").alias("label"), calibrating(labels).alias("held"))
     model = fit(labelled)
     return score_toxicity(docs.select("doc_id", (fold == 0).alias("held_out"), "text"), model).drop("text")
