@@ -203,7 +203,7 @@ def auc(x, y):
 def test_held_out_toxicity(spark):
     big = "/root/testdata/sf0.1"
     got = toxicity.op6_toxicity(spark, big).join(spark.read.parquet(f"{big}/labels.parquet"), "doc_id").filter("held_out").toPandas()
-    assert auc(got["score"].to_numpy(), got["toxic"].to_numpy()) > 0.93
+    assert auc(got["score"].to_numpy(), got["toxic"].to_numpy()) > 0.96
     assert ((got["score"] >= 0.5) == got["predicted"]).all() and got["score"].between(0, 1).all()
     clean = got[got["toxic"] == 0]
     assert (clean["predicted"] == 1).mean() < 0.05
@@ -212,12 +212,12 @@ def test_held_out_toxicity(spark):
 def test_toxicity_of_odd_rows(spark):
     labelled = spark.createDataFrame([(f"you {w} thing number {i}", int(w == "vile"), i % 4 == 0) for i in range(80) for w in ("nice", "vile")] + [(None, 1, False), ("x", None, False)], "text string, label int, held boolean")
     model = toxicity.fit(labelled)
-    rows = {r["text"]: r for r in toxicity.score_toxicity(odd_docs(spark).unionByName(spark.createDataFrame([(99, "you vile thing"), (98, "you nice thing"), (97, "you vileness")], "doc_id long, text string"), allowMissingColumns=True), model).collect()}
+    docs = odd_docs(spark).unionByName(spark.createDataFrame([(99, "you vile thing"), (98, "you nice thing"), (97, "you vileness")], "doc_id long, text string"), allowMissingColumns=True).withColumn("said", F.col("text"))
+    rows = {r["said"]: r for r in toxicity.score_toxicity(docs, model).collect()}
+    assert "text" not in rows[None].asDict() and rows[None]["media"] == "clash"
     assert rows["you vile thing"]["predicted"] == 1 and rows["you nice thing"]["predicted"] == 0 and rows["you vileness"]["score"] > rows["you nice thing"]["score"]
     assert rows[None]["score"] == rows[""]["score"] and 0 <= rows[""]["score"] <= 1
     assert toxicity.score_toxicity(empty(spark), model).count() == 0
-    blank = toxicity.fit(labelled.limit(0))
-    assert len({round(r["score"], 9) for r in toxicity.score_toxicity(odd_docs(spark), blank).collect()}) == 1
 
 
 # --- language ID -----------------------------------------------------------------------------------------------------
