@@ -224,16 +224,78 @@ def test_targets_like_pouring(spark, sizes):
     assert got == pytest.approx(want)
 
 
-def test_mix_meets_targets(spark, data):
-    rows = mixing.op8_mixing(spark, data).collect()
-    src = {r["doc_id"]: r["source"] for r in documents(spark, data).collect()}
-    taken, target = Counter(), {}
+def pareto(docs, target, seed="mix-1"):
+    """Copies of each of a source's (id, size) by the definition: whole copies, inclusion odds in proportion to size, the ranking, and the last document that brings the words nearest."""
+    total = sum(n for _, n in docs)
+    whole = min(int(target // total), 2) if total else 0
+    lack = int(np.floor(target + 0.5)) - whole * total if total else 0
+    ordered = sorted((n for _, n in docs if n), reverse=True)
+    rate, above = None, 0
+    for k, n in enumerate(ordered):
+        if k and ordered[k - 1] == n:
+            continue
+        if (lack - above) / sum(x * x for x in ordered if x <= n) * n < 1:
+            rate = max(lack - above, 0) / sum(x * x for x in ordered if x <= n)
+            break
+        above = sum(x for x in ordered if x >= n)
+    p = {d: min(1.0, rate * d[1]) if rate is not None else 1.0 for d in docs}
+    u = {(i, n): (int(hashlib.md5(f"{seed}:{'' if i is None else i}:{n}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52 for i, n in docs}
+    sure = sum(n for i, n in docs if p[i, n] >= 1)
+    key = {d: u[d] / (1 - u[d]) * ((1 - p[d]) / p[d]) for d in set(docs) if 0 < p[d] < 1 and d[1]}
+    out, reached = {d: whole + (p[d] >= 1) if d[1] else 0 for d in docs}, 0
+    for k in sorted(set(key.values())):
+        group = [d for d in docs if key.get(d) == k]
+        words = sum(n for _, n in group)
+        if lack - sure > 0 and 2 * (reached + words) - words <= 2 * (lack - sure):
+            out |= {d: whole + 1 for d in group}
+        reached += words
+    return out
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_mix_by_definition(spark, sf):
+    rows = mixing.op8_mixing(spark, f"/root/testdata/{sf}").collect()
+    src = {r["doc_id"]: r["source"] for r in documents(spark, f"/root/testdata/{sf}").collect()}
+    by, target = defaultdict(list), {}
     for r in rows:
-        assert 0 <= r["taken"] <= 2 * r["size"]
-        taken[src[r["doc_id"]]] += r["taken"]
+        by[src[r["doc_id"]]].append((r["doc_id"], r["size"]))
         target[src[r["doc_id"]]] = r["target"]
-    assert all(abs(taken[k] - target[k]) <= 1 for k in target)
-    assert sorted(map(str, rows)) == sorted(map(str, mixing.op8_mixing(spark, data).collect()))
+    want = {d: n for k, docs in by.items() for d, n in pareto(docs, target[k]).items()}
+    assert all(r["taken"] == want[r["doc_id"], r["size"]] * r["size"] <= 2 * r["size"] for r in rows)
+    assert sum(n for n in want.values() if n not in (0, 1, 2)) == 0 and len(set(want.values())) == 3
+    for k, docs in by.items():
+        assert abs(sum(want[d] * d[1] for d in docs) - target[k]) <= max(n for _, n in docs) / 2 + 1
+    assert sorted(map(str, rows)) == sorted(map(str, mixing.op8_mixing(spark, f"/root/testdata/{sf}").collect()))
+
+
+def test_inclusion_frequencies(spark):
+    """Over 600 sources alike, a document of each size is taken as often as its inclusion probability says."""
+    sizes = [3, 5, 8, 10, 10, 15, 20, 25, 30, 34, 40, 50, 60, 70, 90, 130, 200, 300, 20, 20] * 3
+    df = spark.createDataFrame([(f"s{k}", k * 1000 + i, n) for k in range(600) for i, n in enumerate(sizes)], "source string, doc_id long, size long")
+    rows = mixing.mix(df, "size", weights=(1,), share=0.45).groupBy("size").agg(F.avg((F.col("taken") > 0).cast("int")).alias("f"), F.first("target").alias("target"), F.max(F.col("taken") / F.col("size")).alias("most")).collect()
+    lack, small = rows[0]["target"], sorted(set(sizes))
+    rate = next(r for n in reversed(small) if (r := (lack - sum(x for x in sizes if x > n)) / sum(x * x for x in sizes if x <= n)) * n < 1)
+    assert len({round(min(1, rate * n), 3) for n in small}) > 10
+    for r in rows:
+        assert r["f"] == pytest.approx(min(1, rate * r["size"]), abs=0.05) and r["most"] <= 1
+
+
+def test_mix_of_ties_and_steps(spark, monkeypatch):
+    """Repeated rows are taken together; the width of a step of the key does not matter."""
+    docs = spark.createDataFrame([("s" if i % 5 else None, i // 2 if i % 7 else None, 1 + i * i % 50) for i in range(400)], "source string, doc_id long, size long")
+    one = sorted(map(str, mixing.mix(docs, "size", share=0.6).collect()))
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    assert sorted(map(str, mixing.mix(docs, "size", share=0.6).collect())) == one
+    monkeypatch.setattr(mixing, "STEPS", 1 << 20)
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    got = mixing.mix(docs, "size", share=0.6).collect()
+    assert sorted(map(str, got)) == one
+    by = defaultdict(list)
+    for r in got:
+        by[r["source"]].append(r)
+    for rows in by.values():
+        want = pareto([(r["doc_id"], r["size"]) for r in rows], rows[0]["target"])
+        assert all(r["taken"] == want[r["doc_id"], r["size"]] * r["size"] for r in rows)
 
 
 def test_mix_of_odd_rows(spark):
