@@ -178,14 +178,20 @@ class Labeller:
         self.lettered[first : first + len(new)] = True
 
     def path(self, s: np.ndarray) -> np.ndarray:
-        """The best sequence of languages for the words' scores. One language throughout is best if none of the others gains more than a switch costs anywhere; else Viterbi decides."""
-        total = s.sum(axis=0)
+        """The best sequence of languages for the words' scores, each change of language costing SWITCH.
+
+        Gains are over the language of the best sum. A path of m changes has a first and a last stretch and m - 1 between them; it can only win if the most that a first and a last stretch
+        gain exceeds one change, or a stretch between exceeds one. Where neither holds, one language is best throughout; else Viterbi decides, among the languages that gain in some stretch.
+        """
+        total = s.sum(axis=0, dtype=np.float64)
         best = int(total.argmax())
-        gain = np.concatenate([np.zeros((1, self.n)), np.cumsum(s - s[:, best : best + 1], axis=0, dtype=np.float64)])
-        if (gain - np.minimum.accumulate(gain, axis=0)).max() <= SWITCH:
+        gain = np.concatenate([np.zeros((1, s.shape[1])), np.cumsum(s - s[:, best : best + 1], axis=0, dtype=np.float64)])
+        stretch = (gain - np.minimum.accumulate(gain, axis=0)).max(axis=0)
+        if stretch.max() <= SWITCH and gain.max() + (gain[-1] - gain).max() <= SWITCH:
             return np.full(len(s), best)
-        score, back, rows = [float(x) for x in s[0]], [], range(self.n)
-        for row in s[1:].tolist():
+        kept = sorted({best, *np.flatnonzero(stretch > 0).tolist()})
+        score, back, rows = [float(x) for x in s[0, kept]], [], range(len(kept))
+        for row in s[1:, kept].tolist():
             top = max(score)
             j = score.index(top)
             fresh = top - SWITCH
@@ -196,7 +202,7 @@ class Labeller:
         for b in reversed(back):
             state = b[state]
             out.append(state)
-        return np.array(out[::-1])
+        return np.array(kept)[out[::-1]]
 
     def label(self, text: str, words: list[str] | None = None):
         """(language, score, indexes of languages by word, sizes of words) or None where no word has a letter."""
@@ -267,6 +273,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", spans: str | None
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document. Null, empty and letterless texts are `und` with score 0; null ids aren't held out and teach nothing; repeated rows are labelled each."""
     docs = documents(spark, sf_dir)
     model = fit(docs.filter(fold("doc_id", 4) != 2))
-    return identify(docs.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "text"), model).drop("text")
+    return identify(docs.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "text"), model).drop("text")

@@ -9,7 +9,6 @@ import hashlib
 import re
 import zlib
 from collections import Counter
-from itertools import pairwise
 from urllib.parse import quote
 
 import numpy as np
@@ -244,16 +243,76 @@ def test_spans_of_mixed_texts(spark, model):
     assert [(rows[i]["lang_pred"], rows[i]["score"], rows[i]["spans"]) for i in (3, 4, 5, 6)] == [("und", 0.0, [])] * 4
 
 
-def test_viterbi_like_all_paths(model):
+@pytest.mark.parametrize(("n", "length", "spread"), [(2, 9, 12), (3, 7, 4), (3, 7, 8), (4, 6, 12), (4, 6, 30), (5, 5, 8)])
+def test_viterbi_like_all_paths(n, length, spread):
     from itertools import product
 
-    labeller = langid.Labeller(model)
-    rng = np.random.default_rng(1)
-    for _ in range(30):
-        s = rng.normal(0, 12, (6, labeller.n))
-        value = lambda p, s=s: sum(s[i, k] for i, k in enumerate(p)) - langid.SWITCH * sum(a != b for a, b in pairwise(p))
-        best = max(map(value, product(range(labeller.n), repeat=6)))
-        assert value(labeller.path(s).tolist()) == pytest.approx(best)
+    labeller = langid.Labeller(langid.Model([f"l{i}" for i in range(n)], np.ones((langid.BUCKETS + len(langid.SCRIPTS), n))))
+    paths = np.array(list(product(range(n), repeat=length)))
+    changes = (paths[:, 1:] != paths[:, :-1]).sum(axis=1)
+    several = 0
+    for seed in range(150):
+        s = np.random.default_rng(seed).normal(0, spread, (length, n))
+        if seed % 3 == 0:  # runs of words of one language, each run worth less than a change or little more
+            s = np.repeat(np.random.default_rng(seed).normal(0, 12, (-(-length // 3), n)), 3, axis=0)[:length] / 2
+        values = s[np.arange(length), paths].sum(axis=1) - langid.SWITCH * changes
+        got = labeller.path(s)
+        mine = s[np.arange(length), got].sum() - langid.SWITCH * (got[1:] != got[:-1]).sum()
+        assert mine == pytest.approx(values.max(), abs=1e-4)
+        several += len(set(got.tolist())) > 1
+    assert several or spread < 12
+
+
+def test_viterbi_when_the_best_path_leaves_the_best_sum():
+    """Two languages that share a text win over a third that is better than either over all of it."""
+    labeller = langid.Labeller(langid.Model(["a", "b", "c"], np.ones((langid.BUCKETS + len(langid.SCRIPTS), 3))))
+    s = np.zeros((10, 3))
+    s[:5, 0], s[5:, 0], s[:5, 1], s[5:, 1] = 3, -4, -4, 3
+    assert labeller.path(s).tolist() == [0] * 5 + [1] * 5
+
+
+def plain_label(model, text):
+    """Language and score of a text with features, scores and paths written out word by word."""
+    scored, sizes = [], []
+    for w in (text or "").split():
+        c = langid.core(w)
+        sizes.append(len(w) if c else 0)
+        if not c:
+            scored.append(np.zeros(len(model.languages)))
+            continue
+        padded, total = f" {c} ", np.zeros(len(model.languages))
+        grams = [padded[i : i + k] for k in (1, 2, 3, 4) for i in range(len(padded) - k + 1) if padded[i : i + k] != " "]
+        for g in grams:
+            total += model.logs[int(langid.mixed_hash([np.array([ord(x)], dtype=np.uint32) for x in g])[0] % np.uint64(langid.BUCKETS))]
+        total += model.logs[zlib.crc32(c.encode()) % langid.BUCKETS]
+        allowed = model.allowed[langid.scripts([c])[0]]
+        scored.append(np.where(allowed, total, total.min() - 30) if allowed.any() else np.zeros(len(total)))
+    if not sum(sizes):
+        return "und", 0.0
+    n, s = len(model.languages), np.array(scored)
+    score, back = s[0].copy(), []
+    for row in s[1:]:
+        step = score[:, None] - langid.SWITCH * (1 - np.eye(n))
+        back.append(step.argmax(axis=0))
+        score = step.max(axis=0) + row
+    path = [int(score.argmax())]
+    for b in reversed(back):
+        path.append(int(b[path[-1]]))
+    path = np.array(path[::-1])
+    by = np.bincount(path, weights=sizes, minlength=n)
+    best = int(by.argmax())
+    total = s[path == best].sum(axis=0)
+    return model.languages[best], by[best] / by.sum() * min(1.0, 1 / np.exp(np.minimum(total - total[best], 50)).sum())
+
+
+def test_labels_word_by_word(spark, data):
+    docs = documents(spark, data)
+    model = langid.fit(docs.filter(langid.fold("doc_id", 4) != 2))
+    rows = langid.identify(docs.select("doc_id", "text", F.col("text").alias("t")), model).limit(60).collect()
+    mixed = langid.identify(docs.select(F.concat_ws(" ", *[F.coalesce(F.substring("text", 1, 60), F.lit("")), F.lit("the of and"), F.coalesce(F.substring("text", 200, 90), F.lit(""))]).alias("t")).withColumn("text", F.col("t")), model).limit(60).collect()
+    for r in [*rows, *mixed]:
+        lang, score = plain_label(model, r["t"])
+        assert r["lang_pred"] == lang and r["score"] == pytest.approx(score, abs=1e-3)
 
 
 def test_languages_of_odd_rows(spark, model):
