@@ -1,6 +1,8 @@
 """Secret scans: a worklist unwraps nested URL, Unicode, base64 and compressed layers until nothing new appears.
 
-Every layer is scanned again and its findings are mapped to the code points of the document that they came from.
+Every layer is scanned again and its findings are mapped to the code points of the document that they came from. URL and Unicode escapes are unwrapped a layer at a time for STEPS layers;
+what is nested deeper is unwrapped to its end in one pass, so that a chain of thousands takes linear time. (No secret has a character that escapes are written with and that goes when
+they are unwrapped, so what a layer between shows is part of what the last one shows.)
 """
 
 from __future__ import annotations
@@ -8,11 +10,12 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import hashlib
 import lzma
 import re
 import unicodedata
 import zlib
-from itertools import chain
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,8 @@ from peakframe.llm.common import documents, row_map
 KINDS = ("assign", "access", "hex")
 #: A compressed layer is opened up to this many bytes; one that goes on is scanned so far and flagged in `truncated`.
 MAX_LAYER_BYTES = 1 << 26
+#: Layers of URL and Unicode escapes that are unwrapped and scanned one by one.
+STEPS = 8
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 CUE = re.compile("pass|secret|token|api", re.I | re.A)
@@ -32,6 +37,7 @@ HEX = re.compile("[0-9a-f]+")
 LONG_HEX = re.compile("[0-9a-f]{24}")
 PERCENT = re.compile("(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|[＀-￯\U0001d400-\U0001d7ff]")
+ESCAPED = re.compile(f"{PERCENT.pattern}|{ESCAPE.pattern}")
 BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Base64 in lines; the mark of a PEM's end is none.
 WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*(?!-----)[A-Za-z0-9+/_-]+)+={0,2}")
@@ -57,12 +63,12 @@ def findings(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """A text with, for each code point, where in the document it came from. A scalar origin holds for all code points; None is the document itself."""
+    """A text with, for each code point, where in the document it came from. A scalar origin holds for all code points; None is the document itself. `steps` counts escapes unwrapped since the last decoding."""
 
-    __slots__ = ("depth", "first", "last", "text")
+    __slots__ = ("depth", "first", "last", "steps", "text")
 
-    def __init__(self, text, first=None, last=None, depth=0):
-        self.text, self.first, self.last, self.depth = text, first, last, depth
+    def __init__(self, text, first=None, last=None, depth=0, steps=0):
+        self.text, self.first, self.last, self.depth, self.steps = text, first, last, depth, steps
 
     def origin(self, a: int, b: int) -> tuple[int, int]:
         if self.first is None:
@@ -72,8 +78,8 @@ class Layer:
         return int(self.first[a]), int(self.last[b - 1])
 
     def key(self):
-        """What tells a layer from one seen before: its text and its place."""
-        return (self.text, *self.origin(0, len(self.text)))
+        """What tells a layer from one seen before: a digest of its text, and its place."""
+        return (hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), *self.origin(0, len(self.text)))
 
 
 def member(data: bytes, most: int) -> tuple[bytes, bool, bytes] | None:
@@ -89,13 +95,18 @@ def member(data: bytes, most: int) -> tuple[bytes, bool, bytes] | None:
             import zstandard
 
             d, parts, n = zstandard.ZstdDecompressor().decompressobj(), [], 0
-            for i in range(0, len(data), 64):  # a block of 128 KB may come from four bytes
-                parts.append(d.decompress(data[i : i + 64]))
-                n += len(parts[-1])
-                if d.eof or n > most:
-                    break
+            try:
+                for i in range(0, len(data), 64):  # a block of 128 KB may come from four bytes
+                    parts.append(d.decompress(data[i : i + 64]))
+                    n += len(parts[-1])
+                    if d.eof or n > most:
+                        break
+            except zstandard.ZstdError:
+                return None
             return b"".join(parts)[:most], n > most, d.unused_data + data[i + 64 :] if d.eof else b""
-    except Exception:  # damaged data is no layer
+    except lzma.LZMAError as e:
+        return (b"", True, b"") if "limit" in str(e).lower() else None  # needs more memory than a worker gives it
+    except (zlib.error, OSError, EOFError, ValueError):  # damaged data is no layer
         return None
     return None
 
@@ -132,11 +143,11 @@ def as_text(data: bytes, most: int) -> tuple[str, bool] | None:
     return text, cut
 
 
-def rewritten(layer: Layer, pattern: re.Pattern, unwrap) -> Layer | None:
-    """The layer with each match of pattern replaced by what unwrap gives for it: (text, code points of the match that each came from) or None."""
+def rewritten(layer: Layer) -> Layer | None:
+    """The layer with each run of escapes replaced by what it stands for, or None where there is none."""
     text, parts, first, last, at, changed = layer.text, [], [], [], 0, False
-    for m in pattern.finditer(text):
-        if (new := unwrap(m[0])) is None or not new[0]:
+    for m in ESCAPED.finditer(text):
+        if (new := from_percent(m[0]) if m[0][0] == "%" else from_escape(m[0])) is None or not new[0]:
             continue
         changed = True
         parts += [text[at : m.start()], new[0]]
@@ -149,10 +160,86 @@ def rewritten(layer: Layer, pattern: re.Pattern, unwrap) -> Layer | None:
     parts.append(text[at:])
     first, last = np.concatenate([*first, np.arange(at, len(text))]).astype(np.int64), np.concatenate([*last, np.arange(at, len(text)) + 1]).astype(np.int64)
     if isinstance(layer.first, int):
-        return Layer("".join(parts), layer.first, layer.last, layer.depth + 1)
+        return Layer("".join(parts), layer.first, layer.last, layer.depth + 1, layer.steps + 1)
     if layer.first is not None:
         first, last = layer.first[first], layer.last[last - 1]
-    return Layer("".join(parts), first, last, layer.depth + 1)
+    return Layer("".join(parts), first, last, layer.depth + 1, layer.steps + 1)
+
+
+HEX_VALUE = {ord(c): int(c, 16) for c in "0123456789abcdefABCDEF"}
+#: Bytes that are no ASCII stand in a settling text as code points from here on until they make a character.
+BYTE = 0xDC00
+
+
+def compatible(c: int) -> bool:
+    return 0xFF00 <= c <= 0xFFEF or 0x1D400 <= c <= 0x1D7FF
+
+
+def ending(out: array) -> tuple[int, str] | None:
+    """What the last code points of `out` stand for if they are an escape that the last one ends: how many they are, and the text."""
+    c, n = out[-1], len(out)
+    if c in HEX_VALUE:
+        for size, head, digits in ((3, "%", 2), (4, "\\x", 2), (6, "\\u", 4), (10, "\\U", 8)):
+            if n >= size and out[-size] == ord(head[0]) and (len(head) == 1 or out[1 - size] == ord(head[1])):
+                code = 0
+                for d in out[-digits:]:
+                    if d not in HEX_VALUE:
+                        break
+                    code = code * 16 + HEX_VALUE[d]
+                else:
+                    if digits == 2:
+                        return size, chr(code if code < 0x80 else BYTE + code)
+                    if 0xDC00 <= code < 0xE000:  # the low half of a pair, behind its high half
+                        if n > size and 0xD800 <= out[-size - 1] < 0xDC00:
+                            return size + 1, chr(0x10000 + ((out[-size - 1] - 0xD800) << 10) + code - 0xDC00)
+                        return None
+                    return (size, chr(code)) if 0 < code < 0x110000 else None
+    elif c == 0x7D or c == 0x3B:  # } or ;
+        tail = "".join(map(chr, out[-12:]))
+        m = re.search(r"(?:\\u\{([0-9A-Fa-f]{1,6})\}|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});)\Z", tail)
+        if m:
+            code = int(m[3]) if m[3] else int(m[1] or m[2], 16)
+            return (len(m[0]), chr(code)) if 0 < code < 0x110000 and not 0xD800 <= code < 0xE000 else None
+    elif BYTE + 0x80 <= c < BYTE + 0x100:
+        for size in (2, 3, 4):
+            if n >= size and BYTE + 0xC0 <= out[-size] < BYTE + 0x100:
+                try:
+                    return size, bytes(x - BYTE for x in out[-size:] if x >= BYTE).decode("utf-8")
+                except (UnicodeDecodeError, ValueError):
+                    return None
+    elif compatible(c) and (text := unicodedata.normalize("NFKC", chr(c))) != chr(c):
+        return 1, text
+    return None
+
+
+def settled(layer: Layer) -> Layer | None:
+    """The layer with its escapes unwrapped until none is left, in one pass: each code point is put behind those before it, and as long as they end in an escape, what it stands for takes its place."""
+    one = layer.first is None or not isinstance(layer.first, int)
+    out, first, last, changed = array("I"), array("q"), array("q"), False
+    starts = layer.first if one and layer.first is not None else range(len(layer.text))
+    ends = layer.last if one and layer.first is not None else range(1, len(layer.text) + 1)
+    for c, a, b in zip(map(ord, layer.text), starts, ends, strict=True):
+        todo = [(c, a, b)]
+        while todo:
+            x, a, b = todo.pop()
+            out.append(x)
+            if one:
+                first.append(a)
+                last.append(b)
+            if (x in HEX_VALUE or x > 0x7E or x == 0x7D or x == 0x3B) and (got := ending(out)) is not None:
+                changed = True
+                size, text = got
+                if one:
+                    a, b = first[-size], last[-1]
+                    del first[-size:], last[-size:]
+                del out[-size:]
+                todo += [(ord(y), a, b) for y in reversed(text)]
+    if not changed:
+        return None
+    text = re.sub("[\ud800-\udfff]", "\ufffd", out.tobytes().decode("utf-32-le", "surrogatepass"))
+    if not one:
+        return Layer(text, layer.first, layer.last, layer.depth + 1, layer.steps + 1)
+    return Layer(text, np.frombuffer(first, dtype=np.int64), np.frombuffer(last, dtype=np.int64), layer.depth + 1, layer.steps + 1)
 
 
 def from_percent(run: str):
@@ -199,27 +286,37 @@ def from_escape(run: str):
     return chr(code), [len(run)]
 
 
+def decoded(run: str, most: int) -> tuple[str, bool] | None:
+    """The text that base64 hides, and whether it was cut at `most` bytes; or None."""
+    body = run.rstrip("=").replace("-", "+").replace("_", "/")
+    if len(body) % 4 == 1:
+        body = body[:-1]
+    try:
+        return as_text(base64.b64decode(body + "=" * (-len(body) % 4), validate=True), most)
+    except (binascii.Error, ValueError):
+        return None
+
+
 def unwrapped(layer: Layer, most: int):
     """The layers one step below, each with a flag for one cut at `most` bytes."""
     text = layer.text
+    if ("%" in text or "\\" in text or "&#" in text or not text.isascii()) and (x := rewritten(layer) if layer.steps < STEPS else settled(layer)) is not None:
+        yield x, False
     if "%" in text:
-        if (x := rewritten(layer, PERCENT, from_percent)) is not None:
-            yield x, False
         for m in PERCENT.finditer(text):  # compressed bytes may be written so
             if inflate(data := bytes.fromhex(m[0].replace("%", "")), 64) and (got := as_text(data, most)):
                 yield Layer(got[0], *layer.origin(m.start(), m.end()), layer.depth + 1), got[1]
-    if ("\\" in text or "&#" in text or not text.isascii()) and (x := rewritten(layer, ESCAPE, from_escape)) is not None:
-        yield x, False
-    for start, end, run in chain(((m.start(), m.end(), m[0]) for m in BASE64.finditer(text)), wrapped(text) if "\n" in text else ()):
-        body = run.rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        if (got := as_text(data, most)) is not None:
+    whole, k = [], 0
+    for start, end, run in wrapped(text) if "\n" in text else ():
+        if (got := decoded(run, most)) is not None:
             yield Layer(got[0], *layer.origin(start, end), layer.depth + 1), got[1]
+            if len(text[start:end].split("\n", 1)[0].rstrip("\r")) % 4 == 0:
+                whole.append((start, end))  # its lines have nothing of their own
+    for m in BASE64.finditer(text):
+        while k < len(whole) and whole[k][1] <= m.start():
+            k += 1
+        if (k == len(whole) or m.start() < whole[k][0]) and (got := decoded(m[0], most)) is not None:
+            yield Layer(got[0], *layer.origin(m.start(), m.end()), layer.depth + 1), got[1]
 
 
 def scan_layers(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list[tuple[int, int, int, int]], int, list[tuple[int, int]]]:
@@ -282,6 +379,7 @@ def scan_secrets(df: DataFrame, text: str = "text", max_layer_bytes: int = MAX_L
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, counts and digest of the secrets in each document as it is, and the spans of all layers. Null and empty texts have none; equal texts have equal findings; repeated rows each keep their row; texts count whole."""
     found = scan_secrets(documents(spark, sf_dir).select("doc_id", "text"))
     base = F.filter("secret_spans", lambda x: x["depth"] == 0)
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")

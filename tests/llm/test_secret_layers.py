@@ -6,8 +6,11 @@ import base64
 import bz2
 import gzip
 import lzma
+import time
 import zlib
+from urllib.parse import quote
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -76,3 +79,54 @@ def test_valid_parts_of_percent_runs():
 
 def test_digests_are_no_layers():
     assert secrets.scan("0f" * 20 + " Donaudampfschifffahrtsgesellschaft a/path/of/some/words/here")[1] == 1
+
+
+TAIL = "assword=hunter22"
+
+
+@pytest.mark.parametrize("chain", ["%" + "25" * 400_000 + "70", "\\u005c" + "u005c" * 100_000 + "u0070", "&#38;" + "#38;" * 100_000 + "#112;", "%EF%BC%85" + "25EF%BC%85" * 40_000 + "70", "\\x5c" + "x25" * 3 + "x5c" * 50_000 + "x70"])
+def test_chains_take_linear_time(chain):
+    began = time.time()
+    text = f"é {chain}{TAIL} x"
+    spans, layers, cut = secrets.scan(text)
+    assert layers < 20 and not cut and time.time() - began < 60
+    if "x25" not in chain:
+        assert (2, 0, len(text) - 2) in [(a, k, e) for a, k, e, _ in spans]
+
+
+def test_one_pass_shows_what_single_steps_show(monkeypatch):
+    """What any number of single steps finds is inside of what is found when all steps but one are made at once."""
+    rng = np.random.default_rng(11)
+    bits = ["%", "25", "%25", "\\", "u005c", "x5c", "\\u0025", "&#37;", "&", "#38;", "%5Cx", "70", "p", "4", "1", "\uff05", "\uff12", "%C3%A9", "%ff", "\\u{70}", "token=abcdef12", "AKIA" + "Q" * 16, " ", "0f" * 12]
+    checked = 0
+    for _ in range(4000):
+        text = "".join(rng.choice(bits, rng.integers(2, 24)))
+        monkeypatch.setattr(secrets, "STEPS", 1000)
+        one = secrets.scan(text)[0]
+        monkeypatch.setattr(secrets, "STEPS", 1)
+        all_ = secrets.scan(text)[0]
+        checked += sum(d > 1 for *_, d in one)
+        assert all(any(k == q and s <= a and e <= f for s, q, f, _ in all_) for a, k, e, _ in one), text
+    assert checked > 50
+
+
+def test_nested_base64_in_lines_stays_small():
+    data = SECRET
+    for _ in range(12):
+        x = base64.b64encode(b"some words before " + data).decode()
+        data = "\n".join(x[i : i + 76] for i in range(0, len(x), 76)).encode()
+    spans, layers, _ = secrets.scan(data.decode())
+    assert layers < 100 and any(k == 0 for _, k, _, _ in spans)
+
+
+def test_very_long_text():
+    text = ("some ordinary words, and a path/like/this " * 50_000) + quote("password=hunter22", safe="")
+    spans, _, cut = secrets.scan(text)
+    assert not cut and [k for _, k, _, _ in spans] == [0]
+
+
+def test_layer_that_needs_too_much_memory_is_flagged(monkeypatch):
+    packed = lzma.compress(SECRET * 50)
+    real = lzma.LZMADecompressor
+    monkeypatch.setattr(secrets.lzma, "LZMADecompressor", lambda memlimit: real(memlimit=1 << 10))
+    assert secrets.scan("x " + base64.b64encode(packed).decode())[2]
