@@ -6,6 +6,8 @@ The fingerprint is 128 bits of xxhash of that form. Texts that share one are com
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -80,37 +82,45 @@ def fingerprint_documents(df: DataFrame, text: str = "text", out: str = "fingerp
 def with_next(df: DataFrame, id_col: str, tie: str, columns: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
     """df with `next`, a struct of `columns` of the row that follows in descending order of (id, tie); after the last comes the first.
 
-    Null ids come last. Rows are dealt by ranges of ids: quantiles, each cut evenly, CELLS * CUTS ranges at most. The first rows of each range are also sent to the range before it, so
-    no task sees all rows; what is collected or broadcast is a row for each quantile or range.
+    Null ids come last; `tie` is a long that spreads evenly, such as a hash. Rows are dealt by ranges: quantiles of the ids, each cut evenly, CELLS * CUTS ranges at most; an id that is a
+    quantile by itself, and the null ids, are cut by their tie. The first rows of each range are also sent to the range before it, so no task sees all rows; what is collected or broadcast is a row
+    for each quantile or range.
     """
-    key = F.coalesce(F.col(id_col), F.lit(-(2**63)))
-    ids = df.select(key.alias("__k"))
-    n = ids.count()
+    id_, tied = F.col(id_col), F.coalesce(F.col(tie), F.lit(0))
+    ids = df.select(id_.alias("__k"), tied.alias("__t"))
+    n, known = ids.agg(F.count("*"), F.count("__k")).first()
     if not n:
         return df.withColumn("next", F.lit(None).cast(df.select(F.struct(*columns).alias("s")).schema["s"].dataType))
-    parts = -(-n // range_rows)
-    cells = min(CELLS, parts)
-    bounds = ids.agg(F.percentile_approx("__k", [i / cells for i in range(1, cells)], 20 * cells)).first()[0] if cells > 1 else []
-    bounds = sorted(set(bounds))
-    # cell 0 has the greatest ids: a row's cell is how many bounds exceed its id
-    cell = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b > F.col("__k"))) if bounds else F.lit(0)
-    held = {r["c"]: r for r in ids.groupBy(cell.alias("c")).agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count("*").alias("n")).collect()}
-    cuts = [min(CUTS, -(-held[c]["n"] // range_rows)) if c in held else 1 for c in range(len(bounds) + 1)]
-    tops = F.array(*[F.lit(float(held[c]["hi"]) if c in held else 0.0) for c in range(len(cuts))])
-    steps = F.array(*[F.lit((float(held[c]["hi"]) - float(held[c]["lo"])) / m or 1.0 if c in held else 1.0) for c, m in enumerate(cuts)])
-    last = F.array(*[F.lit(m - 1) for m in cuts])
+    cells = min(CELLS, -(-n // range_rows))
+    found = ids.agg(F.percentile_approx("__k", [i / cells for i in range(1, cells)], 20 * cells)).first()[0] if cells > 1 and known else []
+    often = {x for x, y in pairwise(sorted(found)) if x == y}
+    bounds = sorted(set(found) | often | {x + 1 for x in often if x < 2**63 - 1})
+    # cell 0 has the greatest ids: a row's cell is how many bounds exceed its id; behind the last come nulls
+    cell_of = lambda k: F.when(k.isNull(), len(bounds) + 1).otherwise(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b > k)) if bounds else F.lit(0))
+    held = {r["c"]: r for r in ids.groupBy(cell_of(F.col("__k")).alias("c")).agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count("*").alias("n")).collect()}
+    each = [held.get(c) for c in range(len(bounds) + 2)]
+    cuts = [min(CUTS, -(-r["n"] // range_rows)) if r else 1 for r in each]
+    by_tie = [r is None or r["lo"] is None or r["lo"] == r["hi"] for r in each]
+    tops = F.array(*[F.lit(2.0**63 if t else float(r["hi"])) for r, t in zip(each, by_tie, strict=True)])
+    steps = F.array(*[F.lit((2.0**64 if t else float(r["hi"]) - float(r["lo"])) / m) for r, t, m in zip(each, by_tie, cuts, strict=True)])
+    last, tie_kept = F.array(*[F.lit(m - 1) for m in cuts]), F.array(*map(F.lit, by_tie))
     at = F.col("__c") + 1
-    place = F.least(F.floor((F.element_at(tops, at) - F.col("__k").cast("double")) / F.element_at(steps, at)), F.element_at(last, at))
-    ranged = lambda d: d.withColumn("__c", cell).withColumn("__r", (F.col("__c") * CUTS + place).cast("int")).drop("__c")
-    heads = cut(ranged(ids).groupBy("__r").agg(F.max("__k").alias("__k")))  # a row for each range
+
+    def ranged(d: DataFrame, k, t) -> DataFrame:
+        """d with its range __r, and __o, the id or the tie, by which rows of the range are told apart."""
+        placed = d.withColumn("__c", cell_of(k)).withColumn("__o", F.when(F.element_at(tie_kept, at), t).otherwise(k))
+        place = F.greatest(F.lit(0), F.least(F.floor((F.element_at(tops, at) - F.col("__o").cast("double")) / F.element_at(steps, at)), F.element_at(last, at)))
+        return placed.withColumn("__r", (F.col("__c") * CUTS + place).cast("int")).drop("__c")
+
+    heads = cut(ranged(ids, F.col("__k"), F.col("__t")).groupBy("__r").agg(F.max("__o").alias("__o")))  # a row for each range
     before = F.coalesce(F.lag("__r").over(Window.orderBy("__r")), F.max("__r").over(Window.partitionBy()))  # the first head goes to the last range
-    marked = ranged(df.withColumn("__k", key)).join(F.broadcast(heads.withColumn("__b", before)), ["__r", "__k"], "left")
-    # in a range: its own rows, then the copy of the next range's head
+    marked = ranged(df, id_, tied).join(F.broadcast(heads.withColumn("__b", before)), ["__r", "__o"], "left")
+    # in a range: its own rows, then the copies of the next range's head
     own = F.struct(F.lit(0).alias("copy"), F.col("__r").alias("r"))
     copies = F.when(F.col("__b").isNotNull(), F.array(own, F.struct(F.lit(1).alias("copy"), F.col("__b").alias("r")))).otherwise(F.array(own))
     dealt = marked.withColumn("__d", F.explode(copies)).repartition(F.col("__d.r"))
-    w = Window.partitionBy("__d.r").orderBy("__d.copy", F.desc("__k"), F.desc_nulls_last(tie))
-    return dealt.withColumn("next", F.lead(F.struct(*columns)).over(w)).filter("__d.copy = 0").drop("__k", "__r", "__b", "__d")
+    w = Window.partitionBy("__d.r").orderBy("__d.copy", F.desc("__o"), F.desc_nulls_last(tie))
+    return dealt.withColumn("next", F.lead(F.struct(*columns)).over(w)).filter("__d.copy = 0").drop("__o", "__r", "__b", "__d")
 
 
 def edited_form(text: Column, following: Column) -> Column:
@@ -120,6 +130,7 @@ def edited_form(text: Column, following: Column) -> Column:
 
 
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and the fingerprints of every document and of its edited text. Null texts are empty; null ids come last; rows of one id follow by a hash of their text; repeated rows each keep their row; an empty table gives no rows."""
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     rows = with_next(docs, "doc_id", "tie", ["doc_id", "tie", "text"])
     rows = rows.select("doc_id", "tie", "text", edited_form(F.col("text"), F.col("next.text")).alias("edited"), F.col("next.doc_id").alias("next_id"), F.col("next.tie").alias("next_tie"))
