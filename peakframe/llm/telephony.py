@@ -76,6 +76,8 @@ TAPS /= TAPS.sum()
 def doubled(x: np.ndarray) -> np.ndarray:
     """16-bit PCM at twice the rate: the samples, and band-limited values half-way between."""
     out = np.empty(2 * len(x), dtype=np.int16)
+    if not len(x):
+        return out
     out[0::2] = x
     padded = np.concatenate([np.repeat(x[:1], 7), x, np.repeat(x[-1:], 8)]).astype(np.float32)
     out[1::2] = np.clip(np.rint(np.convolve(padded, TAPS.astype(np.float32), "valid")), -32768, 32767)
@@ -122,13 +124,17 @@ def expanded(payload: bytes, code: int) -> np.ndarray:
 
 
 def measured(samples: np.ndarray, bounds: np.ndarray) -> list[str]:
-    """Root mean square, peak and sign changes of each stretch of samples."""
+    """Root mean square, peak and sign changes of each stretch of samples; zeros of one without samples."""
     square = np.concatenate([[0], np.cumsum(samples.astype(np.int64) ** 2)])
     turns = np.concatenate([[0], np.cumsum(np.diff(np.signbit(samples).astype(np.int8)) != 0), [0]])
-    peaks = np.maximum.reduceat(np.abs(samples.astype(np.int32)), bounds[:-1])
     a, b = bounds[:-1], bounds[1:]
-    rms = np.sqrt((square[b] - square[a]) / (b - a))
-    return [f"{r:.3f}/{p}/{t}" for r, p, t in zip(rms, peaks, turns[b - 1] - turns[a], strict=True)]
+    some = b > a
+    peaks, rms, changes = np.zeros(len(a), dtype=np.int64), np.zeros(len(a)), np.zeros(len(a), dtype=np.int64)
+    if some.any():
+        peaks[some] = np.maximum.reduceat(np.abs(samples.astype(np.int32)), a[some])
+        rms[some] = np.sqrt((square[b] - square[a])[some] / (b - a)[some])
+        changes[some] = turns[b[some] - 1] - turns[a[some]]
+    return [f"{r:.3f}/{p}/{t}" for r, p, t in zip(rms, peaks, changes, strict=True)]
 
 
 def encode_media(df: DataFrame, text: str = "text", media: str = "media", frame: int = FRAME, code: int = MULAW) -> DataFrame:
@@ -144,7 +150,8 @@ def decode_media(df: DataFrame, media: str = "media", pcm: str | None = "pcm") -
     """df with what is read back from a telephony WAV column: payload digests, sizes, and features of the sound.
 
     `feature` has root mean square, peak and sign changes of the payload as mu-law, A-law and ADPCM, and the CRC-32 of its PCM at twice the rate.
-    With `pcm` that PCM is stored too, as WAV. Null media and media that are no WAV file give nulls. Columns of df that have the new names are replaced.
+    With `pcm` that PCM is stored too, as WAV. Null media and media that are no WAV file give nulls; a payload without samples has zeros, as has the ADPCM reading of one shorter than a block.
+    Equal media have equal features; repeated rows each keep their row; an empty df gives no rows. Columns of df that have the new names are replaced.
     """
 
     def make():
@@ -157,7 +164,6 @@ def decode_media(df: DataFrame, media: str = "media", pcm: str | None = "pcm") -
                         good.append((i, *opened(bytes(v))))
                 except (ValueError, struct.error):
                     pass
-            good = [x for x in good if len(x[3]) >= BLOCK]
             if not good:
                 return out
             payloads = [x[3] for x in good]
@@ -185,5 +191,6 @@ def decode_media(df: DataFrame, media: str = "media", pcm: str | None = "pcm") -
 
 
 def op2_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, sizes, digests and features of every document as telephony, and `pcm`, its sound at 16 kHz as a WAV column. Null and empty texts are one frame of 255; equal texts have equal values; texts count whole."""
     stored = encode_media(documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "media")
-    return decode_media(stored, pcm=None).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return decode_media(stored).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pcm")
