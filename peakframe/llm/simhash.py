@@ -104,18 +104,18 @@ def block_masks(m: int, keep: int) -> list[int]:
 
 
 def near_links(prints: DataFrame, radius: int = RADIUS, unit: int = UNIT, blocks: int | None = None) -> DataFrame:
-    """(a, b): links that span the components of all pairs of `prints` (distinct longs in column fingerprint) within `radius` bits. Pass a written or checkpointed table.
+    """(a, b, a_id, b_id): links that span the components of all pairs of `prints` (distinct longs in column fingerprint, and a long id of each) within `radius` bits. Pass a written or checkpointed table.
 
     In each unit only spanning links come out, at most one a row, so thousands of near copies do not make millions of pairs; no link between components is lost.
     """
     m = blocks or blocks_for(prints.count(), radius, unit)
     masks = block_masks(m, m - radius)
     fp = F.col("fingerprint")
-    keyed = prints.select(fp, F.bit_count(fp).alias("ones"), F.posexplode(F.array(*[fp.bitwiseAND(F.lit(x).cast("long")) for x in masks])).alias("choice", "key"))
+    keyed = prints.select(fp, "id", F.bit_count(fp).alias("ones"), F.posexplode(F.array(*[fp.bitwiseAND(F.lit(x).cast("long")) for x in masks])).alias("choice", "key"))
     size = keyed.groupBy("choice", "key", "ones").agg(F.count("*").alias("n"))
     large = cut(size.groupBy("choice", "key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("ones", F.ceil(F.col("n") * 2 / unit).alias("parts"))).alias("tiles")).filter(F.col("n") > unit).drop("n"))
     if large.isEmpty():
-        dealt = keyed.select("fingerprint", F.xxhash64("choice", "key").alias("unit"))
+        dealt = keyed.select("fingerprint", "id", F.xxhash64("choice", "key").alias("unit"))
     else:
         # a unit that is too large: tiles of one population count each; a row goes to every pair of tiles within the radius that its own tile is part of
         joined = keyed.join(large, ["choice", "key"], "left")
@@ -125,45 +125,54 @@ def near_links(prints: DataFrame, radius: int = RADIUS, unit: int = UNIT, blocks
         others = F.flatten(F.transform(near, lambda t: F.transform(F.sequence(F.lit(0).cast("long"), t["parts"] - 1), lambda k: F.struct(t["ones"].cast("long").alias("ones"), k.alias("part")))))
         pairs = F.transform(others, lambda o: F.xxhash64("choice", "key", F.least(o, F.col("tile")), F.greatest(o, F.col("tile"))))
         units = F.when(F.col("tiles").isNull(), F.array(F.xxhash64("choice", "key"))).otherwise(pairs)
-        dealt = joined.withColumn("tile", F.when(F.col("tiles").isNotNull(), tile)).select("fingerprint", F.explode(units).alias("unit"))
+        dealt = joined.withColumn("tile", F.when(F.col("tiles").isNotNull(), tile)).select("fingerprint", "id", F.explode(units).alias("unit"))
+
+    names = ["a", "b", "a_id", "b_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
 
-        def linked(parts: list[np.ndarray]):
-            x = np.concatenate(parts) if len(parts) > 1 else parts[0]
-            return [(x[i], x[j]) for i, j in tiled_links(x.view(np.uint64), radius)] if len(x) > 1 else []
+        def linked() -> list[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            x = table.column(0).to_numpy()
+            links = tiled_links(x.view(np.uint64), radius) if len(x) > 1 else []
+            if not links:
+                return []
+            i, j = np.array(links).T
+            return [pa.RecordBatch.from_arrays([pa.array(x[i]), pa.array(x[j]), *(table.column(1).take(pa.array(k)).combine_chunks() for k in (i, j))], names=names)]
 
         for batch in batches:  # rows come unit by unit
-            prints_, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            marks = batch.column(2).to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(marks)) + 1).tolist(), len(marks)]
-            out = []
             for a, b in zip(edges, edges[1:], strict=False):
                 if a == b:
                     continue
                 if held and marks[a] != at:
-                    out += linked(held)
+                    yield from linked()
                     held = []
                 at = marks[a]
-                held.append(prints_[a:b])
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
-        if held and (out := linked(held)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from linked()
 
-    return dealt.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long")
+    return dealt.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long, a_id long, b_id long")
 
 
 def near_components(printed: DataFrame, id_col: str = "doc_id", radius: int = RADIUS, unit: int = UNIT) -> DataFrame:
-    """(fingerprint, root, component_id) for each distinct fingerprint of `printed`: the least fingerprint, and the smallest id of any, that it reaches by steps of at most `radius` bits."""
-    first = cut(printed.groupBy("fingerprint").agg(F.min(id_col).alias("first")))
-    roots = components(near_links(first.select("fingerprint"), radius, unit), "a", "b")
-    linked = first.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    return linked.join(least, "root").select("fingerprint", "root", "component_id")
+    """(fingerprint, root, component_id) for each distinct fingerprint of `printed`: component_id is the smallest id of any fingerprint that it reaches by steps of at most `radius` bits, root is one that has it.
+
+    Nodes are (id is null, smallest id, fingerprint), so the least node of a component has its id and nothing is gathered by component. Null ids count only where there is no other.
+    """
+    first = cut(printed.groupBy("fingerprint").agg(F.min(id_col).cast("long").alias("id")))
+    node = lambda fp, id_: F.struct(F.col(id_).isNull().alias("void"), F.col(id_).alias("id"), F.col(fp).alias("print"))
+    links = near_links(first, radius, unit).select(node("a", "a_id").alias("u"), node("b", "b_id").alias("v"))
+    roots = components(links, "u", "v").select(F.col("node.print").alias("fingerprint"), "root")
+    linked = first.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", node("fingerprint", "id")))
+    return linked.select("fingerprint", F.col("root.print").alias("root"), F.col("root.id").alias("component_id"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint, component_id of every document. Null, empty and blank texts have fingerprint 0, which links like any other; equal texts have equal fingerprints; repeated rows each keep their row."""
     printed = cut(fingerprints(documents(spark, sf_dir).select("doc_id", "text")))
     found = printed.join(near_components(printed).drop("root"), "fingerprint")
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
