@@ -9,18 +9,25 @@ from pyspark.sql import functions as F
 # Fields that a 304 response may update in the stored one, and query parameters that don't tell pages apart.
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary"]
 TRACKING = "utm_[a-z]+|ref|fbclid|gclid|sessionid"
+AUTHORITY = "^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//"
 #: Captures of one URL in a time slice; sums over slices carry the latest full response into the next.
 SLICE_SECONDS = 86_400
 
 
 def canonical_url(url: Column) -> Column:
-    """Host in lower case without www. or m., no scheme, default port, fragment, tracking parameters or trailing slash; other parameters in order of their text."""
+    """Host in lower case without www. or m., no scheme, default port of the scheme, fragment, tracking parameters or trailing slash; other parameters in order of their text.
+
+    URLs without a host (`mailto:x@y`, `example.com/a`) are themselves, without their fragment; empty ones are null.
+    """
     plain = F.regexp_replace(F.trim(url), "#.*$", "")
-    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(plain, "^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?]*)", 1)), "^(www|m)\\.", ""), ":(80|443)$", "")
-    path = F.regexp_replace(F.regexp_extract(plain, "^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?]*([^?]*)", 1), "/+$", "")
+    scheme = F.lower(F.regexp_extract(plain, "^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    named = F.regexp_replace(F.lower(F.regexp_extract(plain, f"{AUTHORITY}([^/?]*)", 1)), "^(www|m)\\.", "")
+    host = F.when(scheme == "https", F.regexp_replace(named, ":443$", "")).otherwise(F.regexp_replace(named, ":80$", ""))
+    path = F.regexp_replace(F.regexp_extract(plain, f"{AUTHORITY}[^/?]*([^?]*)", 1), "/+$", "")
     query = F.regexp_extract(plain, "\\?(.*)$", 1)
     kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(f"^(?i)({TRACKING})(=|$)")))
-    return F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    whole = F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
+    return F.when(plain == "", None).when(host == "", plain).otherwise(whole)
 
 
 def resolve_revisits(records: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
@@ -30,27 +37,25 @@ def resolve_revisits(records: DataFrame, slice_seconds: int = SLICE_SECONDS) ->
     Returns record_id, key (canonical URL), ts, original_id, original_ts, status and headers:
     `resolved` if the latest response with an earlier ts (ties of ts: greatest record_id) agrees with every validator (etag, last-modified) that both have, and one at least;
     `unverified` if they share none; `mismatch` if one differs; `no_original` without an earlier response. Headers are the response's, with permitted ones of the revisit
-    put over them where resolved; else the revisit's own. Null URLs have no original; null ts count as earliest of all and find none. Repeated revisits each keep their row.
+    put over them where resolved; else the revisit's own. Null and empty URLs and null ts have no original. Repeated revisits each keep their row; an empty table gives no rows.
 
-    Records are dealt by (URL, time slice) and the last response of each slice is carried forward over slices, so captures of one very common URL spread over tasks; bodies aren't moved.
+    Captures of a URL in one second are combined before the shuffle, so a time slice has no more rows than seconds; the last response of each slice is carried forward over slices.
+    One very common URL thus spreads over tasks; bodies aren't moved.
     """
     cols = records.select("record_id", canonical_url(F.col("url")).alias("key"), "ts", "kind", "headers")
-    cols = cols.withColumn("slice", F.floor(F.coalesce("ts", F.lit(0)) / slice_seconds))
-    seen = F.struct("ts", "record_id", "headers")
-    full = (F.col("kind") == "response") & F.col("ts").isNotNull() & F.col("key").isNotNull()
-    # the last response of each slice, by time then id; then of all slices before
-    last = cols.filter(full).groupBy("key", "slice").agg(F.max(F.struct("ts", "record_id")).alias("id"), F.max_by("headers", F.struct("ts", "record_id")).alias("h"))
-    last = last.select("key", "slice", F.struct(F.col("id.ts").alias("ts"), F.col("id.record_id").alias("record_id"), F.col("h").alias("headers")).alias("r"))
-    wanted = cols.filter("kind = 'revisit'").select("key", "slice").distinct().withColumn("r", F.lit(None).cast(last.schema["r"].dataType))
-    ordered = Window.partitionBy("key").orderBy("slice", F.asc_nulls_first("r.ts")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.unionByName(wanted).withColumn("before", F.last("r", ignorenulls=True).over(ordered)).filter("r is null").select("key", "slice", "before")
-    # inside a slice: the last response with an earlier ts
-    inside = Window.partitionBy("key", "slice").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    near = F.max(F.when(full, F.struct("ts", "record_id"))).over(inside)
-    near_headers = F.max_by(F.when(full, F.col("headers")), F.when(full, F.struct("ts", "record_id"))).over(inside)
-    hits = cols.withColumn("n", near).withColumn("nh", near_headers).filter("kind = 'revisit'")
-    joined = hits.join(carried, (hits["key"].eqNullSafe(carried["key"])) & (hits["slice"] == carried["slice"]), "left").select(hits["*"], "before")
-    found = joined.withColumn("o", F.when(F.col("ts").isNull() | F.col("key").isNull(), None).when(F.col("n").isNotNull(), F.struct(F.col("n.ts").alias("ts"), F.col("n.record_id").alias("record_id"), F.col("nh").alias("headers"))).otherwise(F.col("before")))
+    placed = F.col("key").isNotNull() & F.col("ts").isNotNull()
+    order, full = F.struct("ts", "record_id"), F.col("kind") == "response"
+    moments = cols.filter(placed & (full | (F.col("kind") == "revisit"))).groupBy("key", "ts").agg(
+        F.max(F.when(full, F.col("record_id"))).alias("id"), F.max_by(F.when(full, F.col("headers")), F.when(full, order)).alias("h"), F.max(full).alias("full"), F.max(~full).alias("wanted"))
+    r = F.when(F.col("full"), F.struct(F.col("ts"), F.col("id").alias("record_id"), F.col("h").alias("headers")))
+    moments = moments.select("key", "ts", F.floor(F.col("ts") / slice_seconds).alias("slice"), r.alias("r"), "wanted")
+    inside = Window.partitionBy("key", "slice").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    near = moments.withColumn("near", F.last("r", ignorenulls=True).over(inside))
+    slices = moments.groupBy("key", "slice").agg(F.max_by("r", F.when(F.col("r").isNotNull(), F.col("ts"))).alias("r"))
+    carried = slices.select("key", "slice", F.last("r", ignorenulls=True).over(Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    known = near.filter("wanted").join(carried, ["key", "slice"]).select("key", "ts", F.coalesce("near", "before").alias("o"))
+    revisits = cols.filter(F.col("kind") == "revisit")
+    found = revisits.filter(placed).join(known, ["key", "ts"]).select(*cols.columns, "o").unionByName(revisits.filter(~placed).withColumn("o", F.lit(None).cast(known.schema["o"].dataType)))
     own, old = F.col("headers"), F.col("o.headers")
     both = lambda k: F.element_at(own, k).isNotNull() & F.element_at(old, k).isNotNull()
     differs = lambda k: both(k) & (F.element_at(own, k) != F.element_at(old, k))
@@ -80,6 +85,7 @@ def captures(pages: DataFrame) -> DataFrame:
 
 
 def op7_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The resolved revisits of the crawl history that is derived from `pages` (see captures); null and empty URLs have no original, repeated pages keep their rows."""
     found = resolve_revisits(captures(spark.read.parquet(f"{sf_dir}/pages.parquet")))
     header = lambda k: F.element_at("headers", k).alias(k.replace("-", "_"))
     return found.select("record_id", "key", "ts", "original_id", "original_ts", "status", header("etag"), header("date"), header("content-length"), header("server"), header("connection"))
@@ -89,11 +95,14 @@ OP7_SQL = r"""
 WITH p AS (
   SELECT page_id, url, (page_id * 10000) % 999983 AS at_, md5(coalesce(html, '')) AS etag, coalesce(strlen(html), 0)::VARCHAR AS bytes,
          regexp_replace(trim(url), '#.*$', '') AS plain FROM pages),
+h AS (
+  SELECT *, regexp_replace(lower(regexp_extract(plain, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?]*)', 1)), '^(www|m)\.', '') AS named,
+         lower(regexp_extract(plain, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS scheme FROM p),
 k AS (
-  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(plain, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?]*)', 1)), '^(www|m)\.', ''), ':(80|443)$', '')
-         || regexp_replace(regexp_extract(plain, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?]*([^?]*)', 1), '/+$', '') AS base,
-         list_sort(list_filter(string_split(regexp_extract(plain, '\?(.*)$', 1), '&'), lambda q: q <> '' AND NOT regexp_matches(q, '^(?i)(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) AS kept FROM p),
-c AS (SELECT page_id, etag, bytes, at_, CASE WHEN len(kept) > 0 THEN base || '?' || array_to_string(kept, '&') ELSE base END AS key FROM k),
+  SELECT *, CASE WHEN scheme = 'https' THEN regexp_replace(named, ':443$', '') ELSE regexp_replace(named, ':80$', '') END AS host,
+         regexp_replace(regexp_extract(plain, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(plain, '\?(.*)$', 1), '&'), lambda q: q <> '' AND NOT regexp_matches(q, '^(?i)(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) AS kept FROM h),
+c AS (SELECT page_id, etag, bytes, at_, CASE WHEN plain = '' THEN NULL WHEN host = '' THEN plain WHEN len(kept) > 0 THEN host || path || '?' || array_to_string(kept, '&') ELSE host || path END AS key FROM k),
 o AS (SELECT key, at_ AS ts, max(page_id) AS page_id FROM c GROUP BY key, at_),
 f AS (SELECT o.key, o.ts, o.page_id, c.etag, c.bytes FROM o JOIN c ON c.page_id = o.page_id),
 r AS (SELECT page_id * 4 + n AS record_id, key, at_ + n * 86400 AS ts, CASE WHEN page_id % 7 = 0 THEN NULL WHEN page_id % 11 = 0 THEN etag || '-new' ELSE etag END AS etag FROM c, (VALUES (1), (2), (3)) v(n)),
