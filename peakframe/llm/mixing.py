@@ -15,6 +15,8 @@ from peakframe.llm.common import cut, documents
 WEIGHTS, SHARE, MOST, SEED = (5, 2, 1), 1.5, 2.0, "mix-1"
 #: Steps of the logarithm of the ranking key, by which sums are made: one step holds less than a ten-thousandth of a source's ranked documents.
 STEPS = 1 << 12
+#: Values of a step or a size that are summed in one window; the windows' own sums come after.
+SPAN = 1 << 8
 #: Sources (a row of 60 bytes each) that are broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
 BLANK = "\\x20\\x09-\\x0D"
@@ -67,6 +69,15 @@ def hinted(goals: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(goals) if goals.limit(most + 1).count() <= most else goals
 
 
+def running(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
+    """df (checkpointed; __s, a whole number `order` and others) with before_{c}: the sum of column c over its source's rows of less `order`. Windows hold SPAN values at most, or a row for each span."""
+    spans = df.groupBy("__s", F.floor(F.col(order) / SPAN).alias("__g")).agg(*[F.sum(c).alias(c) for c in columns])
+    before = lambda c, *by: F.coalesce(F.sum(c).over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = spans.select("__s", "__g", *[before(c, "__s", "__g").alias(f"start_{c}") for c in columns])
+    inside = df.withColumn("__g", F.floor(F.col(order) / SPAN)).withColumns({f"in_{c}": before(c, "__s", "__g", order) for c in columns})
+    return inside.join(starts, ["__s", "__g"]).select(*df.columns, *[(F.col(f"start_{c}") + F.col(f"in_{c}")).alias(f"before_{c}") for c in columns])
+
+
 def plan(sizes: DataFrame, size: str, source: str = "source", id_col: str = "doc_id", weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
     """A row for each source: __s, source_size, target, __whole (certain copies of each document), __rate (inclusion probability for a word), and __step and __last: taken are the
     keys of steps before __step, and those up to __last.
@@ -82,19 +93,19 @@ def plan(sizes: DataFrame, size: str, source: str = "source", id_col: str = "doc
     goals = goals.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("__s"), "source_size", "target", F.coalesce(F.least(F.floor(F.try_divide("target", "source_size")), F.lit(int(most))), F.lit(0)).alias("__whole"))
     goals = cut(goals.withColumn("__lack", F.coalesce(F.floor(F.col("target") + 0.5), F.lit(0)) - F.col("__whole") * F.col("source_size")))
     # the rate at which documents up to this size have less than 1 and all greater ones are certain; the right one is that of the greatest size that it leaves below 1
-    words, squares = F.col("__n") * F.col("k"), (F.col("__n").cast("decimal(19,0)") * F.col("__n") * F.col("k")).cast("decimal(38,0)")
-    upto, from_ = Window.partitionBy("__s").orderBy("__n"), Window.partitionBy("__s").orderBy(F.desc("__n"))
-    tried = by_size.filter("__n > 0").select("__s", "__n", F.sum(squares).over(upto).alias("square"), (F.sum(words).over(from_) - words).alias("above"))
-    tried = tried.join(hinted(goals.select("__s", "__lack")), "__s").withColumn("rate", F.greatest(F.col("__lack") - F.col("above"), F.lit(0)).cast("double") / F.col("square").cast("double"))
+    words = F.col("__n") * F.col("k")
+    summed = cut(by_size.filter("__n > 0").select("__s", "__n", words.alias("words"), (F.col("__n").cast("decimal(19,0)") * words).cast("decimal(38,0)").alias("square")))
+    tried = running(summed, "__n", ["words", "square"]).join(hinted(goals.select("__s", "source_size", "__lack")), "__s")
+    above = F.col("source_size") - F.col("before_words") - F.col("words")
+    tried = tried.withColumn("rate", F.greatest(F.col("__lack") - above, F.lit(0)).cast("double") / (F.col("before_square") + F.col("square")).cast("double"))
     rates = tried.filter(F.col("rate") * F.col("__n") < 1).groupBy("__s").agg(F.max_by("rate", "__n").alias("__rate"))
     goals = cut(goals.join(rates, "__s", "left"))
     sure = by_size.join(hinted(goals.select("__s", "__rate")), "__s").filter(chance(F.col("__n"), F.col("__rate")) >= 1).groupBy("__s").agg(F.sum(words).alias("sure"))
     ranked = rows.join(hinted(goals.select("__s", "__rate")), "__s").select("__s", "__n", order_key(F.col("__id"), F.col("__n"), F.col("__rate"), seed).alias("key")).filter("key is not null")
     ranked = cut(ranked.withColumn("step", step_of(F.col("key"))))
     lack = cut(goals.join(sure, "__s", "left").select("__s", (F.col("__lack") - F.coalesce("sure", F.lit(0))).alias("lack")))
-    steps = ranked.groupBy("__s", "step").agg(F.sum("__n").alias("words"))
-    before = F.coalesce(F.sum("words").over(Window.partitionBy("__s").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    met = cut(steps.withColumn("before", before).join(hinted(lack), "__s").filter((F.col("before") < F.col("lack")) & (F.col("lack") <= F.col("before") + F.col("words"))).select("__s", "step", "before", "lack"))
+    steps = running(cut(ranked.groupBy("__s", "step").agg(F.sum("__n").alias("words"))), "step", ["words"]).withColumnRenamed("before_words", "before")
+    met = cut(steps.join(hinted(lack), "__s").filter((F.col("before") < F.col("lack")) & (F.col("lack") <= F.col("before") + F.col("words"))).select("__s", "step", "before", "lack"))
     near = ranked.join(hinted(met), ["__s", "step"]).groupBy("__s", "key", "before", "lack").agg(F.sum("__n").alias("words"))
     reached = F.col("before") + F.sum("words").over(Window.partitionBy("__s").orderBy("key"))
     last = near.withColumn("reached", reached).filter(2 * F.col("reached") - F.col("words") <= 2 * F.col("lack")).groupBy("__s").agg(F.max("key").alias("__last"))
