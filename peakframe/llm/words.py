@@ -17,6 +17,12 @@ MEMO, CORES = 200_000, 150_000
 GROUP = 256
 #: What Python and the library surely treat alike: letters up to here are letters to both, and composed.
 PLAIN_END = "ɐ"
+#: The normalizer and the splits that the memo assumes (dropped white space, lower case, runs of letters, single digits, runs of marks).
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITS = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
 #: Marks that, in any run behind a word of letters, the library splits off as one part.
 ENDS = ".,;:!?$&%*#"
 
@@ -46,7 +52,7 @@ def version(path: str) -> str:
 class JsonTokenizer:
     """Ids of whole texts as the tokenizers library gives them, as little-endian unsigned 32-bit bytes.
 
-    If the file drops white space and ends each word's last token with a suffix, words are encoded once and remembered; else texts go to the library as they are.
+    If the file has exactly the normalizer and splits that the memo assumes, and ends each word's last token with a suffix, words are encoded once and remembered; else texts go to the library as they are.
     """
 
     def __init__(self, path: str):
@@ -56,15 +62,16 @@ class JsonTokenizer:
         self.library.no_padding()
         self.library.no_truncation()
         said = json.loads(Path(path).read_text())
-        model, splits = said["model"], (said.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        model, added = said["model"], said.get("added_tokens") or []
         suffix = model.get("end_of_word_suffix")
-        added = said.get("added_tokens") or []
-        split = splits[0] if splits else {}
+        # a file that differs in any of this is left to the library
         self.by_word = (
             bool(suffix)
-            and split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True and "\\s" in json.dumps(split)
-            and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or any(c.isspace() for c in a["content"]) for a in added)
-        )
+            and not model.get("dropout")
+            and (said.get("normalizer") or {}).get("normalizers") == NORMALIZER
+            and (said.get("pre_tokenizer") or {}).get("pretokenizers") == SPLITS
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t.get("normalized") or any(c.isspace() for c in t["content"]) for t in added)
+        )
         if self.by_word:
             self.ends = np.zeros(self.library.get_vocab_size(), dtype=bool)
             self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(suffix)]] = True
