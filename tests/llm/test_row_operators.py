@@ -114,6 +114,52 @@ def test_telephony_round_trip(spark, data):
         assert (r["n_bytes"], r["payload_bytes"], r["media_bytes"]) == (len(raw), n, len(media))
         assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-32:])
         assert r["media_sha256"] == hashlib.sha256(media).hexdigest() and telephony.opened(media)[2] == payload
+        code, rate, sound = telephony.opened(bytes(r["pcm"]))
+        assert (code, rate, len(sound)) == (telephony.PCM, 16000, 4 * n) and r["feature"].endswith(f";pcm16000={zlib.crc32(sound):08x}")
+        assert np.array_equal(np.frombuffer(sound, dtype="<i2")[::2], [mulaw(x) for x in payload] if n < 5000 else telephony.MU[np.frombuffer(payload, dtype=np.uint8)])
+
+
+def mulaw(byte):
+    """One byte by the definition: sign, exponent and mantissa of the complement, with a bias of 132."""
+    u = 255 - byte
+    size = ((u % 16) * 8 + 132) * 2 ** (u // 16 % 8) - 132
+    return -size if u >= 128 else size
+
+
+def alaw(byte):
+    a = byte ^ 0x55
+    exponent, size = a // 16 % 8, a % 16 * 16
+    size = size + 8 if exponent == 0 else (size + 264) * 2 ** (exponent - 1)
+    return size if a >= 128 else -size
+
+
+def adpcm_block(block):
+    value, index = int.from_bytes(block[:2], "little", signed=True), min(block[2], 88)
+    out = [value]
+    for nibble in (x for byte in block[4:] for x in (byte & 15, byte >> 4)):
+        step = int(telephony.STEPS[index])
+        size = (step >> 3) + (step if nibble & 4 else 0) + (step >> 1 if nibble & 2 else 0) + (step >> 2 if nibble & 1 else 0)
+        value = max(-32768, min(32767, value - size if nibble & 8 else value + size))
+        index = max(0, min(88, index + (-1, -1, -1, -1, 2, 4, 6, 8)[nibble & 7]))
+        out.append(value)
+    return out
+
+
+def said(samples):
+    if not samples:
+        return "0.000/0/0"
+    return f"{(sum(x * x for x in samples) / len(samples)) ** 0.5:.3f}/{max(map(abs, samples))}/{sum((a < 0) != (b < 0) for a, b in zip(samples, samples[1:], strict=False))}"
+
+
+def test_features_by_plain_reading(spark):
+    rng = np.random.default_rng(9)
+    payloads = [bytes(rng.integers(0, 256, n, dtype=np.uint8)) for n in (0, 1, 20, 35, 36, 37, 100, 576, 1152)] + [b"\xff" * 576]
+    df = spark.createDataFrame([(i, bytearray(telephony.wav(p))) for i, p in enumerate(payloads)], "i int, media binary")
+    rows = {r["i"]: r for r in telephony.decode_media(df).collect()}
+    for i, p in enumerate(payloads):
+        blocks = [p[k : k + 36] for k in range(0, len(p) - 35, 36)]
+        want = f"mulaw={said([mulaw(x) for x in p])};alaw={said([alaw(x) for x in p])};adpcm={said([v for b in blocks for v in adpcm_block(b)])};pcm16000="
+        assert rows[i]["feature"].startswith(want) and rows[i]["payload_bytes"] == len(p) and len(telephony.opened(bytes(rows[i]["pcm"]))[2]) == 4 * len(p)
 
 
 def test_expansion_tables():
@@ -175,6 +221,46 @@ def test_cache_is_used_and_filled_once(spark, name):
     assert token_counts.count_tokens(empty(spark), cache, name=name).count() == 0
 
 
+def test_lasting_cache(spark, data, tmp_path):
+    """A second run of the query finds what the first stored, and encodes nothing."""
+    path = str(tmp_path / "counts")
+    spark.conf.set(token_counts.CACHE_SETTING, path)
+    try:
+        first = sorted(map(str, token_counts.op4_token_counts(spark, data).collect()))
+        n = spark.read.parquet(path).count()
+        assert sorted(map(str, token_counts.op4_token_counts(spark, data).collect())) == first and spark.read.parquet(path).count() == n
+    finally:
+        spark.conf.unset(token_counts.CACHE_SETTING)
+
+
+def test_copies_are_encoded_once(spark, monkeypatch):
+    """Whatever their ids, with the misses broadcast or shuffled."""
+    rows = [(i if i % 3 else None, f"text {i % 5}") for i in range(200)] + [(7, None), (7, "text 1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for few in (10_000, 0):
+        monkeypatch.setattr(token_counts, "FEW", few)
+        cache = scratch(spark, "cache")
+        got = token_counts.count_tokens(docs, cache).collect()
+        assert len(got) == len(rows) and spark.read.parquet(cache).count() == 6
+
+
+@pytest.mark.parametrize("change", ["normalizer", "pre_tokenizer", "other marks"])
+def test_other_files_are_left_to_the_library(tmp_path, change):
+    import json
+
+    said = json.loads(open(__import__("public_tokenizers").path("word_bpe_49k.json")).read())
+    if change == "normalizer":
+        said["normalizer"]["normalizers"] = said["normalizer"]["normalizers"][:2]
+    elif change == "pre_tokenizer":
+        said["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "[\\p{L}]+|[\\p{N}]+|[^\\s\\p{L}\\p{N}]+"
+    else:
+        said["normalizer"]["normalizers"].append({"type": "Strip", "strip_left": True, "strip_right": True})
+    path = tmp_path / "changed.json"
+    path.write_text(json.dumps(said))
+    t = words.JsonTokenizer(str(path))
+    assert not t.by_word and t.encode(["One TWO 123 !?", "Ärger"]) == t.raw(["One TWO 123 !?", "Ärger"])
+
+
 def test_words_one_by_one_are_the_text():
     t = words.tokenizer("word_bpe_49k.json")
     rng, alphabet = np.random.default_rng(0), list("ab'sté.,!́ \n\t\x0b\x1c\x1f\x85\xa0　﻿ªµßŉĸǄΣς<|>endoftext123²Ⅷ_")

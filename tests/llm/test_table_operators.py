@@ -53,13 +53,17 @@ def test_fingerprints_of_all_documents(spark, data):
         assert (r["near_edited"], r["near_next"]) == (float(wide(text) == wide(edited)), float(wide(text) == wide(after)))
 
 
-def test_ranges_of_neighbours(spark):
-    ids = [*np.random.default_rng(5).permutation(400).tolist(), None, 7, 7]
-    df = spark.createDataFrame([(i, f"t{n}") for n, i in enumerate(ids)], "doc_id long, text string").repartition(5)
-    rows = fingerprint.with_next(df, "doc_id", "text", ["doc_id", "text"], range_rows=37).collect()
-    order = sorted(((i is not None, i or 0, t) for i, t in ((i, f"t{n}") for n, i in enumerate(ids))), reverse=True)
-    assert {(r["text"], r["next"]["text"]) for r in rows} == {(a[2], b[2]) for a, b in zip(order, order[1:] + order[:1], strict=True)}
-    one = fingerprint.with_next(df.filter("text = 't3'"), "doc_id", "text", ["text"]).first()
+@pytest.mark.parametrize(("nulls", "hot"), [(1, 2), (300, 0), (0, 300), (200, 400)])
+def test_ranges_of_neighbours(spark, nulls, hot):
+    """Null ids, and an id that many rows share, go to as many ranges as their rows need."""
+    rng = np.random.default_rng(5)
+    ids = [*rng.permutation(400).tolist(), *[None] * nulls, *[7] * hot]
+    rows_ = [(i, int(rng.integers(-(2**63), 2**63 - 1)), f"t{n}") for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows_, "doc_id long, tie long, text string").repartition(5)
+    rows = fingerprint.with_next(df, "doc_id", "tie", ["doc_id", "text"], range_rows=37).collect()
+    order = sorted(((i is not None, i or 0, tie, t) for i, tie, t in rows_), reverse=True)
+    assert {(r["text"], r["next"]["text"]) for r in rows} == {(a[3], b[3]) for a, b in zip(order, order[1:] + order[:1], strict=True)} and len(rows) == len(ids)
+    one = fingerprint.with_next(df.filter("text = 't3'"), "doc_id", "tie", ["text"]).first()
     assert one["next"]["text"] == one["text"]
 
 
@@ -144,7 +148,8 @@ def test_tiles_lose_no_link(tile, radius):
 @pytest.mark.parametrize(("unit", "blocks"), [(4096, None), (6, None), (4096, 7)])
 def test_units_lose_no_link(spark, unit, blocks):
     prints = near_copies(200, 3)
-    df = spark.createDataFrame([(p,) for p in prints], "fingerprint long")
+    df = spark.createDataFrame([(p, p // 2) for p in prints], "fingerprint long, id long")
+    assert all((r["a_id"], r["b_id"]) == (r["a"] // 2, r["b"] // 2) for r in simhash.near_links(df, 4, unit, blocks).collect())
     got = {r["node"]: r["root"] for r in components.components(simhash.near_links(df, 4, unit, blocks), "a", "b").collect()}
     label = linked([p & (2**64 - 1) for p in prints], 4)
     groups = defaultdict(set)
@@ -154,6 +159,15 @@ def test_units_lose_no_link(spark, unit, blocks):
     assert got == want
 
 
+def test_component_ids_of_odd_ids(spark):
+    """Null and repeated ids: a component has its smallest id, null only where there is no other; fingerprints that share an id are not linked by that."""
+    rows = [(5, 0b1), (3, 0b11), (None, 0b111), (3, 0xFFFF << 20), (None, 0xFFFFF << 40), (9, 0xFFFF << 20), (9, 0b1)]
+    got = {r["fingerprint"]: r["component_id"] for r in simhash.near_components(spark.createDataFrame(rows, "doc_id long, fingerprint long")).collect()}
+    assert got == {0b1: 3, 0b11: 3, 0b111: 3, 0xFFFF << 20: 3, 0xFFFFF << 40: None}
+    roots = {r["fingerprint"]: r["root"] for r in simhash.near_components(spark.createDataFrame(rows, "doc_id long, fingerprint long")).collect()}
+    assert roots[0b1] == roots[0b11] == roots[0b111] != roots[0xFFFF << 20]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5), (None, 3), (200, 100)] + [(1000, 1000 + i) for i in range(1, 40)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
@@ -176,20 +190,26 @@ def test_canonical_urls(spark):
     assert got == {"example.com/a?a=1&b=2"}
 
 
+def test_urls_without_host_or_with_other_ports(spark):
+    said = {"example.com/a": "example.com/a", "other.org/b#x": "other.org/b", "mailto:x@y": "mailto:x@y", "": None, "  ": None, "#top": None, "http://a.b:443/": "a.b:443", "https://a.b:443/": "a.b", "https://a.b:80/": "a.b:80", "http://A.b:80": "a.b"}
+    got = {r["url"]: r["u"] for r in spark.createDataFrame([(u,) for u in said], "url string").select("url", revisit.canonical_url(F.col("url")).alias("u")).collect()}
+    assert got == said
+
+
 def test_revisits_like_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = []
     for i in range(600):
         ts = None if rng.random() < 0.02 else int(rng.integers(0, 300))
         tags = {k: str(rng.integers(0, 2)) for k in ("etag", "last-modified", "date", "content-length", "vary") if rng.random() < 0.6}
-        rows.append((i, [None, "http://hot.example.com/", "http://b.example.com/x"][int(rng.choice(3, p=[0.02, 0.8, 0.18]))], ts, ["response", "revisit"][int(rng.random() < 0.5)], tags))
+        rows.append((i, [None, "http://hot.example.com/", "http://b.example.com/x", "", "mailto:a@b"][int(rng.choice(5, p=[0.02, 0.7, 0.18, 0.05, 0.05]))], ts, ["response", "revisit"][int(rng.random() < 0.5)], tags))
     df = spark.createDataFrame(rows, "record_id long, url string, ts long, kind string, headers map<string,string>").withColumn("key", F.lit("clash")).withColumn("status", F.lit(1))
     got = {r["record_id"]: r for r in revisit.resolve_revisits(df, slice_seconds=20).collect()}
     assert sorted(got) == [r[0] for r in rows if r[3] == "revisit"]
     for i, url, ts, kind, head in rows:
         if kind != "revisit":
             continue
-        full = [r for r in rows if r[3] == "response" and r[1] == url and url and None not in (r[2], ts) and r[2] < ts]
+        full = [r for r in rows if r[3] == "response" and r[1] == url and (url or "").strip() and None not in (r[2], ts) and r[2] < ts]
         best = max(full, key=lambda r: (r[2], r[0]), default=None)
         r = got[i]
         assert r["original_id"] == (best and best[0])
