@@ -5,33 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peakframe.functions.labels import fill_index, fs_of, hist_name, im_of, n_bins, part_of, roi_name
+from peakframe.functions.labels import fill_index, fs_of, hist_name, im_of, part_of
+from peakframe.operators.selection import pinned
+from peakframe.sources.shared import written
 
+#: Signatures with names (a row of about 150 bytes each) that are broadcast; beyond it the join shuffles.
+BROADCAST_NAMES = 100_000
 HIST = ["hist_name", "lo", "hi", "nbins"]
 
 
 def named(values: DataFrame, sig: str = "signature") -> DataFrame:
-    """values with the histogram name of their signature; others are dropped."""
-    s = F.col(sig)
-    return values.withColumn("name", F.when(fs_of(s) != "", hist_name(fs_of(s), im_of(s)))).filter("name is not null")
+    """values with the histogram name of their signature; others are dropped. Each distinct signature is parsed once, in a written table that is joined to the values."""
+    s, found = F.col(sig), values.select(sig).distinct()
+    parsed = pinned(found, {"__fs": fs_of(s), "__im": im_of(s)}).filter(F.col("__fs") != "").select(sig, hist_name(F.col("__fs"), F.col("__im")).alias("name"))
+    names = written(parsed)
+    small = names.limit(BROADCAST_NAMES + 1).count() <= BROADCAST_NAMES
+    return values.drop("name").join(F.broadcast(names) if small else names, sig)
 
 
 def without_outliers(values: DataFrame, sig: str = "signature") -> DataFrame:
     return values.filter(part_of(F.col(sig)) != "outliers")
 
 
-def global_ranges(values: DataFrame, key: str = "name") -> DataFrame:
-    return values.groupBy(key).agg(F.min("m").alias("gmin"), F.max("m").alias("gmax"))
+def global_ranges(values: DataFrame, key: str = "name", by: tuple[str, ...] = ()) -> DataFrame:
+    return values.groupBy(key, *by).agg(F.min("m").alias("gmin"), F.max("m").alias("gmax"))
 
 
-def filled(values: DataFrame, ranges: DataFrame, widths: list[float], key: str = "name") -> DataFrame:
-    """Histograms of values by key in the key's range, one for each width. Keys without a range are skipped (see unranged)."""
-    joined = values.join(ranges, key)
+def filled(values: DataFrame, ranges: DataFrame, widths: list[float], key: str = "name", by: tuple[str, ...] = (), range_by: tuple[str, ...] = ()) -> DataFrame:
+    """Histograms of values by key in the key's range, one for each width. Keys without a range are skipped (see unranged).
+
+    Columns `by` of values tell partial histograms apart, which are filled in one pass; ranges may be of the key and `range_by`.
+    """
+    joined = values.join(ranges, [key, *range_by])
     kinds = F.explode(F.array(*[F.struct(F.lit(float(w)).alias("w"), F.lit(f"_width_{float(w)}").alias("tail")) for w in widths]))
     wide = joined.withColumn("k", kinds)
     nbins = F.greatest(F.ceil((F.col("gmax") - F.col("gmin")) / F.col("k.w")), F.lit(1)).cast("long")
-    rows = wide.select(F.concat(F.lit("ROI_"), F.col(key), F.col("k.tail")).alias("hist_name"), F.col("gmin").alias("lo"), F.col("gmax").alias("hi"), nbins.alias("nbins"), "m")
-    return rows.withColumn("bin", fill_index(F.col("m"), F.col("lo"), F.col("hi"), F.col("nbins"))).groupBy(*HIST, "bin").agg(F.count("*").alias("content"))
+    rows = wide.select(*by, F.concat(F.lit("ROI_"), F.col(key), F.col("k.tail")).alias("hist_name"), F.col("gmin").alias("lo"), F.col("gmax").alias("hi"), nbins.alias("nbins"), "m")
+    return rows.withColumn("bin", fill_index(F.col("m"), F.col("lo"), F.col("hi"), F.col("nbins"))).groupBy(*by, *HIST, "bin").agg(F.count("*").alias("content"))
 
 
 def unranged(values: DataFrame, ranges: DataFrame, key: str = "name") -> DataFrame:
@@ -86,5 +96,3 @@ def rebinned(hist: DataFrame, width: float) -> DataFrame:
     share = F.greatest(F.least("b", right) - F.greatest("a", left), F.lit(0.0)) / (F.col("b") - F.col("a"))
     return met.withColumns({"left": left, "right": right, "share": share}).filter("share > 0").groupBy("hist_name", F.col("t").alias("bin"), "left", "right").agg(F.sum(F.col("content") * F.col("share")).alias("content"))
 
-
-__all__ = ["created", "edge_conflicts", "filled", "global_ranges", "merged", "n_bins", "named", "peak_removed", "rebinned", "roi_name", "target_edge", "unranged", "without_outliers"]

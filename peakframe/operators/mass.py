@@ -85,9 +85,11 @@ def channels(df: DataFrame, combos: DataFrame, least: int = MIN_EVENTS, scope: s
     States are a few thousand rows whatever the events, so the inequalities are decided once for each state, not for each event.
     """
     keys = ["fs"] if scope == "global" else ["source_file", "fs"]
-    states = df.groupBy(*keys, *[f"c_{t}" for t in FS_ORDER]).agg(F.count("*").alias("k"))
-    states = states.join(populous(df, least, scope).drop("n"), keys, "left_semi")
-    return states.drop("k").join(combos, fits(), "inner")
+    counts = [f"c_{t}" for t in FS_ORDER]
+    states = df.groupBy(*keys, *counts).agg(F.count("*").alias("k")).join(populous(df, least, scope).drop("n"), keys, "left_semi").drop("k")
+    if scope == "global":
+        return states.join(combos, fits(), "inner")
+    return states.join(states.select("fs", *counts).distinct().join(combos, fits(), "inner"), ["fs", *counts])
 
 
 def vectors(events: DataFrame, use_stored_mass: bool = False) -> DataFrame:
@@ -122,7 +124,7 @@ def mass_spectrum(events: DataFrame, combos: DataFrame, least: int = MIN_EVENTS,
 
 
 def drop_empty(masses: DataFrame) -> DataFrame:
-    """Without channels (fs, im) of which every mass is 0; they are looked for among the zeros alone."""
-    some = masses.filter("m != 0").select("fs", "im").distinct()
-    zero = masses.filter("m = 0").select("fs", "im").distinct().join(some, ["fs", "im"], "left_anti")
-    return masses.join(zero, ["fs", "im"], "left_anti")
+    """Without channels (fs, im) of which every mass is 0; they are looked for among the zeros alone. Pass a written table."""
+    zeros = masses.filter("m = 0").select("fs", "im").distinct()
+    empty = written(zeros.join(masses.filter("m != 0").select("fs", "im").distinct(), ["fs", "im"], "left_anti"))
+    return masses if empty.isEmpty() else masses.join(empty, ["fs", "im"], "left_anti")

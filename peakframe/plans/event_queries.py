@@ -95,8 +95,8 @@ def combos(spark: SparkSession, **more) -> DataFrame:
 
 
 def masses(spark: SparkSession, d: str) -> DataFrame:
-    """The mass table, which most queries read several times."""
-    return written(M.mass_spectrum(cut_events(spark, d), combos(spark)))
+    """The mass table, which most queries read several times: mass_spectrum has written it."""
+    return M.mass_spectrum(cut_events(spark, d), combos(spark))
 
 
 def counted(df: DataFrame) -> DataFrame:

@@ -36,7 +36,12 @@ def named(spark, d):
 
 
 def chunks(spark, d):
-    return C.pack(X.array_values(spark, d), ["shard", "signature"], chunk=10**9)
+    return C.pack(X.array_values(spark, d), ["shard", "signature"])
+
+
+def total():
+    """Sum of a chunk's values."""
+    return F.aggregate("payload", F.lit(0.0), lambda a, x: a + x)
 
 
 # --- signatures ------------------------------------------------------------------------------------------------------
@@ -96,7 +101,9 @@ def union_batches(spark, d):
 # --- chunks ----------------------------------------------------------------------------------------------------------
 @query("chunk_pack", f"WITH {CHUNKS} SELECT shard, signature, n_entries, round(list_sum(payload), 5) AS total, payload[1] AS lo, payload[len(payload)] AS hi FROM ch")
 def chunk_pack(spark, d):
-    return chunks(spark, d).select("shard", "signature", "n_entries", F.round(F.aggregate("payload", F.lit(0.0), lambda a, x: a + x), 5).alias("total"), F.element_at("payload", 1).alias("lo"), F.element_at("payload", -1).alias("hi"))
+    """What the chunks of a signature hold together, whatever their number."""
+    c = chunks(spark, d).select("shard", "signature", "n_entries", total().alias("total"), F.element_at("payload", 1).alias("lo"), F.element_at("payload", -1).alias("hi"))
+    return c.groupBy("shard", "signature").agg(F.sum("n_entries").alias("n_entries"), F.round(F.sum("total"), 5).alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
 @query("chunk_unpack", f"WITH {V} SELECT signature, m FROM vals")
@@ -107,16 +114,14 @@ def chunk_unpack(spark, d):
 
 @query("chunk_scan", f"WITH {CHUNKS} SELECT row_number() OVER (ORDER BY shard, signature) AS id, signature, n_entries FROM ch")
 def chunk_scan(spark, d):
-    return C.with_ids(chunks(spark, d), ["shard", "signature"]).select("id", "signature", "n_entries").orderBy("id")
-
-
+    return C.with_ids(chunks(spark, d), ["shard", "signature", "part"]).select("id", "signature", "n_entries").orderBy("id")
 
 
 @query("chunk_by_signature", f"WITH {CHUNKS} SELECT shard, signature, n_entries, round(list_sum(payload), 5) AS total FROM ch WHERE signature LIKE 'parsed_1995%'")
 def chunk_by_signature(spark, d):
     """Chunks of the signatures asked for; the filter reaches the scan before anything is packed."""
     v = X.array_values(spark, d).filter(F.col("signature").like("parsed_1995%"))
-    return C.pack(v, ["shard", "signature"], chunk=10**9).select("shard", "signature", "n_entries", F.round(F.aggregate("payload", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+    return C.pack(v, ["shard", "signature"]).groupBy("shard", "signature").agg(F.sum("n_entries").alias("n_entries"), F.round(F.sum(total()), 5).alias("total"))
 
 
 @query("chunk_list_signatures", f"WITH {V} SELECT DISTINCT signature FROM vals")
@@ -131,18 +136,20 @@ def sorted_signatures(spark, d):
 
 @query("chunk_total_entries", f"WITH {CHUNKS} SELECT shard, coalesce(sum(n_entries), 0)::BIGINT AS total FROM ch GROUP BY shard")
 def chunk_total_entries(spark, d):
-    return chunks(spark, d).groupBy("shard").agg(F.coalesce(F.sum("n_entries"), F.lit(0)).alias("total"))
+    """Counted, not packed."""
+    return X.array_values(spark, d).groupBy("shard").agg(F.count("m").alias("total"))
 
 
 @query("sig_entries", f"WITH {CHUNKS} SELECT signature, coalesce(sum(n_entries), 0)::BIGINT AS entries FROM ch GROUP BY signature")
 def sig_entries(spark, d):
-    return chunks(spark, d).groupBy("signature").agg(F.coalesce(F.sum("n_entries"), F.lit(0)).alias("entries"))
+    return X.array_values(spark, d).groupBy("signature").agg(F.count("m").alias("entries"))
 
 
 @query("nonempty_chunks", f"WITH {V}, c AS (SELECT shard, signature, list_sort(list(m) FILTER (m > 50)) AS payload FROM vals GROUP BY ALL) SELECT shard, signature, len(payload)::BIGINT AS n FROM c WHERE len(payload) > 0")
 def nonempty_chunks(spark, d):
-    c = X.array_values(spark, d).groupBy("shard", "signature").agg(F.collect_list(F.when(F.col("m") > 50, F.col("m"))).alias("payload"))
-    return c.filter(F.size("payload") > 0).select("shard", "signature", F.size("payload").cast("long").alias("n"))
+    """Chunks that have something left after a cut; keys without have none."""
+    c = C.pack(X.array_values(spark, d).withColumn("m", F.when(F.col("m") > 50, F.col("m"))), ["shard", "signature"])
+    return c.filter(F.size("payload") > 0).groupBy("shard", "signature").agg(F.sum(F.size("payload").cast("long")).alias("n"))
 
 
 # --- histograms ------------------------------------------------------------------------------------------------------
@@ -194,23 +201,14 @@ def hist_peak_removal(spark, d):
 def hist_merge(spark, d):
     """One partial histogram for each shard over common ranges, summed: the same as one over all."""
     v = named(spark, d)
-    common = H.global_ranges(v)
-    parts = [H.filled(v.filter(F.col("shard") == i), common, [10.0]) for i in range(4)]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    return H.merged(whole)
+    return H.merged(H.filled(v, H.global_ranges(v), [10.0], by=("shard",)))
 
 
 @query("hist_edge_conflicts", f"WITH {NAMED}, r AS (SELECT shard, name, min(m) AS lo, max(m) AS hi FROM nv GROUP BY ALL) SELECT 'ROI_' || name || '_width_10.0' AS hist_name, count(DISTINCT (lo, hi)) AS forms FROM r GROUP BY name HAVING count(DISTINCT (lo, hi)) > 1")
 def hist_edge_conflicts(spark, d):
     """Partial histograms with ranges of their own don't fit together; the names that this concerns."""
     v = named(spark, d)
-    parts = [H.created(v.filter(F.col("shard") == i).drop("name"), widths=(10.0,)) for i in range(4)]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    return H.edge_conflicts(whole)
+    return H.edge_conflicts(H.filled(v, H.global_ranges(v, by=("shard",)), [10.0], by=("shard",), range_by=("shard",)))
 
 
 @query("hist_create", f"WITH {V}, nv AS (SELECT *, {_NAME} AS name FROM vals WHERE {_FS} <> '' AND signature NOT LIKE '%\\_outliers' ESCAPE '\\'), {sql_hist('nv', 'name', 10)} {sql_peak_removed('h')}")
@@ -259,7 +257,8 @@ def sink_mass_arrays(spark, d):
     """Appended by final state, in two goes, and read back."""
     path, m = scratch(spark, "masses"), EQ.masses(spark, d)
     for odd in (0, 1):
-        m.filter(F.col("event_id") % 2 == odd).repartition("fs").write.mode("append").partitionBy("fs").parquet(path)
+        # AQE cuts the partitions of common final states to files of the advised size
+        m.filter(F.col("event_id") % 2 == odd).hint("rebalance", "fs").write.mode("append").partitionBy("fs").parquet(path)
     return spark.read.parquet(path).groupBy("fs", "im").agg(F.count("*").alias("n"), F.round(F.sum("m"), 6).alias("total"))
 
 

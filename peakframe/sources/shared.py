@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session, or a folder of our own where it is unset."""
+    """spark.checkpoint.dir of the session. A local session, where all share one machine, may leave it unset and gets a folder of its own; on a cluster that is an error."""
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if path is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        path = tempfile.mkdtemp(prefix="spark-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
