@@ -69,10 +69,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints that driver and executors share; one of our own only where none is set."""
+    """The folder for checkpoints that driver and executors share. A local session may leave it unset and gets one of its own; on a cluster that is an error."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if path is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="spark-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
