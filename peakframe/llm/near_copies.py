@@ -136,14 +136,12 @@ def checked_links(prints: np.ndarray, keys: np.ndarray, sets: list[np.ndarray],
     return links
 
 
-def near_roots(docs: DataFrame, printed: DataFrame, id_col: str, text: str, words: int = WORDS, radius: int = RADIUS, least: float = SIMILARITY, unit: int = UNIT) -> DataFrame:
-    """(node, root): the least node that each node of `printed` (columns __id, __node, __print, __keys; checkpointed) with a near copy reaches by links of `least` similarity or more."""
-    # equal sets have equal keys, but their SimHashes may differ, as repeats count in them: each is a row
-    prints = cut(printed.groupBy("__node", "__print").agg(F.first("__keys").alias("__keys")))
+def near_roots(docs: DataFrame, prints: DataFrame, id_col: str, text: str, words: int = WORDS, radius: int = RADIUS, least: float = SIMILARITY, unit: int = UNIT) -> DataFrame:
+    """(node, root): the least node that each node of `prints` (a row for each __node and __print, with __keys and the __first id; checkpointed) with a near copy reaches by links of `least` similarity or more."""
     keyed = prints.select("__node", "__print", F.posexplode("__keys").alias("__choice", "__key"))
     near = by_unit(dealt(keyed, ["__choice", "__key"], unit), "__unit", ["__node", "__print"], lambda t: tiled_links(t.column(1).to_numpy().view(np.uint64), radius))
     groups = cut(components(near, "a", "b"))
-    ids = cut(printed.join(groups, printed["__node"] == groups["node"], "left_semi").groupBy("__node").agg(F.min("__id").alias("__id")).select("__id").distinct())
+    ids = cut(prints.join(groups, prints["__node"] == groups["node"], "left_semi").groupBy("__node").agg(F.min("__first").alias("f")).select(F.col("f.id").alias("__id")).distinct())
     small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     own = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
     members = nodes(own.join(F.broadcast(ids) if small else ids, own["__id"].eqNullSafe(ids["__id"]), "left_semi").drop("__id"), "__text", True, True, words)
@@ -162,10 +160,13 @@ def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wor
 
     Texts are hashed again rather than stored; only the rows that may stay, and the sets of those with near copies, are shuffled.
     """
-    printed = cut(nodes(docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").alias("__text")), "__text", True, words=words).drop("__text"))
-    roots = near_roots(docs, printed, id_col, text, words, radius, least, unit)
-    rooted = printed.select("__id", "__node").join(roots, printed["__node"] == roots["node"], "left").withColumn("root", F.coalesce("root", "__node"))
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("__id").isNull().alias("void"), F.col("__id").alias("id"), F.col("__node").alias("kept"))).alias("k")).select("k.id", "k.kept")
+    printed = nodes(docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").alias("__text")), "__text", True, words=words).drop("__text")
+    # copies are combined here, before anything is joined; equal sets have equal keys, but their SimHashes may differ, as repeats count in them: each is a row
+    earliest = F.min(F.struct(F.col("__id").isNull().alias("void"), F.col("__id").alias("id"))).alias("__first")
+    prints = cut(printed.groupBy("__node", "__print").agg(F.first("__keys").alias("__keys"), earliest))
+    roots = near_roots(docs, prints, id_col, text, words, radius, least, unit)
+    rooted = prints.select("__first", "__node").join(roots, prints["__node"] == roots["node"], "left").withColumn("root", F.coalesce("root", "__node"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("__first.void").alias("void"), F.col("__first.id").alias("id"), F.col("__node").alias("kept"))).alias("k")).select("k.id", "k.kept")
     marked = nodes(docs, text, words=words)
     kept = marked.join(first, marked[id_col].eqNullSafe(first["id"]) & (marked["__node"] == first["kept"]), "left_semi")
     return kept.dropDuplicates([id_col, "__node"]).drop("__node")
