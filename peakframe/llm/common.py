@@ -92,6 +92,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Keys with at least this share, and this number, of the rows of a table are joined by broadcast: they are at most as many as the share says.
+HEAVY_SHARE, HEAVY_ROWS = 1 / 5000, 200
+
+
+def joined_evenly(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left joined to right (unique by `key`) where many rows of left may share a key: those of common keys meet right by broadcast, where they lie; the others are shuffled. Pass checkpointed tables."""
+    least = max(HEAVY_ROWS, int(left.count() * HEAVY_SHARE))
+    heavy = F.broadcast(cut(left.groupBy(key).count().filter(F.col("count") >= least).select(key)))
+    common = left.join(F.broadcast(right.join(heavy, key)), key)
+    return common.unionByName(left.join(heavy, key, "left_anti").join(right, key))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

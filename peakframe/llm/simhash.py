@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakframe.llm.common import cut, documents, row_map
+from peakframe.llm.common import cut, documents, joined_evenly, row_map
 from peakframe.llm.components import components
 
 WORDS, RADIUS, SEED = 4, 4, 42
@@ -174,7 +174,7 @@ def near_components(printed: DataFrame, id_col: str = "doc_id", radius: int = RA
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint, component_id of every document. Null, empty and blank texts have fingerprint 0, which links like any other; equal texts have equal fingerprints; repeated rows each keep their row."""
     printed = cut(fingerprints(documents(spark, sf_dir).select("doc_id", "text")))
-    found = printed.join(near_components(printed).drop("root"), "fingerprint")
+    found = joined_evenly(printed, cut(near_components(printed).drop("root")), "fingerprint")
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
