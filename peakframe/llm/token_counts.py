@@ -8,21 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakframe.llm.common import cut, documents, row_map, scratch
+from peakframe.llm.common import cut, documents, joined_evenly, row_map, scratch
 from peakframe.llm.words import tokenizer, version
 
 TOKENIZER, LIMIT = "word_bpe_49k.json", 2048
-#: Misses (a row of 90 bytes each) that are broadcast to the texts; beyond it texts are shuffled by digest and id.
+#: Misses (a row of 60 bytes each) that are broadcast to the texts; beyond it texts are shuffled by digest and id.
 FEW = 10_000
 #: Setting of the session with the path of the lasting cache.
 CACHE_SETTING = "spark.peakframe.tokenCache"
-CACHE = T.StructType([T.StructField("content", T.StringType()), T.StructField("tokenizer", T.StringType()), T.StructField("n_tokens", T.LongType())])
+CACHE = T.StructType([T.StructField("content", T.BinaryType()), T.StructField("tokenizer", T.StringType()), T.StructField("n_tokens", T.LongType())])
 
 
 def content_digest(text: Column, collapse: bool) -> Column:
     """Digest of the text; with `collapse`, for tokenizers that drop white space, runs of ASCII blanks count as one space."""
     form = F.trim(F.regexp_replace(text, "[ \t\r\n]+", " ")) if collapse else text
-    return F.sha2(form, 256)
+    return F.unhex(F.sha2(form, 256))
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
@@ -64,7 +64,7 @@ def count_tokens(df: DataFrame, cache: str, text: str = "text", name: str = TOKE
         counted = row_map(rows.select("content", "body"), "body", make, [T.StructField("n_tokens", T.LongType())])
         counted.select("content", F.lit(by).alias("tokenizer"), "n_tokens").dropDuplicates(["content"]).write.mode("append").parquet(cache)
     stored = read_cache(spark, cache).filter(F.col("tokenizer") == by).select(F.col("content").alias("__content"), F.col("n_tokens").alias("__n"))
-    return keyed.join(stored, "__content").select(*kept, "n_bytes", F.col("__n").alias("n_tokens"), (F.col("__n") > limit).alias("over_limit"))
+    return joined_evenly(keyed, stored, "__content").select(*kept, "n_bytes", F.col("__n").alias("n_tokens"), (F.col("__n") > limit).alias("over_limit"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
