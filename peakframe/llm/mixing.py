@@ -134,12 +134,11 @@ def mix(df: DataFrame, size: str, source: str = "source", id_col: str = "doc_id"
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, columns as they were: one row for each copy. Documents without words aren't in it; else nulls, ties and repeated rows are as in mix."""
-    cols = [c for c in docs.columns if c not in ("source_size", "target", "taken")]
-    size = n_words(F.col("text")).alias("__size")
-    sizes = cut(docs.select("doc_id", "source", size))
-    taken = mix(docs.select(*[F.col(f"`{c}`") for c in docs.columns], size, *[F.col(c).alias(f"__own_{c}") for c in docs.columns if c not in cols]), "__size", sizes=sizes)
-    rows = taken.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.when(F.col("__size") > 0, F.floor(F.col("taken") / F.col("__size"))).otherwise(0).cast("int"))))
-    return rows.select(*[F.col(f"`{c}`") if c in cols else F.col(f"__own_{c}").alias(c) for c in docs.columns])
+    size, own = n_words(F.col("text")).alias("__size"), {c: f"__own{i}" for i, c in enumerate(docs.columns)}  # no name of docs clashes with those of the mix
+    sizes = cut(docs.select(F.col("doc_id").alias(own["doc_id"]), F.col("source").alias(own["source"]), size))
+    taken = mix(docs.select(*[F.col(f"`{c}`").alias(x) for c, x in own.items()], size), "__size", own["source"], own["doc_id"], sizes=sizes)
+    copies = F.when(F.col("__size") > 0, F.floor(F.col("taken") / F.col("__size"))).otherwise(0).cast("int")
+    return taken.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*[F.col(x).alias(c) for c, x in own.items()])
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
