@@ -121,26 +121,28 @@ def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Itera
         yield batch.slice(start)
 
 
-def row_map(df: DataFrame, column: str, make: Callable[[], Callable[[list], list[list]]], fields: list[T.StructField]) -> DataFrame:
+def row_map(df: DataFrame, column: str, make: Callable[[], Callable[[list], list[list]]], fields: list[T.StructField], memo: bool = False) -> DataFrame:
     """df with `fields` appended, computed in each task from slices of `column`.
 
     `make` runs once in a task and returns a function from a list of values to one list per field.
-    A column of df that has a field's name is replaced. Every row stays.
+    A column of df that has a field's name is replaced. Every row stays. Workers whose `make` keeps no memo give back the memory of one that they kept before.
     """
     ship(df.sparkSession)
     names = [f.name for f in fields]
-    kept = [c for c in df.columns if c not in names]
+    cols = [c for c in df.columns if c not in names]
     # the input column goes last, under a name of its own, so that it may itself be replaced
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{column}`").alias("__in"))
-    schema = T.StructType([df.schema[c] for c in kept] + fields)
+    source = df.select(*[F.col(f"`{c}`") for c in cols], F.col(f"`{column}`").alias("__in"))
+    schema = T.StructType([df.schema[c] for c in cols] + fields)
     added = to_arrow_schema(T.StructType(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not memo:
+            kept("", dict)
         f = make()
         for batch in batches:
             for part in slices(batch, batch.num_columns - 1):
                 out = f(part.column(part.num_columns - 1).to_pylist())
-                arrays = [part.column(i) for i in range(len(kept))] + [pa.array(x, type=added.field(i).type) for i, x in enumerate(out)]
-                yield pa.RecordBatch.from_arrays(arrays, names=kept + names)
+                arrays = [part.column(i) for i in range(len(cols))] + [pa.array(x, type=added.field(i).type) for i, x in enumerate(out)]
+                yield pa.RecordBatch.from_arrays(arrays, names=cols + names)
 
     return source.mapInArrow(run, schema)

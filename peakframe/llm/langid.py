@@ -269,7 +269,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", spans: str | None
         return f
 
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return row_map(df, text, make, fields + ([T.StructField(spans, SPANS)] if spans else []))
+    return row_map(df, text, make, fields + ([T.StructField(spans, SPANS)] if spans else []), memo=True)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ def tokenized_pieces(df: DataFrame, text: str = "text", name: str = TOKENIZER, c
         return lambda values: [[pieces_of(ids + end, capacity) for ids in t.encode([v or "" for v in values])]]
 
     cols = [c for c in df.columns if c not in (text, "piece", "start", "length", "ids_crc32")]
-    return row_map(df, text, make, [T.StructField("__pieces", PIECES)]).select(*[F.col(f"`{c}`") for c in cols], F.explode("__pieces").alias("__p")).select(*[F.col(f"`{c}`") for c in cols], "__p.*")
+    return row_map(df, text, make, [T.StructField("__pieces", PIECES)], memo=True).select(*[F.col(f"`{c}`") for c in cols], F.explode("__pieces").alias("__p")).select(*[F.col(f"`{c}`") for c in cols], "__p.*")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length", shard_pieces: int = SHARD_PIECES) -> DataFrame:

@@ -61,7 +61,7 @@ def count_tokens(df: DataFrame, cache: str, text: str = "text", name: str = TOKE
             t = tokenizer(name)
             return lambda values: [[len(x) // 4 for x in t.encode(values)]]
 
-        counted = row_map(rows.select("content", "body"), "body", make, [T.StructField("n_tokens", T.LongType())])
+        counted = row_map(rows.select("content", "body"), "body", make, [T.StructField("n_tokens", T.LongType())], memo=True)
         counted.select("content", F.lit(by).alias("tokenizer"), "n_tokens").dropDuplicates(["content"]).write.mode("append").parquet(cache)
     stored = read_cache(spark, cache).filter(F.col("tokenizer") == by).select(F.col("content").alias("__content"), F.col("n_tokens").alias("__n"))
     return joined_evenly(keyed, stored, "__content").select(*kept, "n_bytes", F.col("__n").alias("n_tokens"), (F.col("__n") > limit).alias("over_limit"))

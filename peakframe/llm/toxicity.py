@@ -215,7 +215,7 @@ def likelihoods(df: DataFrame, model: Model, text: str, out: str) -> DataFrame:
         return f
 
     fields = [T.StructField("__sum", T.DoubleType()), T.StructField("__n", T.LongType()), T.StructField("__text_key", T.StringType()), T.StructField("__unsure", UNSURE)]
-    found = row_map(df, text, make, fields).drop(text)
+    found = row_map(df, text, make, fields, memo=True).drop(text)
     if model.cold is None:
         rest = F.lit(0.0)
     else:
