@@ -121,8 +121,8 @@ def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Itera
         yield batch.slice(start)
 
 
-def row_map(df: DataFrame, column: str, make: Callable[[], Callable[[list], list[list]]], fields: list[T.StructField], memo: bool = False) -> DataFrame:
-    """df with `fields` appended, computed in each task from slices of `column`.
+def row_map(df: DataFrame, column: str, make: Callable[[], Callable[[list], list[list]]], fields: list[T.StructField], memo: bool = False, most: int = SLICE_BYTES) -> DataFrame:
+    """df with `fields` appended, computed in each task from slices of about `most` bytes of `column`.
 
     `make` runs once in a task and returns a function from a list of values to one list per field.
     A column of df that has a field's name is replaced. Every row stays. Workers whose `make` keeps no memo give back the memory of one that they kept before.
@@ -140,7 +140,7 @@ def row_map(df: DataFrame, column: str, make: Callable[[], Callable[[list], list
             kept("", dict)
         f = make()
         for batch in batches:
-            for part in slices(batch, batch.num_columns - 1):
+            for part in slices(batch, batch.num_columns - 1, most):
                 out = f(part.column(part.num_columns - 1).to_pylist())
                 arrays = [part.column(i) for i in range(len(cols))] + [pa.array(x, type=added.field(i).type) for i, x in enumerate(out)]
                 yield pa.RecordBatch.from_arrays(arrays, names=cols + names)

@@ -16,6 +16,8 @@ from peakframe.llm.common import documents, row_map
 #: WAV format codes, sampling rate in, and the frame that payloads are padded to.
 PCM, ALAW, MULAW, IMA = 1, 6, 7, 17
 RATE, FRAME = 8000, 576
+#: Bytes of media that a task decodes at once; their samples, squares and PCM take about a hundred times as much.
+DECODED_BYTES = 500_000
 #: Bytes of an ADPCM block: 4 of header, 32 of two samples each.
 BLOCK = 36
 
@@ -187,7 +189,7 @@ def decode_media(df: DataFrame, media: str = "media", pcm: str | None = "pcm") -
         return f
 
     names = [("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("payload_bytes", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType())]
-    return row_map(df, media, make, [T.StructField(n, t) for n, t in names] + ([T.StructField(pcm, T.BinaryType())] if pcm else []))
+    return row_map(df, media, make, [T.StructField(n, t) for n, t in names] + ([T.StructField(pcm, T.BinaryType())] if pcm else []), most=DECODED_BYTES)
 
 
 def op2_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
