@@ -23,7 +23,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group linked by a Jaccard similarity of 0.8 or more of five-word shingles."""
+    """Keeps the document of the smallest id of each group linked by a Jaccard similarity of 0.8 or more of five-word shingles.
+
+    Null, empty and blank texts are copies of each other; null ids come last; of repeated rows one stays; texts count whole; an empty table stays empty.
+    """
     return near_copies.one_of_each(docs).select(*docs.columns)
 
 
@@ -36,12 +39,12 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes the documents of the mix: none, one or two copies of each, or a part of one."""
+    """Takes the documents of the mix: none, one or two whole copies of each. Documents without words aren't in it; null sources are one source; repeated rows are taken together; an empty table stays empty."""
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece in the training sequences."""
+    """The place of every piece in the training sequences. Null and empty texts are the end id alone; repeated rows are packed each; an empty table gives no rows."""
     return packing.pack_documents(docs)
 
 

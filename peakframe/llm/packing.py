@@ -134,9 +134,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length: str = "length", sh
 
 
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document and their places; see pack_documents."""
     return pack_documents(documents(spark, sf_dir))
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
-    """A row for each piece of the documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """A row for each piece of the documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    Null and empty texts are one piece, the end id; null ids stay null; repeated rows are packed each; texts of any length are cut only where they exceed a sequence; an empty table gives no rows.
+    """
     return pack(cut(tokenized_pieces(docs.select("doc_id", "text"))))
