@@ -19,6 +19,18 @@ def parse_stats(files: DataFrame) -> DataFrame:
     )
 
 
+def throughput(files: DataFrame) -> DataFrame:
+    """One row: events of good files for each second that files took."""
+    return files.agg(rate(F.coalesce(F.sum(F.when(F.col("ok"), F.col("n_events"))), F.lit(0)).cast("double"), F.sum("time_sec")).alias("events_per_sec"))
+
+
+def first_errors(files: DataFrame, most: int) -> DataFrame:
+    """metric, value: how many files failed in each of the kinds of error seen first."""
+    kinds = files.filter(~F.col("ok")).groupBy("error_type").agg(F.count("*").alias("n"), F.min("file_id").alias("seen")).orderBy("seen").limit(most)
+    short = F.when(F.length("error_type") > 30, F.concat(F.substring("error_type", 1, 30), F.lit("..."))).otherwise(F.col("error_type"))
+    return kinds.select(F.concat(F.lit("error: "), short).alias("metric"), F.col("n").cast("double").alias("value"))
+
+
 def violations(files: DataFrame) -> DataFrame:
     """file_id and rule for each rule that a row breaks."""
     rule = lambda c, name: F.when(c, name)
@@ -91,10 +103,10 @@ def stage_times(lines: DataFrame) -> DataFrame:
 
 
 def batch_rollup(batches: DataFrame) -> DataFrame:
-    """One row over batch_index, parsed_files, im_files (arrays), total_events, failed_files, size_mb (text), elapsed."""
+    """One row over batch_index, parsed_files, im_files (arrays), total_events, failed_files, size_mb (text), elapsed; a batch may have several rows."""
     whole = lambda c: F.coalesce(F.sum(F.floor(F.col(c).cast("double"))), F.lit(0)).cast("long")
     return batches.agg(
-        F.count("*").alias("num_batches"), F.array_join(F.transform(F.array_sort(F.collect_list("batch_index")), lambda x: x.cast("string")), ",").alias("batches"), F.sum(F.size("parsed_files")).alias("total_parsed_files"), F.sum(F.size("im_files")).alias("total_im_files"),
+        F.count_distinct("batch_index").alias("num_batches"), F.array_join(F.transform(F.array_sort(F.collect_set("batch_index")), lambda x: x.cast("string")), ",").alias("batches"), F.sum(F.size("parsed_files")).alias("total_parsed_files"), F.sum(F.size("im_files")).alias("total_im_files"),
         whole("total_events").alias("total_events"), whole("failed_files").alias("failed_files"), whole("size_mb").alias("total_size_mb"), F.round(F.sum("elapsed"), 3).alias("total_batch_time_sec"),
     )
 

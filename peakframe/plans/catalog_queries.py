@@ -61,10 +61,10 @@ def cat_validate_release(spark, d):
     return C.unknown_releases(asked, X.catalog(spark, d))
 
 
-@query("cat_explode_records", f"WITH {CAT} SELECT 'record_' || pos % 50 AS release, url FROM cat")
+@query("cat_explode_records", f"WITH {CAT} SELECT 'record_' || pos // 500 AS release, url FROM cat")
 def cat_explode_records(spark, d):
-    """Listings as the portal gives them, a JSON text for each record, taken apart again."""
-    files = X.catalog(spark, d).groupBy((F.col("pos") % 50).alias("record_id"), (F.floor(F.col("pos") / 50) % 3).alias("part")).agg(F.collect_list(F.struct(F.col("url").alias("uri"))).alias("files"))
+    """Listings as the portal gives them, a JSON text for each record of at most 500 files, taken apart again."""
+    files = X.catalog(spark, d).groupBy(F.floor(F.col("pos") / 500).alias("record_id"), (F.col("pos") % 3).alias("part")).agg(F.collect_list(F.struct(F.col("url").alias("uri"))).alias("files"))
     listing = files.groupBy("record_id").agg(F.to_json(F.struct(F.struct(F.collect_list(F.struct("files")).alias("files")).alias("index_files"))).alias("body"))
     return C.exploded_records(listing)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from peakframe.functions import labels as L
 from peakframe.operators import histograms as H
 from peakframe.operators import statistics as T
+from peakframe.operators.capped import capped
 from peakframe.plans import event_queries as EQ
 from peakframe.plans import histogram_queries as HQ
 from peakframe.registry import query
@@ -97,15 +98,15 @@ def hist_entries(spark, d):
 
 
 def _batches(spark, d):
-    """A row for each batch of customers, through JSON as the batches write it."""
+    """What batches of customers report, through JSON as they write it: a row for each part of a batch, of 1,000 customers at most."""
     c = X.table(spark, d, "customer")
-    by = c.groupBy((F.col("c_custkey") % 9 + 1).cast("int").alias("batch_index")).agg(
+    by = c.groupBy((F.col("c_custkey") % 9 + 1).cast("int").alias("batch_index"), F.floor(F.col("c_custkey") / 9000).alias("part")).agg(
         F.collect_list(F.when(F.col("c_custkey") % 2 == 0, F.col("c_name"))).alias("parsed_files"), F.collect_list(F.when(F.col("c_custkey") % 3 == 0, F.col("c_name"))).alias("im_files"), F.count("*").alias("total_events"),
-        F.count_if(F.col("c_acctbal") < 0).alias("failed_files"), F.concat(F.count("*").cast("string"), F.lit(".5")).alias("size_mb"), F.round(F.sum(F.col("c_custkey") / 10.0), 3).alias("elapsed"),
+        F.count_if(F.col("c_acctbal") < 0).alias("failed_files"), F.concat(F.count("*").cast("string"), F.lit(".5")).alias("size_mb"), F.sum(F.col("c_custkey") / 10.0).alias("elapsed"),
     )
     path = scratch(spark, "batches")
     by.write.partitionBy("batch_index").json(path)
-    return spark.read.schema("batch_index int, parsed_files array<string>, im_files array<string>, total_events long, failed_files long, size_mb string, elapsed double").json(path)
+    return spark.read.schema("batch_index int, part long, parsed_files array<string>, im_files array<string>, total_events long, failed_files long, size_mb string, elapsed double").json(path)
 
 
 @query(
@@ -119,7 +120,7 @@ def batch_stats_rollup(spark, d):
 
 @query("stats_save", "SELECT c_custkey % 9 + 1 AS batch_index, count(*) AS total_events, count(*) FILTER (c_acctbal < 0) AS failed_files FROM customer GROUP BY 1")
 def stats_save(spark, d):
-    return _batches(spark, d).select(F.col("batch_index").cast("long").alias("batch_index"), "total_events", "failed_files")
+    return _batches(spark, d).groupBy(F.col("batch_index").cast("long").alias("batch_index")).agg(F.sum("total_events").alias("total_events"), F.sum("failed_files").alias("failed_files"))
 
 
 def _sec(head: str) -> str:
@@ -186,9 +187,16 @@ def first_errors(spark, d):
 _PCOLS = ["total_files", "successful_files", "failed_files", "total_events", "total_size_mb", "average_time_sec", "success_rate", "events_per_file"]
 
 
-@query("rep_performance", f"WITH {FILES}, {TIMES} {_unpivot(f'SELECT {_PARSE} FROM files', _PCOLS)} UNION ALL SELECT stage, seconds FROM st")
+_ERRORS = "SELECT 'error: ' || CASE WHEN length(error_type) > 30 THEN substr(error_type, 1, 30) || '...' ELSE error_type END, n::DOUBLE FROM (SELECT error_type, count(*) AS n, min(file_id) AS seen FROM files WHERE NOT ok GROUP BY 1 ORDER BY seen LIMIT 5)"
+_THROUGHPUT = "SELECT 'events_per_sec' AS metric, round(coalesce(sum(n_events) FILTER (ok), 0) / sum(time_sec), 6) AS value FROM files"
+
+
+@query("rep_performance", f"WITH {FILES}, {TIMES} {_unpivot(f'SELECT {_PARSE} FROM files', _PCOLS)} UNION ALL SELECT stage, seconds FROM st UNION ALL {_THROUGHPUT} UNION ALL {_ERRORS}")
 def rep_performance(spark, d):
-    return T.long_form(parse_stats(spark, d)).unionByName(T.stage_times(X.log_lines(spark, d)).select(F.col("stage").alias("metric"), F.col("seconds").alias("value")))
+    """Stage times, success and files, size, throughput, and the first five kinds of error. Parsing logs neither memory nor timeouts here."""
+    files = X.file_results(spark, d)
+    stages = T.stage_times(X.log_lines(spark, d)).select(F.col("stage").alias("metric"), F.col("seconds").alias("value"))
+    return T.long_form(parse_stats(spark, d)).unionByName(stages).unionByName(T.long_form(rounded(T.throughput(files), ["events_per_sec"]))).unionByName(T.first_errors(files, 5))
 
 
 @query("rep_parsed", f"WITH {EQ.SQL_C}, {FILES} " + " UNION ALL ".join(f"SELECT '{t}' AS metric, sum(c_{t})::DOUBLE AS value FROM c" for t in L.FS_ORDER) + " UNION ALL SELECT 'events', count(*)::DOUBLE FROM c UNION ALL SELECT 'total_size_mb', round(sum(size_bytes) / 1048576.0::DOUBLE, 6) FROM files")
@@ -220,16 +228,48 @@ _LET = "CASE x " + " ".join(f"WHEN '{k}' THEN '{t}'" for t, k in L.LETTERS.items
 _TYPES = "list_distinct(regexp_extract_all(im, '([emjgtb])(\\d+)', 1))"
 
 
-@query("rep_mass", f"WITH {CH}, p AS (SELECT {_LET} AS ptype, count(*) AS channels FROM (SELECT unnest({_TYPES}) AS x FROM ch) GROUP BY 1) SELECT 'type' AS panel, ptype AS item, channels, round(channels / (sum(channels) OVER ())::DOUBLE, 6) AS share FROM p UNION ALL SELECT 'size', len({_TYPES})::VARCHAR, count(*), NULL FROM ch GROUP BY 2")
+_MASS_TOTALS = """tot AS (SELECT unnest(['final_states', 'channels', 'values']) AS item, unnest([count(DISTINCT fs), count(*), coalesce(sum(entries), 0)])::BIGINT AS n FROM ch)"""
+
+
+@query(
+    "rep_mass",
+    f"""WITH {CH}, {TIMES}, {_MASS_TOTALS}, p AS (SELECT {_LET} AS ptype, count(*) AS channels FROM (SELECT unnest({_TYPES}) AS x FROM ch) GROUP BY 1)
+SELECT 'type' AS panel, ptype AS item, channels AS n, round(channels / (sum(channels) OVER ())::DOUBLE, 6) AS ratio FROM p UNION ALL SELECT 'size', len({_TYPES})::VARCHAR, count(*), NULL FROM ch GROUP BY 2
+UNION ALL SELECT 'total', item, n, NULL FROM tot UNION ALL SELECT 'rate', item, n, round(CASE WHEN seconds > 0 THEN n / seconds ELSE 0 END, 6) FROM tot, st WHERE stage = 'mass_calc_time_sec'
+UNION ALL SELECT 'top', substr(fs, 1, 20), n, NULL FROM (SELECT fs, sum(entries)::BIGINT AS n FROM ch GROUP BY fs ORDER BY n DESC, fs LIMIT 10)""",
+)
 def rep_mass(spark, d):
+    """Totals, rates by the logged time, types' participation, channels' sizes, and the ten final states with most values."""
     ch = written(T.channels(X.array_values(spark, d)))
-    types = T.participation(ch).select(F.lit("type").alias("panel"), F.col("ptype").alias("item"), "channels", F.round("share", 6).alias("share"))
-    return types.unionByName(T.channel_sizes(ch).select(F.lit("size").alias("panel"), F.col("types").cast("string").alias("item"), "channels", F.lit(None).cast("double").alias("share")))
+    none = F.lit(None).cast("double").alias("ratio")
+    types = T.participation(ch).select(F.lit("type").alias("panel"), F.col("ptype").alias("item"), F.col("channels").alias("n"), F.round("share", 6).alias("ratio"))
+    sizes = T.channel_sizes(ch).select(F.lit("size").alias("panel"), F.col("types").cast("string").alias("item"), F.col("channels").alias("n"), none)
+    totals = T.long_form(T.mass_totals(ch)).select(F.lit("total").alias("panel"), F.col("metric").alias("item"), F.col("value").cast("long").alias("n"), none)
+    seconds = T.stage_times(X.log_lines(spark, d)).filter("stage = 'mass_calc_time_sec'").select("seconds")  # one row
+    rates = totals.join(F.broadcast(seconds), F.lit(True)).select(F.lit("rate").alias("panel"), "item", "n", F.round(L.rate(F.col("n").cast("double"), F.col("seconds")), 6).alias("ratio"))
+    top = ch.groupBy("fs").agg(F.sum("entries").alias("n")).orderBy(F.desc("n"), "fs").limit(10).select(F.lit("top").alias("panel"), F.substring("fs", 1, 20).alias("item"), "n", none)
+    return types.unionByName(sizes).unionByName(totals).unionByName(rates).unionByName(top)
 
 
-@query("rep_hist", f"WITH {ENTRIES}, {_spread_sql('en', 'entries', 30)}")
+_POST = "SELECT count(*) FILTER (signature LIKE '%\\_outliers' ESCAPE '\\')::BIGINT AS outlier_entries, count(DISTINCT (fs, im)) FILTER (signature LIKE '%\\_outliers' ESCAPE '\\')::BIGINT AS outlier_channels FROM (SELECT signature, " + f"{HQ._FS} AS fs, {HQ._IM} AS im FROM vals)"
+
+
+@query(
+    "rep_hist",
+    f"""WITH {ENTRIES}, hs AS (SELECT {_HSTATS} FROM en), po AS ({_POST}), sp AS (SELECT * FROM (WITH {_spread_sql('en', 'entries', 30)}))
+SELECT 'bin' AS panel, bin::VARCHAR AS item, n::DOUBLE AS value FROM sp UNION ALL SELECT 'top', fs, n::DOUBLE FROM (SELECT {_HFS} AS fs, count(*) AS n FROM en GROUP BY 1 ORDER BY n DESC, fs LIMIT 10)
+UNION ALL SELECT 'total', unnest(['histograms', 'main_histograms', 'outlier_histograms', 'mean_entries', 'median_entries', 'main_share']), unnest([histograms::DOUBLE, main_histograms::DOUBLE, outlier_histograms::DOUBLE, mean_entries, median_entries, round(main_histograms / histograms::DOUBLE, 6)]) FROM hs
+UNION ALL SELECT 'outliers', unnest(['outlier_entries', 'outlier_channels']), unnest([outlier_entries, outlier_channels])::DOUBLE FROM po""",
+)
 def rep_hist(spark, d):
-    return rounded(T.spread(written(entries(spark, d)), "entries", 30), ["mean"])
+    """Totals with the share of main histograms, what was split off, entries of a histogram in at most 30 bins, and the ten final states with most histograms."""
+    en = written(entries(spark, d))
+    panel = lambda df, name, item, value: df.select(F.lit(name).alias("panel"), F.col(item).cast("string").alias("item"), F.col(value).cast("double").alias("value"))
+    stats = rounded(T.hist_stats(en).withColumn("main_share", L.rate(F.col("main_histograms").cast("double"), F.col("histograms"))), ["mean_entries", "main_share"]).drop("entries", "final_states")
+    top = en.groupBy(T.hist_fs(F.col("hist_name")).alias("fs")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "fs").limit(10)
+    split = T.long_form(T.post_stats(X.array_values(spark, d)).select("outlier_entries", "outlier_channels"))
+    bins, totals = panel(T.spread(en, "entries", 30), "bin", "bin", "n"), panel(T.long_form(stats), "total", "metric", "value")
+    return bins.unionByName(panel(top, "top", "fs", "n")).unionByName(totals).unionByName(panel(split, "outliers", "metric", "value"))
 
 
 @query("rep_hist_totals", f"WITH {ENTRIES} {_unpivot(f'SELECT {_HSTATS} FROM en', ['histograms', 'main_histograms', 'outlier_histograms', 'entries', 'final_states', 'mean_entries', 'median_entries'])}")
@@ -247,25 +287,15 @@ def sink_parsed_events(spark, d):
     return spark.read.parquet(path).groupBy("release").agg(F.count("*").alias("events"), F.sum(F.size("Jets")).alias("jets"))
 
 
-@query("sink_size_capped_chunks")
+_CAPPED = """WITH RECURSIVE f AS (SELECT year(o_orderdate)::INT AS year, floor(o_totalprice)::BIGINT AS bytes, row_number() OVER w AS i, (sum(floor(o_totalprice)::BIGINT) OVER (w ROWS UNBOUNDED PRECEDING))::BIGINT AS upto FROM orders WINDOW w AS (PARTITION BY year(o_orderdate) ORDER BY o_orderkey)),
+nx AS (SELECT *, greatest(i, count(*) OVER (PARTITION BY year ORDER BY upto RANGE BETWEEN UNBOUNDED PRECEDING AND 1000000 - bytes FOLLOWING)) + 1 AS j FROM f),
+s AS (SELECT year, i, j FROM nx WHERE i = 1 UNION ALL SELECT nx.year, nx.i, nx.j FROM s JOIN nx ON nx.year = s.year AND nx.i = s.j),
+c AS (SELECT f.year, bytes, count(s.i) OVER (PARTITION BY f.year ORDER BY f.i) - 1 AS chunk FROM f LEFT JOIN s ON f.year = s.year AND f.i = s.i)
+SELECT year, chunk, count(*) AS files, sum(bytes)::BIGINT AS bytes FROM c GROUP BY ALL"""
+
+
+@query("sink_size_capped_chunks", _CAPPED)
 def sink_size_capped_chunks(spark, d):
-    """Files of each release in chunks of limited size, as a running sum decides that starts anew with each chunk; the first file of a chunk always fits.
-
-    Only the listing goes through Python, a row for each file; releases are split into spans of files of one month, so no task has a whole catalog.
-    """
-    import pandas as pd
-
-    sizes = X.table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), F.col("o_orderkey").alias("file"), F.floor("o_totalprice").cast("long").alias("bytes"))
-
-    def chunked(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("file", ignore_index=True)
-        chunk, held, out = 0, 0, []
-        for n in pdf["bytes"]:
-            if held and held + n > 1_000_000:
-                chunk, held = chunk + 1, 0
-            held += n
-            out.append(chunk)
-        return pdf.assign(chunk=out)
-
-    placed = sizes.groupBy("year", "month").applyInPandas(chunked, "year int, month int, file long, bytes long, chunk long")
-    return placed.groupBy("year", "month", "chunk").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+    """Files of each release in chunks of limited size, and what each chunk holds. A year is a release, an order is a file, its price the size."""
+    sizes = X.table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.col("o_orderkey").alias("file"), F.floor("o_totalprice").cast("long").alias("bytes"))
+    return capped(sizes, ["year"], ["file"], "bytes", 1_000_000).groupBy("year", "chunk").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))

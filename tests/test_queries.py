@@ -13,17 +13,22 @@ def test_same_as_sql(spark, data, name):
     same(spark, data, registry.QUERIES[name], registry.ORACLE_SQL[name])
 
 
-def test_size_capped_chunks(spark, data):
-    """Against a running sum in plain Python."""
-    from compare import tables
+def test_size_capped_chunks(spark):
+    """Against a running sum in plain Python: keys over several spans, empty files, files over the limit, null keys and sizes."""
+    import random
 
-    got = {(r["year"], r["month"], r["chunk"]): (r["files"], r["bytes"]) for r in registry.QUERIES["sink_size_capped_chunks"](spark, data).collect()}
+    from peakframe.operators.capped import capped
+
+    rng = random.Random(5)
+    files = [(rng.choice(["a", "a", "a", "b", None]), i, rng.choice([0, 0, 1, 3, 5, 9, 10, 11, 25, None])) for i in range(400)] + [("c", 400, 30)]
+    df = spark.createDataFrame(files, "release string, file long, bytes long")
     want, state = {}, {}
-    for y, m, n in tables(data).sql("SELECT year(o_orderdate), month(o_orderdate), floor(o_totalprice)::BIGINT FROM orders ORDER BY o_orderkey").fetchall():
-        chunk, held = state.get((y, m), (0, 0))
-        if held and held + n > 1_000_000:
+    for r, f, n in files:
+        chunk, held = state.get(r, (0, None))
+        if held is not None and held + (n or 0) > 10:
             chunk, held = chunk + 1, 0
-        state[y, m] = (chunk, held + n)
-        files, total = want.get((y, m, chunk), (0, 0))
-        want[y, m, chunk] = (files + 1, total + n)
-    assert got == want
+        state[r] = (chunk, (held or 0) + (n or 0))
+        want[f] = chunk
+    for span in (1, 7, 50, 1000):
+        assert {x["file"]: x["chunk"] for x in capped(df, ["release"], ["file"], "bytes", 10, span).collect()} == want
+    assert capped(df.limit(0), ["release"], ["file"], "bytes", 10).count() == 0
