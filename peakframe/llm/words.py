@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import json
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from peakframe.llm.common import kept
 
-#: Entries of a generation of the memo of words that a worker keeps, and of the memo of their cores (lower case, without the marks behind). About 130 MB together.
-MEMO, CORES = 200_000, 150_000
+#: Entries of a generation of the memo of words that a worker keeps, their cores (lower case, without the marks behind) among them. About 130 MB in two generations.
+MEMO = 400_000
 #: Texts whose words are looked up together.
-GROUP = 256
+GROUP = 1024
 #: What Python and the library surely treat alike: letters up to here are letters to both, and composed.
 PLAIN_END = "ɐ"
 #: The normalizer and the splits that the memo assumes (dropped white space, lower case, runs of letters, single digits, runs of marks).
@@ -49,6 +50,17 @@ def version(path: str) -> str:
     return hashlib.sha256(Path(path).read_bytes()).hexdigest()
 
 
+def joined(values: list[bytes], indices: pa.Array, offsets: pa.Array) -> list[bytes]:
+    """For each run of indices between two offsets, the values they name, joined."""
+    if not len(indices):
+        return [b""] * (len(offsets) - 1)
+    laid = pa.array(values, pa.large_binary()).take(indices)
+    _, ends, data = laid.buffers()
+    at = np.frombuffer(ends, dtype="<i8", count=len(laid) + 1)[offsets.to_numpy()].tolist()
+    view = memoryview(data) if data else b""
+    return [bytes(view[i:j]) for i, j in zip(at, at[1:], strict=False)]
+
+
 class JsonTokenizer:
     """Ids of whole texts as the tokenizers library gives them, as little-endian unsigned 32-bit bytes.
 
@@ -75,37 +87,42 @@ class JsonTokenizer:
         if self.by_word:
             self.ends = np.zeros(self.library.get_vocab_size(), dtype=bool)
             self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(suffix)]] = True
-            self.memo, self.cores = Memo(MEMO), Memo(CORES)
+            self.memo = Memo(MEMO)
 
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[str]) -> None:
-        """Put white-space-free words into the memo. Most are a core of letters, some with marks behind; cores are encoded many at a time."""
-        split, other = [], []
+        """Put white-space-free words that the memo lacks into it. Most are a core of letters, some with marks behind; cores are encoded many at a time, and are entries of the memo themselves."""
+        now, before = self.memo.now, self.memo.before
+        parts, split, other = set(), [], []
         for w in words:
             core = w.rstrip(ENDS)
-            end = w[len(core) :]
             if core.isalpha() and (core.isascii() or max(core) < PLAIN_END):
-                split.append((w, core.lower(), end))
+                end, core = w[len(core) :], core.lower()
+                parts.add(core)
+                if end:
+                    parts.add(end)
+                if core != w:
+                    split.append((w, core, end))
             else:
                 other.append(w)
-        new = list(self.cores.lacking({x for _, core, end in split for x in (core, end) if x}))
-        memo, cores = self.memo.now, self.cores.now
+        new = [x for x in parts if x not in now and x not in before]
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             ids = np.frombuffer(b"".join(self.raw([" ".join(part[j : j + 500]) for j in range(0, len(part), 500)])), dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part):  # not as foreseen: one at a time
-                cores.update(zip(part, self.raw(part), strict=True))
+                now.update(zip(part, self.raw(part), strict=True))
                 continue
             data, at = ids.tobytes(), 0
             for x, b in zip(part, (4 * cuts).tolist(), strict=True):
-                cores[x] = data[at:b]
+                now[x] = data[at:b]
                 at = b
+        of = lambda x: now[x] if x in now else before[x]
         for w, core, end in split:
-            memo[w] = cores[core] + cores[end] if end else cores[core]
-        memo.update(zip(other, self.raw(other), strict=True))
+            now[w] = of(core) + of(end) if end else of(core)
+        now.update(zip(other, self.raw(other), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
@@ -113,15 +130,17 @@ class JsonTokenizer:
         out: list[bytes] = []
         for a in range(0, len(texts), GROUP):
             group = texts[a : a + GROUP]
-            split = [t.split() for t in group]
-            distinct = set(chain.from_iterable(split))
-            if len(distinct) > self.memo.most:
+            words = pc.utf8_split_whitespace(pa.array(group, pa.large_string()))  # white space as Python has it
+            coded = words.flatten().dictionary_encode()
+            distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            keys = set(distinct).difference([""])  # outer white space leaves empty words
+            if len(keys) > self.memo.most:
                 out += self.raw(group)
                 continue
-            if missing := self.memo.lacking(distinct):
+            if missing := self.memo.lacking(keys):
                 self.learn(missing)
             memo = self.memo.now
-            got = [b"".join([memo[w] for w in words]) for words in split]
+            got = joined([memo[w] if w else b"" for w in distinct], coded.indices, words.offsets)
             for i, t in enumerate(group):
                 if "\x1c" in t or "\x1d" in t or "\x1e" in t or "\x1f" in t:  # white space to Python only
                     got[i] = self.raw([t])[0]
