@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from peakframe.llm import fingerprint, jaccard_join, langid, mixing, packing, ranked_search, revisit, secrets, simhash, telephony, token_counts, toxicity
+from peakframe.llm import conversation_repair, fingerprint, jaccard_join, langid, mixing, packing, ranked_search, revisit, secrets, simhash, telephony, token_counts, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -17,5 +17,6 @@ QUERIES = {
     "op10_language_id": langid.op10_language_id,
     "op11_ranked_search": ranked_search.op11_ranked_search,
     "op12_jaccard_join": jaccard_join.op12_jaccard_join,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 ORACLE_SQL = {"op7_revisits": revisit.OP7_SQL, "op8_mixing": mixing.OP8_SQL, "op11_ranked_search": ranked_search.OP11_SQL}
