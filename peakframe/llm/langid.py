@@ -17,12 +17,12 @@ from pyspark.sql import types as T
 
 from peakframe.llm.common import SLICE_BYTES, code_points, documents, kept, mixed_hash, row_map, ship, slices
 
-#: Hash buckets of n-grams: the model is a table of this many rows and a column for each language, whatever the corpus.
+#: Hash buckets of n-grams: the model is a table of this many rows (fewer for hundreds of languages) and a column for each language, whatever the corpus.
 BUCKETS = 1 << 16
 #: Most rows of a language that the model is fitted on, chosen by a digest of their id; a language with fewer gives all.
 FIT_ROWS = 10_000
-#: Most languages that a model may have.
-MAX_LANGS = 500
+#: Cells of the model and of a worker's table of words: with more languages than fit beside BUCKETS rows, there are fewer rows, a power of two.
+CELLS = 1 << 25
 #: What a change of language costs, in the units of a word's score, and what an n-gram weighs in it.
 SWITCH, WEIGHT = 20.0, 0.3
 #: Texts whose words are looked up together.
@@ -57,7 +57,15 @@ def scripts(words: list[str]) -> np.ndarray:
     return np.array(NUMBER)[np.searchsorted(STARTS, first, side="right") - 1]
 
 
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def rows_for(languages: int) -> int:
+    """Rows of the table of n-grams."""
+    rows = BUCKETS
+    while rows > 1 and rows * languages > CELLS:
+        rows //= 2
+    return rows
+
+
+def features(words: list[str], rows: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, place of the word) of the n-grams of 1 to 4 characters of each word between spaces, and of the whole word."""
     codes = code_points(" " + " ".join(words) + " ")
     sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
@@ -68,9 +76,9 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     buckets, places = [], []
     for n in (1, 2, 3, 4):
         p = at[(at + n - 1 <= end) & ((n > 1) | (at != begin[owner]))]
-        buckets.append(mixed_hash([codes[p + k] for k in range(n)]) % BUCKETS)
+        buckets.append(mixed_hash([codes[p + k] for k in range(n)]) % np.uint64(rows))
         places.append(owner[p])
-    buckets.append(np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in words), dtype=np.uint64, count=len(words)))
+    buckets.append(np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % rows for w in words), dtype=np.uint64, count=len(words)))
     places.append(np.arange(len(words)))
     return np.concatenate(buckets).astype(np.int64), np.concatenate(places)
 
@@ -84,8 +92,9 @@ class Model:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        grams, scripts = counts[:BUCKETS], counts[BUCKETS:]
-        logs = np.log(grams + 0.5) - np.log(grams.sum(axis=0) + 0.5 * BUCKETS)
+        self.rows = len(counts) - len(SCRIPTS)
+        grams, scripts = counts[: self.rows], counts[self.rows :]
+        logs = np.log(grams + 0.5) - np.log(grams.sum(axis=0) + 0.5 * self.rows)
         self.logs = (WEIGHT * (logs - logs.sum(axis=1, keepdims=True) / max(1, len(languages)))).astype(np.float32)
         self.allowed = scripts > 1e-3 * scripts.sum(axis=0)
 
@@ -95,14 +104,13 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "do
     spark = df.sparkSession
     ship(spark)
     base = df.select(F.col(f"`{text}`").alias("t"), F.col(f"`{lang}`").alias("l"), F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(1 << 20)).alias("h")).filter(F.col("l").isNotNull())
-    sizes = {r["l"]: r["count"] for r in base.groupBy("l").count().orderBy("l").limit(MAX_LANGS + 1).collect()}
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    sizes = {r["l"]: r["count"] for r in base.groupBy("l").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS + len(SCRIPTS), 0)))
-    most = F.create_map(*[F.lit(x) for k in languages for x in (k, int(min(1.0, rows / sizes[k]) * (1 << 20)))])
-    width = BUCKETS + len(SCRIPTS)
+    most = spark.createDataFrame([(k, int(min(1.0, rows / sizes[k]) * (1 << 20))) for k in languages], "l string, most long")
+    buckets_ = rows_for(len(languages))
+    width = buckets_ + len(SCRIPTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -118,15 +126,15 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "do
                 names, weights = list(cores), np.fromiter(cores.values(), dtype=np.float64)
                 for a in range(0, len(names), 20_000):
                     part, w = names[a : a + 20_000], weights[a : a + 20_000]
-                    buckets, places = features(part)
+                    buckets, places = features(part, buckets_)
                     x = np.bincount(buckets, weights=w[places], minlength=width)
-                    x[BUCKETS:] += np.bincount(scripts(part), weights=w, minlength=len(SCRIPTS))
+                    x[buckets_:] += np.bincount(scripts(part), weights=w, minlength=len(SCRIPTS))
                     sums[k] = sums.get(k, 0) + x
         for k, x in sums.items():
             at = np.flatnonzero(x)
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(at)), pa.array(at), pa.array(x[at].astype(np.int64))], names=["l", "bucket", "n"])
 
-    chosen = base.filter(F.col("h") < most[F.col("l")]).select("t", "l")
+    chosen = base.join(F.broadcast(most), "l").filter("h < most").select("t", "l")
     table = chosen.mapInArrow(run, "l string, bucket long, n long").groupBy("l", "bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((width, len(languages)))
     place = {k: i for i, k in enumerate(languages)}
@@ -148,15 +156,16 @@ class Labeller:
         self.lettered = np.zeros(1024, dtype=bool)
 
     def know(self, words) -> None:
-        """Put all of the words into the memo; the second time only if it was full and started anew."""
+        """Put all of the words into the memo. If it would be too full it starts anew, with all of them, however many they are."""
         distinct = set(words)
-        for _ in range(2):
-            if missing := distinct.difference(self.raw):
-                self.learn(missing)
+        missing = distinct.difference(self.raw)
+        if missing and len(self.raw) + len(missing) > min(MEMO, CELLS // max(1, self.n)):
+            self.reset()
+            missing = distinct
+        if missing:
+            self.learn(missing)
 
     def learn(self, words: set[str]) -> None:
-        if len(self.raw) + len(words) > MEMO:
-            self.reset()
         new: dict[str, int] = {}
         for w in words:
             c = core(w)
@@ -169,7 +178,7 @@ class Labeller:
         while len(self.table) < len(self.cores):
             self.table, self.lettered = np.concatenate([self.table, np.zeros_like(self.table)]), np.concatenate([self.lettered, np.zeros_like(self.lettered)])
         names = list(new)
-        buckets, places = features(names)
+        buckets, places = features(names, self.model.rows)
         scores = np.stack([np.bincount(places, weights=self.model.logs[buckets, k], minlength=len(names)) for k in range(self.n)], axis=1)
         allowed = self.model.allowed[scripts(names)]
         scores = np.where(allowed.any(axis=1, keepdims=True), np.where(allowed, scores, scores.min(axis=1, keepdims=True) - 30), 0)
@@ -245,7 +254,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", spans: str | None
     """df with lang_pred, the language of most of the text's letters, and score: its share of them times how sure its words are of it. With `spans`, that column has the runs of each language.
 
     Null, empty and letterless texts are `und` with score 0 and no runs; so are all if the model has no language. Columns with the new names are replaced.
-    The model, a table of BUCKETS rows and at most MAX_LANGS columns, is broadcast.
+    Very long texts count whole; repeated rows are labelled each. The model, a table of at most CELLS cells, is broadcast.
     """
     sent, key = df.sparkSession.sparkContext.broadcast(model), f"langid-{uuid.uuid4().hex}"
 

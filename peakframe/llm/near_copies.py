@@ -1,6 +1,6 @@
 """Near copies by the Jaccard similarity of word shingles: candidates by min-hash keys and SimHash tiles, each link checked on the whole sets of shingles.
 
-Texts with equal sets are one node. Nodes that share a key of BAND min-hashes meet in a unit, where those whose SimHashes differ in RADIUS bits at most are candidates. Keys take the place
+Texts with equal sets are one node. Nodes that share a key of BAND min-hashes meet in a unit, where those whose SimHashes (of the sets, as repeats do not count in the similarity) differ in RADIUS bits at most are candidates. Keys take the place
 of bit blocks, for at such a radius equal blocks have few bits and units would grow with the input. Nodes that candidates join make a group; only its members' sets are gathered,
 and all its candidates are checked, save those whose ends are joined by checked links already. A group that is too large is split into pairs of tiles that go to different tasks.
 """
@@ -19,7 +19,7 @@ from peakframe.llm.common import cut, row_map
 from peakframe.llm.components import components
 from peakframe.llm.simhash import TILE, UNIT, shingle_hashes, simhash, tiled_links
 
-WORDS, SIMILARITY, RADIUS = 5, 0.8, 18
+WORDS, SIMILARITY, RADIUS = 5, 0.8, 28
 #: Keys of a text and the min-hashes in each: two texts at the least similarity share no key once in 40,000 times.
 BANDS, BAND = 20, 4
 #: Rows that are broadcast to the documents; beyond it the join shuffles.
@@ -52,15 +52,14 @@ def node(hashes: np.ndarray) -> int:
 
 
 def nodes(df: DataFrame, text: str, keys: bool = False, sets: bool = False, words: int = WORDS) -> DataFrame:
-    """df with node; with `keys`, also the SimHash and the keys of `text`; with `sets`, also its set of shingle hashes (sorted, 8 bytes each). Null, empty and blank texts have the empty set."""
+    """df with node; with `keys`, also the SimHash and the keys of its set; with `sets`, also its set of shingle hashes (sorted, 8 bytes each). Null, empty and blank texts have the empty set."""
 
     def make():
         def f(values):
-            hashes = [shingle_hashes(v or "", words) for v in values]
-            unique = [np.unique(h) for h in hashes]
+            unique = [np.unique(shingle_hashes(v or "", words)) for v in values]
             out = [[node(u) for u in unique]]
             if keys:
-                out += [[simhash(h) for h in hashes], [band_keys(u).tolist() for u in unique]]
+                out += [[simhash(u) for u in unique], [band_keys(u).tolist() for u in unique]]
             return out + ([[u.tobytes() for u in unique]] if sets else [])
 
         return f
@@ -161,7 +160,7 @@ def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id", wor
     Texts are hashed again rather than stored; only the rows that may stay, and the sets of those with near copies, are shuffled.
     """
     printed = nodes(docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").alias("__text")), "__text", True, words=words).drop("__text")
-    # copies are combined here, before anything is joined; equal sets have equal keys, but their SimHashes may differ, as repeats count in them: each is a row
+    # copies are combined here, before anything is joined
     earliest = F.min(F.struct(F.col("__id").isNull().alias("void"), F.col("__id").alias("id"))).alias("__first")
     prints = cut(printed.groupBy("__node", "__print").agg(F.first("__keys").alias("__keys"), earliest))
     roots = near_roots(docs, prints, id_col, text, words, radius, least, unit)

@@ -25,8 +25,10 @@ from pyspark.sql import types as T
 from peakframe.llm.common import documents, row_map
 
 KINDS = ("assign", "access", "hex")
-#: A compressed layer is opened up to this many bytes; one that goes on is scanned so far and flagged in `truncated`.
+#: The compressed layers of a text are opened up to this many bytes together; where they go on they are scanned so far and flagged in `truncated`.
 MAX_LAYER_BYTES = 1 << 26
+#: Compressed bytes that are opened at once.
+PIECE = 256
 #: Layers of URL and Unicode escapes that are unwrapped and scanned one by one.
 STEPS = 8
 
@@ -40,7 +42,7 @@ ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa
 ESCAPED = re.compile(f"{PERCENT.pattern}|{ESCAPE.pattern}")
 BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
 #: Base64 in lines; the mark of a PEM's end is none.
-WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*(?!-----)[A-Za-z0-9+/_-]+)+={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*+(?!-----)[A-Za-z0-9+/_-]++)+={0,2}")
 LINE = re.compile("[A-Za-z0-9+/_-]+={0,2}")
 #: What bytes that are not all text must have to be a layer: as much ASCII as the shortest secret, or mostly text.
 READABLE = re.compile("[\x20-\x7e]{12}")
@@ -82,37 +84,62 @@ class Layer:
         return (hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), *self.origin(0, len(self.text)))
 
 
+def opener(data: bytes):
+    """What makes a decompressor for the member that data begins with, or None."""
+    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
+        return lambda: zlib.decompressobj(47)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lambda: lzma.LZMADecompressor(memlimit=1 << 28)
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        import zstandard
+
+        return lambda: zstandard.ZstdDecompressor().decompressobj()
+    return None
+
+
+def opened(d, piece: bytes, most: int) -> bytes:
+    """What a decompressor gives for the next piece, more than `most` bytes only to tell that there are more."""
+    if type(d).__module__.startswith("zstandard"):
+        return d.decompress(piece)  # it has no limit; a piece gives some MB at most
+    out = [d.decompress(piece, most + 1)]
+    while len(out[-1]) and sum(map(len, out)) <= most and not d.eof and (getattr(d, "unconsumed_tail", b"") or not getattr(d, "needs_input", True)):
+        out.append(d.decompress(getattr(d, "unconsumed_tail", b""), most + 1 - sum(map(len, out))))
+    return b"".join(out)
+
+
 def member(data: bytes, most: int) -> tuple[bytes, bool, bytes] | None:
-    """The content of the gzip, zlib, zstandard, bzip2 or xz member that data begins with, whether it was cut at `most`, and the data behind it; or None."""
-    try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            d = zlib.decompressobj(47)
-            return d.decompress(data, most), bool(d.unconsumed_tail), d.unused_data
-        if data[:3] == b"BZh" or data[:6] == b"\xfd7zXZ\x00":
-            d = bz2.BZ2Decompressor() if data[:3] == b"BZh" else lzma.LZMADecompressor(memlimit=1 << 28)
-            return d.decompress(data, most), not d.eof and not d.needs_input, d.unused_data if d.eof else b""
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            d, parts, n = zstandard.ZstdDecompressor().decompressobj(), [], 0
-            try:
-                for i in range(0, len(data), 64):  # a block of 128 KB may come from four bytes
-                    parts.append(d.decompress(data[i : i + 64]))
-                    n += len(parts[-1])
-                    if d.eof or n > most:
-                        break
-            except zstandard.ZstdError:
-                return None
-            return b"".join(parts)[:most], n > most, d.unused_data + data[i + 64 :] if d.eof else b""
-    except lzma.LZMAError as e:
-        return (b"", True, b"") if "limit" in str(e).lower() else None  # needs more memory than a worker gives it
-    except (zlib.error, OSError, EOFError, ValueError):  # damaged data is no layer
+    """The content of the gzip, zlib, zstandard, bzip2 or xz member that data begins with, whether it was cut, and the data behind it; or None.
+
+    It is cut where `most` bytes were read, where it needs more memory than a worker gives it, and where it is damaged; what stands before is read as far as it can be.
+    """
+    if (make := opener(data)) is None:
         return None
-    return None
+    out, n, at, step, d, cut = [], 0, 0, PIECE, make(), False
+    while at < len(data) and not d.eof and not cut:
+        try:
+            out.append(opened(d, data[at : at + step], most - n))
+        except Exception as e:  # each library has its own
+            if "limit" in str(e).lower() and isinstance(e, lzma.LZMAError):
+                return b"".join(out), True, b""
+            if step > 1:  # again as far as it went, then byte by byte
+                d, step = make(), 1
+                for i in range(0, at, PIECE):
+                    opened(d, data[i : min(at, i + PIECE)], most)
+                continue
+            cut = True
+            break
+        at, n = at + step, n + len(out[-1])
+        cut = n > most
+    content = b"".join(out)[:most]
+    if cut and n <= most and not READABLE.search(content.decode("utf-8", "replace")):
+        return None  # damaged data is no layer, unless something can be read in it
+    return content, cut, d.unused_data + data[at:] if d.eof else b""
 
 
 def inflate(data: bytes, most: int) -> tuple[bytes, bool] | None:
-    """The content of all members of gzip, zlib, zstandard, bzip2 or xz data, one behind the other, and whether it was cut at `most`, or None."""
+    """The content of all members of gzip, zlib, zstandard, bzip2 or xz data, one behind the other, and whether it was cut, or None."""
     if (got := member(data, most)) is None:
         return None
     parts, n, cut = [got[0]], len(got[0]), got[1]
@@ -127,20 +154,20 @@ def inflate(data: bytes, most: int) -> tuple[bytes, bool] | None:
     return b"".join(parts), cut
 
 
-def as_text(data: bytes, most: int) -> tuple[str, bool] | None:
-    """Text inside bytes (UTF-8, or UTF-16 and UTF-8), unpacked as often as they are compressed, with marks for what can't be decoded; None where there is none."""
-    cut, seen = False, set()
-    while (opened := inflate(data, most)) is not None and data not in seen:
+def as_text(data: bytes, most: int) -> tuple[str, bool, int] | None:
+    """Text inside bytes (UTF-8, or UTF-16 and UTF-8), unpacked as often as they are compressed, with marks for what can't be decoded, whether it was cut, and how many bytes were unpacked; None where there is none."""
+    cut, seen, n = False, set(), 0
+    while data not in seen and (got := inflate(data, most - n)) is not None:
         seen.add(data)
-        data, cut = opened[0], cut or opened[1]
+        data, cut, n = got[0], cut or got[1], n + len(got[0])
     text = data.decode("utf-8", "replace")
     if b"\0" in data:
         for code, pattern in UTF_16.items():
             if m := pattern.search(data):
-                return data[m.start() % 2 :].decode(code, "replace") + "\n" + text, cut
-    if not text or (not seen and not READABLE.search(text) and 4 * len(CONTROL.findall(text)) > len(text)):
+                return data[m.start() % 2 :].decode(code, "replace") + "\n" + text, cut, n
+    if not cut and (not text or (not seen and not READABLE.search(text) and 4 * (len(text) - len(CONTROL.sub("", text))) > len(text))):
         return None
-    return text, cut
+    return text, cut, n
 
 
 def rewritten(layer: Layer) -> Layer | None:
@@ -286,8 +313,10 @@ def from_escape(run: str):
     return chr(code), [len(run)]
 
 
-def decoded(run: str, most: int) -> tuple[str, bool] | None:
-    """The text that base64 hides, and whether it was cut at `most` bytes; or None."""
+def decoded(run: str, most: int) -> tuple[str, bool, int] | None:
+    """The text that base64, or a run of percent escapes of compressed bytes, hides, as as_text gives it; or None."""
+    if run[0] == "%":
+        return as_text(bytes.fromhex(run.replace("%", "")), most)
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         body = body[:-1]
@@ -297,44 +326,66 @@ def decoded(run: str, most: int) -> tuple[str, bool] | None:
         return None
 
 
-def unwrapped(layer: Layer, most: int):
-    """The layers one step below, each with a flag for one cut at `most` bytes."""
+#: A stretch is known to hide a layer once so many bytes of it are unpacked.
+PEEK = 64
+
+
+def unwrapped(layer: Layer) -> Layer | None:
+    """The layer with its escapes unwrapped, or None where it has none."""
+    text = layer.text
+    if "%" in text or "\\" in text or "&#" in text or not text.isascii():
+        return rewritten(layer) if layer.steps < STEPS else settled(layer)
+    return None
+
+
+def hiding(layer: Layer):
+    """(stretch, start, end) of what hides a layer: base64, over lines or not, and compressed bytes in percent escapes; where it stands in the document."""
     text = layer.text
-    if ("%" in text or "\\" in text or "&#" in text or not text.isascii()) and (x := rewritten(layer) if layer.steps < STEPS else settled(layer)) is not None:
-        yield x, False
     if "%" in text:
-        for m in PERCENT.finditer(text):  # compressed bytes may be written so
-            if inflate(data := bytes.fromhex(m[0].replace("%", "")), 64) and (got := as_text(data, most)):
-                yield Layer(got[0], *layer.origin(m.start(), m.end()), layer.depth + 1), got[1]
+        for m in PERCENT.finditer(text):
+            if inflate(bytes.fromhex(m[0].replace("%", "")), PEEK):
+                yield m[0], *layer.origin(m.start(), m.end())
     whole, k = [], 0
     for start, end, run in wrapped(text) if "\n" in text else ():
-        if (got := decoded(run, most)) is not None:
-            yield Layer(got[0], *layer.origin(start, end), layer.depth + 1), got[1]
+        if decoded(run, PEEK) is not None:
+            yield run, *layer.origin(start, end)
             if len(text[start:end].split("\n", 1)[0].rstrip("\r")) % 4 == 0:
                 whole.append((start, end))  # its lines have nothing of their own
     for m in BASE64.finditer(text):
         while k < len(whole) and whole[k][1] <= m.start():
             k += 1
-        if (k == len(whole) or m.start() < whole[k][0]) and (got := decoded(m[0], most)) is not None:
-            yield Layer(got[0], *layer.origin(m.start(), m.end()), layer.depth + 1), got[1]
+        if (k == len(whole) or m.start() < whole[k][0]) and decoded(m[0], PEEK) is not None:
+            yield m[0], *layer.origin(m.start(), m.end())
 
 
 def scan_layers(text: str, most: int = MAX_LAYER_BYTES) -> tuple[list[tuple[int, int, int, int]], int, list[tuple[int, int]]]:
-    """(start, kind, end, depth of the shallowest layer that shows it) of all findings in order, how many layers there are, the stretches (start, end) whose layers were cut."""
-    root = Layer(text)
-    seen, work, found, layers, cut = {root.key()}, [root], {}, 0, set()
+    """(start, kind, end, depth of the shallowest layer that shows it) of all findings in order, how many layers there are, the stretches (start, end) whose layers were cut.
+
+    The worklist holds stretches, which are opened when their turn comes, so that one layer at a time is unpacked; all of a text share `most` bytes of unpacked data.
+    """
+    work: list = [Layer(text)]
+    seen, found, layers, cut = {work[0].key()}, {}, 0, set()
     while work:
         layer = work.pop()
+        if isinstance(layer, tuple):
+            run, a, b, depth = layer
+            if (got := decoded(run, most)) is None:
+                continue
+            most -= got[2]
+            if got[1]:
+                cut.add((a, b))
+            layer = Layer(got[0], a, b, depth)
+            if not layer.text or (key := layer.key()) in seen:
+                continue
+            seen.add(key)
         layers += 1
         for kind, a, b in findings(layer.text):
             k = (layer.origin(a, b)[0], kind, layer.origin(a, b)[1])
             found[k] = min(found.get(k, layer.depth), layer.depth)
-        for below, was_cut in unwrapped(layer, most):
-            if was_cut:
-                cut.add(below.origin(0, len(below.text)))
-            if below.text and (key := below.key()) not in seen:
-                seen.add(key)
-                work.append(below)
+        work += [(*x, layer.depth + 1) for x in hiding(layer)]
+        if (below := unwrapped(layer)) is not None and below.text and (key := below.key()) not in seen:
+            seen.add(key)
+            work.append(below)
     return [(*k, d) for k, d in sorted(found.items())], layers, sorted(cut)
 
 
@@ -362,8 +413,8 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.Str
 def scan_secrets(df: DataFrame, text: str = "text", max_layer_bytes: int = MAX_LAYER_BYTES, redacted: str | None = None) -> DataFrame:
     """df with secret_spans (start, kind, end, depth; depth 0 stands in the text itself), n_layers and truncated; with `redacted`, a column of that name has the text without them, and without the encoded stretches whose layers were cut.
 
-    Null and empty texts have no spans, one layer, and null or empty redacted text. Repeated rows each keep their row; equal texts have equal findings.
-    Columns of df that have these names are replaced. Memory: one text and its layers at a time.
+    Null and empty texts have no spans, one layer, and null or empty redacted text. Repeated rows each keep their row; equal texts have equal findings. Columns of df that have these names are replaced.
+    Very long texts count whole, in time that grows with their length; memory: one text, its stretches, and one unpacked layer at a time, of `max_layer_bytes` together for a text.
     """
 
     def make():
@@ -379,7 +430,7 @@ def scan_secrets(df: DataFrame, text: str = "text", max_layer_bytes: int = MAX_L
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, counts and digest of the secrets in each document as it is, and the spans of all layers. Null and empty texts have none; equal texts have equal findings; repeated rows each keep their row; texts count whole."""
+    """doc_id, counts and digest of the secrets in each document as it is, and the spans of all layers. Null and empty texts have none; equal texts have equal findings; repeated rows each keep their row; very long texts count whole, as `scan_secrets` says."""
     found = scan_secrets(documents(spark, sf_dir).select("doc_id", "text"))
     base = F.filter("secret_spans", lambda x: x["depth"] == 0)
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")

@@ -69,3 +69,17 @@ def test_near_copies_of_odd_rows(spark):
     assert sum(r["text"] == "same" for r in kept) == 1 and all(r["media"] == "clash" for r in kept)
     assert len(kept) == len({" ".join((t or "").split()) for t in ODD})
     assert near_copies.one_of_each(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("unit", [4096, 24])
+def test_repeats_inside_texts_lose_no_link(spark, unit):
+    """Lines repeated hundreds of times count once in the similarity, and so they must in what finds candidates."""
+    rng, rows = random.Random(3), []
+    for i in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(60, 300))]
+        k = rng.randrange(len(words) - 12)
+        line = words[k : k + 10]
+        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(words[: k + 10] + line * 200 + words[k + 10 :])), (10 * i + 2, " ".join(words + [f"x{i}"] * 500))]
+    want = brute_kept(rows)
+    assert len(want) < 80
+    assert sorted(r["doc_id"] for r in near_copies.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), unit=unit).collect()) == want

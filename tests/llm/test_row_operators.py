@@ -411,3 +411,31 @@ def test_languages_of_odd_rows(spark, model):
 
 def test_all_operators_are_registered():
     assert Counter(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == Counter(range(1, 11))
+
+
+@pytest.mark.parametrize(("memo", "words"), [(50, 51), (50, 400), (None, None)])
+def test_texts_of_more_words_than_the_memo(monkeypatch, memo, words):
+    """Known and new words mixed in one text that the memo cannot hold beside what it has."""
+    if memo:
+        monkeypatch.setattr(langid, "MEMO", memo)
+    words = words or langid.MEMO + 10_000
+    rng = np.random.default_rng(1)
+    labeller = langid.Labeller(langid.Model(["a", "b"], rng.integers(1, 50, (langid.BUCKETS + len(langid.SCRIPTS), 2)).astype(float)))
+    text = " ".join(f"v{i}" for i in range(words))
+    labeller.know([f"v{i}" for i in range(min(30_000, words // 2))] + ["only here"])
+    first = labeller.label(text)
+    assert len(first[2]) == words
+    labeller.know(["and", "others"])
+    again = labeller.label(text)
+    assert again[:2] == first[:2] and (again[2] == first[2]).all()
+
+
+def test_hundreds_of_languages(spark, monkeypatch):
+    """More languages than the table has room for at full width: fewer rows, no error."""
+    monkeypatch.setattr(langid, "CELLS", 1 << 17)
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}ba " * 20, f"l{i}") for i in range(60)]
+    df = spark.createDataFrame(rows * 3, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.languages) == 60 and model.rows * 60 <= 1 << 17 and langid.rows_for(3) < langid.BUCKETS
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(df, model).collect()}
+    assert sum(got[i] == k for i, _, k in rows) >= 55

@@ -130,3 +130,93 @@ def test_layer_that_needs_too_much_memory_is_flagged(monkeypatch):
     real = lzma.LZMADecompressor
     monkeypatch.setattr(secrets.lzma, "LZMADecompressor", lambda memlimit: real(memlimit=1 << 10))
     assert secrets.scan("x " + base64.b64encode(packed).decode())[2]
+
+
+@pytest.mark.parametrize("text", ["x\n" + "Ab3d" * 2_500_000 + "\n y", "-----BEGIN\n" + "Zm9v" * 400_000 + "\n" + "Zm9v" * 400_000 + "\n-----END", "Q" * 3_000_000 + "\n  ." * 50_000])
+def test_one_long_run_takes_linear_time(text):
+    began = time.time()
+    _, layers, cut = secrets.scan(text)
+    assert time.time() - began < 60 and layers < 10 and not cut
+
+
+def test_many_compressed_layers_share_one_budget():
+    """Layers are opened one at a time, and together no farther than the limit: what lies behind is flagged."""
+    import tracemalloc
+
+    bomb = base64.b64encode(gzip.compress(bytes(8 << 20) + SECRET)).decode()
+    text = " , ".join(f"{i:03d}.{bomb}" for i in range(50))
+    tracemalloc.start()
+    spans, layers, cut = secrets.scan_layers(text, 40 << 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20 and len(cut) == 46 and sum(k == 0 for _, k, _, _ in spans) == 4
+    assert all(text[a:b] == bomb.rstrip("=") or text[a:b] == bomb for a, b in cut)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_damaged_layers_are_read_as_far_as_they_go(pack):
+    rng = np.random.default_rng(3)
+    noise = lambda n: "".join(rng.choice(list("qwrtzpsdg"), n)).encode()
+    whole = pack(noise(300) + b" " + SECRET + b" " + noise(300))
+    end = bytearray(whole)
+    end[-3 if pack in (gzip.compress, zlib.compress) else -1] ^= 0xFF
+    for data in (bytes(end), pack(SECRET + b" and some words more") + whole[:-40]):
+        spans, _, cut = secrets.scan_layers("lead " + base64.b64encode(data).decode() + " tail")
+        assert [k for _, k, _, d in spans if d] and (cut or pack is lzma.compress or data != bytes(end))
+    assert secrets.scan(base64.b64encode(b"x\x9c" + bytes(rng.integers(0, 256, 60, dtype=np.uint8))).decode())[2] is False
+
+
+def nested(rng, text):
+    """text under some layers, and how many."""
+    packs = [lambda t: base64.b64encode(t.encode()).decode(), lambda t: quote(t, safe=""), lambda t: base64.b64encode(gzip.compress(t.encode())).decode(), lambda t: base64.urlsafe_b64encode(lzma.compress(t.encode())).decode(), lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: "".join(f"&#{ord(c)};" for c in t), lambda t: base64.b64encode(bz2.compress(base64.b64encode(zlib.compress(t.encode())))).decode()]
+    depth = rng.integers(1, 5)
+    for _ in range(depth):
+        text = "see " + packs[rng.integers(len(packs))](f"pre {text} post") + " end"
+        if len(text) > 20_000:
+            break
+    return text
+
+
+def plain_decoder(text, depth=0, seen=None):
+    """Every secret's text that a plain recursive decoder meets: each layer written out, each of its stretches opened by itself."""
+    import html
+    import re
+    import urllib.parse
+
+    seen = set() if seen is None else seen
+    if text in seen or depth > 40:
+        return set()
+    seen.add(text)
+    found = {text[a:b] for _, a, b in secrets.findings(text)}
+    below = [urllib.parse.unquote(text), html.unescape(text), re.sub(r"\\u([0-9a-f]{4})", lambda m: chr(int(m[1], 16)), text)]
+    for m in re.finditer("[A-Za-z0-9+/_-]{16,}={0,2}", text):
+        try:
+            data = base64.b64decode(m[0].replace("-", "+").replace("_", "/"))
+        except ValueError:
+            continue
+        for unpack in (gzip.decompress, zlib.decompress, bz2.decompress, lzma.decompress, bytes):
+            try:
+                below.append(unpack(data).decode())
+            except Exception:
+                continue
+    for x in below:
+        found |= plain_decoder(x, depth + 1, seen)
+    return found
+
+
+def test_against_a_plain_recursive_decoder(monkeypatch):
+    """Random nestings: the values found are those of a decoder that writes every layer out, and each lies in the stretch that hides it."""
+    rng = np.random.default_rng(8)
+    for n in range(150):
+        planted = [f"password=hunter{n:04d}x", "AKIA" + f"{n:04d}QWERTYUIOPAS", "api_key: zx" + f"{n:06d}"]
+        parts = [nested(rng, planted[k]) for k in rng.integers(0, 3, rng.integers(1, 4))]
+        text = "Some words. ".join(["", *parts, ""])
+        shown, real = set(), secrets.findings
+        monkeypatch.setattr(secrets, "findings", lambda t, real=real: [(k, a, b) for k, a, b in real(t) if shown.add(t[a:b]) is None])
+        spans = secrets.scan(text)[0]
+        monkeypatch.setattr(secrets, "findings", real)
+        want = plain_decoder(text)
+        assert want <= shown, text
+        assert len([d for *_, d in spans if d]) >= 1
+        for a, _, b, _ in spans:
+            assert plain_decoder(text[a:b]) or plain_decoder(text[max(0, a - 2) : b + 2]), text[a:b]
