@@ -15,11 +15,22 @@ from peakframe.llm.common import documents, scratch
 LEAST_SCORE = 0.3
 
 
+def apart(docs: DataFrame) -> tuple[DataFrame, list]:
+    """docs with names of its columns that no stage makes, doc_id, text, lang and n_chars apart, and what gives them back."""
+    plain = ("doc_id", "text", "lang", "n_chars")
+    names = {c: c if c in plain else f"__own{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(x) for c, x in names.items()]), [F.col(x).alias(c) for c, x in names.items()]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents of no language (null, empty or letterless texts) and those that no language fits. The model learns from the documents that have a lang."""
+    """Rejects documents of no language (null, empty or letterless texts) and those that no language fits. The model learns from the documents that have a lang.
+
+    Very long texts count whole; repeated rows are judged each, alike; columns named like those of the model keep their values; an empty table stays empty.
+    """
     model = langid.fit(docs.filter(langid.fold("doc_id", 4) != 2))
-    marked = langid.identify(docs.withColumn("__text", F.col("text")), model, "__text")
-    return marked.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    named, back = apart(docs)
+    marked = langid.identify(named.withColumn("__text", F.col("text")), model, "__text")
+    return marked.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,15 +38,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Null, empty and blank texts are copies of each other; null ids come last; of repeated rows one stays; texts count whole; an empty table stays empty.
     """
-    return near_copies.one_of_each(docs).select(*docs.columns)
+    named, back = apart(docs)
+    return near_copies.one_of_each(named).select(*back)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces each secret, or the encoded stretch that hides it or is too long to be opened whole, by a mark; n_chars follows. No document goes."""
-    clean = secrets.scan_secrets(docs.withColumn("__text", F.col("text")), "__text", redacted="__clean")
+    """Replaces each secret, or the encoded stretch that hides it or is too long to be opened whole, by a mark; n_chars follows. No document goes.
+
+    Null and empty texts stay as they are; repeated rows change alike; very long texts are scanned whole; columns named like those of the scan keep their values; an empty table stays empty.
+    """
+    named, back = apart(docs)
+    clean = secrets.scan_secrets(named.withColumn("__text", F.col("text")), "__text", redacted="__clean")
     changed = (F.size("secret_spans") > 0) | F.col("truncated")
     new = {"text": F.col("__clean")} | ({"n_chars": F.when(changed, F.char_length("__clean").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return clean.withColumns(new).select(*docs.columns)
+    return clean.withColumns(new).select(*back)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
