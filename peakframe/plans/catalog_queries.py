@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peakframe.operators.ordering import placed
 from peakframe.registry import query
 from peakframe.sources import catalog as C
+from peakframe.sources import files as Z
 from peakframe.sources import fixtures as X
-from peakframe.sources.shared import scratch
+from peakframe.sources.shared import scratch, written
 
 _MC, _DATA = r"regexp_matches(url, '(?i)/mc\d+_')", r"regexp_matches(url, '(?i)/data\d+_')"
 _KIND = f"CASE WHEN {_MC} AND NOT {_DATA} THEN 'mc' WHEN {_DATA} AND NOT {_MC} THEN 'data' END"
@@ -81,18 +83,41 @@ def cat_cache(spark, d):
     return C.load_catalog(spark, path)
 
 
-@query("src_multi_file", "SELECT r_name AS part, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE r_name <> 'ASIA' GROUP BY r_name UNION ALL SELECT r_name || ' (missing)', 0, 0.0 FROM region WHERE r_name = 'ASIA'")
-def src_multi_file(spark, d):
-    """A file for each region, one left out; each row knows its file, and expected files that nothing was read from are reported."""
-    path = scratch(spark, "regions")
+#: What is done to the files of some regions.
+_DAMAGE = {"ASIA": "absent", "AFRICA": "truncated", "EUROPE": "footer"}
+_ERROR = "CASE r_name " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _DAMAGE.items()) + " END"
+
+
+def _region_files(spark, d):
+    """part, path: the files of customers by region, some of them damaged."""
+    first, second = scratch(spark, "regions"), scratch(spark, "region-files")
     nations = X.table(spark, d, "nation").join(X.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = X.table(spark, d, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("r_name", "c_acctbal")
-    rows.withColumn("part", F.col("r_name")).filter("r_name <> 'ASIA'").repartition("part").write.partitionBy("part").parquet(path)
-    read = spark.read.parquet(path).withColumn("file", F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), "part=([^/]*)", 1))
-    seen = read.groupBy(F.col("file").alias("part")).agg(F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total"))
-    expected = X.table(spark, d, "region").select(F.col("r_name").alias("part"))
-    failed = expected.join(seen, "part", "left_anti").select(F.concat("part", F.lit(" (missing)")).alias("part"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("total"))
-    return seen.unionByName(failed)
+    rows = X.table(spark, d, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("r_name").alias("part"), "c_custkey", "c_acctbal")
+    rows.repartition("part").write.partitionBy("part").parquet(first)
+    part = F.url_decode(F.regexp_extract("path", "part=([^/]*)", 1))
+    listed = spark.read.format("binaryFile").load(f"{first}/*/*.parquet").select(F.col("path").alias("source"), part.alias("part"), F.concat(F.lit(f"{second}/"), F.hex(F.xxhash64("path")), F.lit(".parquet")).alias("target"))
+    damage = F.create_map(*[F.lit(x) for kv in _DAMAGE.items() for x in kv])
+    files = written(listed.withColumn("damage", damage[F.col("part")]))
+    written(X.damaged_copies(files))
+    return files.select("part", F.col("target").alias("path"))
+
+
+@query("src_multi_file", f"SELECT r_name AS part, {_ERROR} IS NULL AS ok, {_ERROR} AS error, CASE WHEN {_ERROR} IS NULL THEN count(*) ELSE 0 END AS n, CASE WHEN {_ERROR} IS NULL THEN round(sum(c_acctbal), 2) ELSE 0 END AS total FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY r_name")
+def src_multi_file(spark, d):
+    """A file for each region, read in one pass: the rows of those that can be read, and what is wrong with the others."""
+    files = _region_files(spark, d)
+    read = Z.read_files(files, T.StructType([T.StructField("c_acctbal", T.DoubleType())]))
+    by = read.groupBy("file").agg(F.max("outcome").alias("o"), F.coalesce(F.sum("row.c_acctbal"), F.lit(0.0)).alias("total"))
+    found = by.join(files, by["file"] == files["path"]).groupBy("part").agg(F.bool_and("o.ok").alias("ok"), F.max("o.error").alias("error"), F.sum("o.rows").alias("n"), F.round(F.sum("total"), 2).alias("total"))
+    return found
+
+
+@query("src_failed_files", f"SELECT {_ERROR} AS error, count(*) AS parts FROM region WHERE {_ERROR} IS NOT NULL GROUP BY 1")
+def src_failed_files(spark, d):
+    """The files of which nothing was read, by kind of error; their rows don't leave the executors."""
+    files = _region_files(spark, d)
+    failed = Z.outcomes_of(Z.read_files(files, T.StructType([T.StructField("c_custkey", T.LongType())]))).filter("NOT ok")
+    return failed.join(files, failed["file"] == files["path"]).groupBy("error").agg(F.count_distinct("part").alias("parts"))
 
 
 _WANTED = "(SELECT 'root://store.example/data16_13TeV/DAOD.' || o_custkey || '.root' AS url, count(*) AS n FROM orders GROUP BY 1)"

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peakframe.sources.files import located
+
 TYPES = ["Electrons", "Muons", "Jets", "BJets", "Photons", "Taus"]
 
 
@@ -108,6 +113,72 @@ def columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.concat(F.lit("file"), F.col("c_custkey").cast("string")).alias("file"), by(RELEASES).alias("release"), by(TABLES).alias("table"), F.explode(names).alias("column_name"))
 
 
+def layout_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """file, path: a small Parquet file with the columns of each file of the inventory, written by executors. In files whose number ends in 1, the data of every column that ends in _eta is spoilt."""
+    wanted = columns(spark, sf_dir).groupBy("file").agg(F.sort_array(F.collect_list("column_name")).alias("columns"), F.endswith(F.first("file"), F.lit("1")).alias("bad"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                out.append((r["file"], f"{folder}/{r['file']}.parquet"))
+                table_ = pa.table({c: [float(i), i + 0.5, i - 0.5] for i, c in enumerate(r["columns"])})
+                put_file(out[-1][1], spoilt(table_, [c for c in r["columns"] if r["bad"] and c.endswith("_eta")]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in list(zip(*out, strict=True)) or [[], []]], names=["file", "path"])
+
+    return wanted.mapInArrow(run, "file string, path string")
+
+
+def spoilt(table_: pa.Table, bad: list[str]) -> bytes:
+    """A Parquet file in which the pages of some columns can't be read."""
+    import pyarrow.parquet as pq
+
+    sink = pa.BufferOutputStream()
+    pq.write_table(table_, sink)
+    data = bytearray(sink.getvalue().to_pybytes())
+    meta = pq.ParquetFile(pa.BufferReader(bytes(data))).metadata
+    for g in range(meta.num_row_groups):
+        for c in map(meta.row_group(g).column, range(meta.num_columns)):
+            if c.path_in_schema.split(".list.")[0] in bad:
+                at = min(x for x in (c.dictionary_page_offset, c.data_page_offset) if x)
+                data[at : at + c.total_compressed_size] = b"\xff" * c.total_compressed_size
+    return bytes(data)
+
+
+def put_file(path: str, data: bytes) -> None:
+    system, inside = located(path)
+    system.create_dir(inside.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(inside) as out:
+        out.write(data)
+
+
+def damaged_copies(files: DataFrame, block: int = 1 << 20) -> DataFrame:
+    """Copies each file of (source, target, damage) in blocks, on executors: `absent` ones not at all, `truncated` ones to their half, `footer` ones with other bytes where the footer begins. Gives targets."""
+
+    def copy(source: str, target: str, damage: str | None) -> None:
+        system, inside = located(source)
+        there, at = located(target)
+        there.create_dir(at.rpartition("/")[0], recursive=True)
+        with system.open_input_file(inside) as f, there.open_output_stream(at) as out:
+            size = f.size()
+            end = size // 2 if damage == "truncated" else size
+            footer = size - 8 - int.from_bytes(f.read_at(4, size - 8), "little")
+            for pos in range(0, end, block):
+                data = bytearray(f.read_at(min(block, end - pos), pos))
+                if damage == "footer" and pos <= footer < pos + len(data):
+                    data[footer - pos : footer - pos + 4] = b"\xff" * len(data[footer - pos : footer - pos + 4])
+                out.write(bytes(data))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["damage"] != "absent":
+                    copy(r["source"], r["target"], r["damage"])
+            yield batch.select(["target"])
+
+    return files.select("source", "target", "damage").mapInArrow(run, "target string")
+
+
 # The same views as SQL, each the body of a WITH clause.
 SQL_P0 = """p0 AS (SELECT l_orderkey AS event_id,
   CASE WHEN l_returnflag='R' AND l_linestatus='F' THEN 'Electrons' WHEN l_returnflag='A' AND l_linestatus='F' THEN 'Muons'
