@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from peakframe.functions.labels import LETTERS, STAGE_LINES, fs_of, im_of, part_of, particle_types, rate, seconds_of
+from peakframe.operators.quantiles import exact_quantiles
 
 
 def parse_stats(files: DataFrame) -> DataFrame:
     """One row: files, ok, failed, events, MB, mean seconds, percent that succeeded, events per good file."""
+    return files.agg(*parse_metrics())
+
+
+def parse_metrics() -> list[Column]:
+    """What parse_stats gives, as aggregates that a pass over the files can also observe on its way."""
     good = F.col("ok")
     n, ok = F.count("*"), F.count_if(good)
     events = F.coalesce(F.sum(F.when(good, F.col("n_events"))), F.lit(0))
-    return files.agg(
+    return [
         n.alias("total_files"), ok.alias("successful_files"), F.count_if(~good).alias("failed_files"), events.alias("total_events"), (F.coalesce(F.sum("size_bytes"), F.lit(0)) / (1024 * 1024)).alias("total_size_mb"),
         F.coalesce(F.avg("time_sec"), F.lit(0.0)).alias("average_time_sec"), (rate(ok.cast("double"), n) * 100).alias("success_rate"), rate(events.cast("double"), ok).alias("events_per_file"),
-    )
+    ]
+
+
+def written_observed(df: DataFrame, path: str, metrics: list[Column], keep: Column | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Writes the rows of df (those that `keep` chooses) to path, and gives one row of metrics over all of them, taken in the same pass: nothing is read twice.
+
+    The metrics are there when the write has succeeded; of tasks that ran twice one counts.
+    """
+    seen = Observation()
+    out = df.observe(seen, *metrics)
+    (out if keep is None else out.filter(keep)).write.partitionBy(*partition_by).parquet(path)
+    names = [f.name for f in df.limit(0).agg(*metrics).schema]
+    return df.sparkSession.createDataFrame([tuple(seen.get[c] for c in names)], df.limit(0).agg(*metrics).schema)
 
 
 def throughput(files: DataFrame) -> DataFrame:
@@ -91,9 +109,10 @@ def hist_fs(name: Column) -> Column:
 
 
 def hist_stats(entries: DataFrame) -> DataFrame:
-    """One row over hist_name, entries."""
+    """One row over hist_name, entries (a written table: the median takes some passes, none of which holds the values)."""
+    (median,) = exact_quantiles(entries, "entries", [0.5])
     out = F.contains(F.lower("hist_name"), F.lit("outlier"))
-    return entries.agg(F.count("*").alias("histograms"), F.count_if(~out).alias("main_histograms"), F.count_if(out).alias("outlier_histograms"), F.coalesce(F.sum("entries"), F.lit(0)).alias("entries"), F.count_distinct(hist_fs(F.col("hist_name"))).alias("final_states"), F.avg("entries").alias("mean_entries"), F.percentile("entries", 0.5).alias("median_entries"))
+    return entries.agg(F.count("*").alias("histograms"), F.count_if(~out).alias("main_histograms"), F.count_if(out).alias("outlier_histograms"), F.coalesce(F.sum("entries"), F.lit(0)).alias("entries"), F.count_distinct(hist_fs(F.col("hist_name"))).alias("final_states"), F.avg("entries").alias("mean_entries"), F.lit(median).cast("double").alias("median_entries"))
 
 
 def stage_times(lines: DataFrame) -> DataFrame:

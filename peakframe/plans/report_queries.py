@@ -8,6 +8,7 @@ from peakframe.functions import labels as L
 from peakframe.operators import histograms as H
 from peakframe.operators import statistics as T
 from peakframe.operators.capped import capped
+from peakframe.operators.quantiles import exact_quantiles
 from peakframe.plans import event_queries as EQ
 from peakframe.plans import histogram_queries as HQ
 from peakframe.registry import query
@@ -89,7 +90,18 @@ def entries(spark, d):
 
 @query("hist_stats", f"WITH {ENTRIES} SELECT {_HSTATS} FROM en")
 def hist_stats(spark, d):
-    return rounded(T.hist_stats(entries(spark, d)), ["mean_entries"])
+    return rounded(T.hist_stats(written(entries(spark, d))), ["mean_entries"])
+
+
+_AT = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
+
+
+@query("hist_entry_quantiles", f"WITH {ENTRIES}, lp AS (SELECT l_extendedprice AS v FROM lineitem) " + " UNION ALL ".join(f"SELECT 'entries' AS item, {q}::DOUBLE AS q, round(quantile_cont(entries, {q}), 6)::DOUBLE AS value FROM en UNION ALL SELECT 'value', {q}, round(quantile_cont(v, {q}), 6) FROM lp" for q in _AT))
+def hist_entry_quantiles(spark, d):
+    """Exact quantiles of the histograms' entries and of all values."""
+    en, values = written(entries(spark, d)), X.table(spark, d, "lineitem").select("l_extendedprice")
+    found = [("entries", q, round(v, 6)) for q, v in zip(_AT, exact_quantiles(en, "entries", _AT), strict=True)] + [("value", q, round(v, 6)) for q, v in zip(_AT, exact_quantiles(values, "l_extendedprice", _AT), strict=True)]
+    return spark.createDataFrame(found, "item string, q double, value double")
 
 
 @query("hist_entries", f"WITH {ENTRIES} SELECT hist_name, entries FROM en")
@@ -277,6 +289,27 @@ def rep_hist_totals(spark, d):
     return T.long_form(hist_stats(spark, d))
 
 
+# --- hooks -----------------------------------------------------------------------------------------------------------
+@query("parse_observed", f"WITH {FILES} SELECT {_PARSE} FROM files")
+def parse_observed(spark, d):
+    """The statistics of parsing, counted while its results are written."""
+    return rounded(T.written_observed(X.file_results(spark, d), scratch(spark, "results"), T.parse_metrics()), ROUNDED)
+
+
+_SELECTED = f"({' AND '.join(f'c_{t} <= 4' for t in L.FS_ORDER)})"
+
+
+@query("events_observed", f"WITH {EQ.SQL_C} SELECT count(*) AS events, count(*) FILTER ({_SELECTED}) AS kept, count(*) FILTER (NOT {_SELECTED}) AS cut, coalesce(sum(c_Jets) FILTER ({_SELECTED}), 0)::BIGINT AS jets FROM c")
+def events_observed(spark, d):
+    """Events that the cuts keep are written; how many there were, and what went, is counted on the way."""
+    counted = EQ.M.with_counts(EQ.cut_events(spark, d))
+    few = F.lit(True)
+    for t in L.FS_ORDER:
+        few = few & (F.col(f"c_{t}") <= 4)
+    metrics = [F.count("*").alias("events"), F.count_if(few).alias("kept"), F.count_if(~few).alias("cut"), F.coalesce(F.sum(F.when(few, F.col("c_Jets"))), F.lit(0)).alias("jets")]
+    return T.written_observed(counted, scratch(spark, "kept"), metrics, keep=few)
+
+
 # --- sinks -----------------------------------------------------------------------------------------------------------
 @query("sink_parsed_events", f"WITH {EQ.SQL_C} SELECT year(o_orderdate) || 'r-pp' AS release, count(*) AS events, sum(c_Jets)::BIGINT AS jets FROM c JOIN orders ON o_orderkey = event_id WHERE {' AND '.join(f'c_{t} <= 4' for t in L.FS_ORDER)} GROUP BY 1")
 def sink_parsed_events(spark, d):
