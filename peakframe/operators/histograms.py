@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakframe.functions.labels import fill_index, fs_of, hist_name, im_of, part_of
+from peakframe.operators.ordering import placed
 from peakframe.operators.selection import pinned
 from peakframe.sources.shared import written
 
 #: Signatures with names (a row of about 150 bytes each) that are broadcast; beyond it the join shuffles.
 BROADCAST_NAMES = 100_000
+#: Signatures of a row of a name's group.
+GROUP = 10_000
 HIST = ["hist_name", "lo", "hi", "nbins"]
 
 
@@ -23,6 +26,19 @@ def named(values: DataFrame, sig: str = "signature") -> DataFrame:
     return values.drop("name").join(F.broadcast(names) if small else names, sig)
 
 
+def grouped_by_name(values: DataFrame, most: int = GROUP, sig: str = "signature") -> DataFrame:
+    """name, part (from 0), n, signatures, next: the signatures of each name in order, at most `most` to a row; next is the first of the following part, null in the last.
+
+    Places come from ranges of (name, signature), not from a window over a name, and a row does not grow with the number of files.
+    """
+    ranked = written(placed(named(values.select(sig).distinct(), sig).select("name", sig), ["name", sig], "__place"))
+    first = ranked.groupBy("name").agg(F.min("__place").alias("__first"))
+    parts = ranked.join(first, "name").withColumn("part", F.floor((F.col("__place") - F.col("__first")) / most).cast("long"))
+    held = written(parts.groupBy("name", "part").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(sig)).alias("signatures")))
+    following = held.select("name", (F.col("part") - 1).alias("part"), F.col("signatures")[0].alias("next"))
+    return held.join(following, ["name", "part"], "left").select("name", "part", "n", "signatures", "next")
+
+
 def without_outliers(values: DataFrame, sig: str = "signature") -> DataFrame:
     return values.filter(part_of(F.col(sig)) != "outliers")
 

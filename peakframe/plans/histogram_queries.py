@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peakframe.functions import labels as L
 from peakframe.operators import chunks as C
@@ -10,7 +11,8 @@ from peakframe.operators import histograms as H
 from peakframe.plans import event_queries as EQ
 from peakframe.registry import query
 from peakframe.sources import fixtures as X
-from peakframe.sources.shared import scratch
+from peakframe.sources.shared import scratch, written
+from peakframe.streaming.merging import merge_stream
 
 V = X.SQL_VALUES
 _FS, _IM = "regexp_extract(regexp_replace(signature, '(_main|_outliers)$', ''), '_FS_(\\d+e_\\d+m_\\d+j_\\d+g(?:_\\d+t)?(?:_\\d+b)?)_IM_([emjgtb\\d]+)$', 1)", "regexp_extract(regexp_replace(signature, '(_main|_outliers)$', ''), '_FS_(\\d+e_\\d+m_\\d+j_\\d+g(?:_\\d+t)?(?:_\\d+b)?)_IM_([emjgtb\\d]+)$', 2)"
@@ -85,6 +87,17 @@ def hist_group_by_name(spark, d):
     return sigs.groupBy("name").agg(F.array_join(F.sort_array(F.collect_list("signature")), ",").alias("signatures"))
 
 
+_GROUP = 5
+
+
+@query("hist_group_parts", f"""WITH {NAMED}, s AS (SELECT DISTINCT name, signature FROM nv), p AS (SELECT *, (row_number() OVER (PARTITION BY name ORDER BY signature) - 1) // {_GROUP} AS part FROM s)
+SELECT name, part, count(*) AS n, string_agg(signature, ',' ORDER BY signature) AS signatures, (SELECT min(signature) FROM p q WHERE q.name = p.name AND q.part = p.part + 1) AS next FROM p GROUP BY name, part""")
+def hist_group_parts(spark, d):
+    """Groups in parts of bounded size, each of which names the signature that the next one begins with."""
+    parts = H.grouped_by_name(X.array_values(spark, d), _GROUP)
+    return parts.select("name", "part", "n", F.array_join("signatures", ",").alias("signatures"), "next")
+
+
 @query("union_signatures", f"WITH {V} SELECT signature FROM vals WHERE shard < 2 UNION SELECT signature FROM vals WHERE shard >= 1")
 def union_signatures(spark, d):
     v = X.array_values(spark, d)
@@ -220,6 +233,15 @@ def hist_merge(spark, d):
     return H.merged(H.filled(v, H.global_ranges(v), [10.0], by=("shard",)))
 
 
+@query("hist_merge_stream", f"WITH {NAMED}, {sql_hist('nv', 'name', 10)} SELECT * FROM h")
+def hist_merge_stream(spark, d):
+    """The same from a stream of files of values, a file a batch, each merged once into a stored table."""
+    folder, v = scratch(spark, "merged"), X.array_values(spark, d).select("shard", "signature", "m")
+    v.repartition("shard").write.partitionBy("shard").parquet(f"{folder}/source")
+    ranges = written(H.global_ranges(H.named(v)))
+    return merge_stream(spark, f"{folder}/source/*", T.StructType([v.schema["signature"], v.schema["m"]]), ranges, folder).table()
+
+
 @query("hist_edge_conflicts", f"WITH {NAMED}, r AS (SELECT shard, name, min(m) AS lo, max(m) AS hi FROM nv GROUP BY ALL) SELECT 'ROI_' || name || '_width_10.0' AS hist_name, count(DISTINCT (lo, hi)) AS forms FROM r GROUP BY name HAVING count(DISTINCT (lo, hi)) > 1")
 def hist_edge_conflicts(spark, d):
     """Partial histograms with ranges of their own don't fit together; the names that this concerns."""

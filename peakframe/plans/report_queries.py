@@ -14,6 +14,7 @@ from peakframe.plans import histogram_queries as HQ
 from peakframe.registry import query
 from peakframe.sources import fixtures as X
 from peakframe.sources.shared import scratch, written
+from peakframe.streaming.chunking import capped_stream, write_in_order
 
 FILES, LOGS = X.SQL_FILES, X.SQL_LOGS
 _PARSE = """count(*) AS total_files, count(*) FILTER (ok) AS successful_files, count(*) FILTER (NOT ok) AS failed_files, coalesce(sum(n_events) FILTER (ok), 0)::BIGINT AS total_events,
@@ -332,3 +333,16 @@ def sink_size_capped_chunks(spark, d):
     """Files of each release in chunks of limited size, and what each chunk holds. A year is a release, an order is a file, its price the size."""
     sizes = X.table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.col("o_orderkey").alias("file"), F.floor("o_totalprice").cast("long").alias("bytes"))
     return capped(sizes, ["year"], ["file"], "bytes", 1_000_000).groupBy("year", "chunk").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+
+
+@query("capped_stream", _CAPPED)
+def capped_stream_(spark, d):
+    """The same over a stream of files of a bounded number of rows each: what a release's open chunk holds is state."""
+    folder = scratch(spark, "capped")
+    sizes = X.table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.col("o_orderkey").alias("file"), F.floor("o_totalprice").cast("long").alias("bytes"))
+    # files are named in the order of their ranges, and a stream reads older ones first: each range is a batch
+    write_in_order(sizes, ["file"], f"{folder}/source")
+    stream = spark.readStream.schema(sizes.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source/*")
+    run = capped_stream(stream, "year", "file", "bytes", 1_000_000).writeStream.format("parquet").option("path", f"{folder}/chunks").option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.parquet(f"{folder}/chunks").groupBy("year", "chunk").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
