@@ -26,6 +26,13 @@ SLICE_BYTES = 4_000_000
 _kept: dict = {}
 
 
+def give_back() -> None:
+    """Returns memory that this process holds and does not use; others of its executor may need it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def kept(key: str, make: Callable[[], object]):
     """What make() gives, remembered by this Python process until another key is asked for: workers keep it from task to task.
 
@@ -34,9 +41,7 @@ def kept(key: str, make: Callable[[], object]):
     if key not in _kept:
         if _kept:
             _kept.clear()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(AttributeError, OSError):  # where the C library has it
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
         _kept[key] = make()
     return _kept[key]
 
@@ -144,5 +149,7 @@ def row_map(df: DataFrame, column: str, make: Callable[[], Callable[[list], list
                 out = f(part.column(part.num_columns - 1).to_pylist())
                 arrays = [part.column(i) for i in range(len(cols))] + [pa.array(x, type=added.field(i).type) for i, x in enumerate(out)]
                 yield pa.RecordBatch.from_arrays(arrays, names=cols + names)
+            batch = part = out = arrays = None
+        give_back()
 
     return source.mapInArrow(run, schema)
