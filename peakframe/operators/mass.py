@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peakframe.functions.labels import FS_ORDER, LETTERS, REST_MASS, four_vector, fs_label, im_label, mev_to_gev, particle_mass, signed_mass, total
+from peakframe.operators.matching import at_least, exactly, matching
 from peakframe.operators.selection import valid_final_state
 from peakframe.sources.shared import written
 
@@ -61,35 +64,27 @@ def populous(df: DataFrame, least: int = MIN_EVENTS, scope: str = "global") -> D
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") >= least)
 
 
-def fits(combo: str = "n", types=FS_ORDER) -> Column:
-    """A combination's count condition on c_{T}: exactly n_{T} where s_{T} is 0, else at least s + n; absent types are free."""
-    ok = F.lit(True)
-    for t in types:
-        n, s, c = F.col(f"n_{t}"), F.col(f"s_{t}"), F.col(f"c_{t}")
-        ok = ok & ((n == 0) | F.when(s == 0, c == n).otherwise(c >= s + n))
-    return ok
-
-
 def contains(types=FS_ORDER) -> Column:
     """Whether a final state has the particles of a combination at all: counts of at least s + n."""
-    ok = F.lit(True)
-    for t in types:
-        n, s, c = F.col(f"n_{t}"), F.col(f"s_{t}"), F.col(f"c_{t}")
-        ok = ok & ((n == 0) | (c >= s + n))
-    return ok
+    return reduce(lambda x, y: x & y, [at_least(F.col(f"n_{t}"), F.col(f"s_{t}"), F.col(f"c_{t}")) for t in types])
+
+
+def fits(types=FS_ORDER) -> Column:
+    """A combination's count condition on c_{T}: exactly n_{T} where s_{T} is 0, else at least s + n; absent types are free."""
+    return reduce(lambda x, y: x & y, [exactly(F.col(f"n_{t}"), F.col(f"s_{t}"), F.col(f"c_{t}")) for t in types])
 
 
 def channels(df: DataFrame, combos: DataFrame, least: int = MIN_EVENTS, scope: str = "global") -> DataFrame:
     """(final state, combination) pairs that can have masses, for an equi-join with events on the state.
 
-    States are a few thousand rows whatever the events, so the inequalities are decided once for each state, not for each event.
+    States are a few thousand rows whatever the events; a bitmap index gives each its combinations, so no condition is tried for each pair.
     """
     keys = ["fs"] if scope == "global" else ["source_file", "fs"]
     counts = [f"c_{t}" for t in FS_ORDER]
     states = df.groupBy(*keys, *counts).agg(F.count("*").alias("k")).join(populous(df, least, scope).drop("n"), keys, "left_semi").drop("k")
     if scope == "global":
-        return states.join(combos, fits(), "inner")
-    return states.join(states.select("fs", *counts).distinct().join(combos, fits(), "inner"), ["fs", *counts])
+        return matching(states, combos)
+    return states.join(matching(states.select("fs", *counts).distinct(), combos), ["fs", *counts])
 
 
 def vectors(events: DataFrame, use_stored_mass: bool = False) -> DataFrame:

@@ -9,6 +9,7 @@ from peakframe.functions import labels as L
 from peakframe.operators import mass as M
 from peakframe.operators import selection as S
 from peakframe.operators import spectra as P
+from peakframe.operators.matching import at_least, matching
 from peakframe.registry import query
 from peakframe.sources import fixtures as X
 from peakframe.sources.shared import written
@@ -251,7 +252,7 @@ def _generated(spark, d, **more):
     """Generated combinations, and how many events could hold each: the work follows the events."""
     c = M.combinations(spark, FOUR, **more)
     states = M.with_counts(split_events(spark, d)).groupBy(*[f"c_{t}" for t in FOUR]).agg(F.count("*").alias("k"))
-    able = states.join(c.select("im", *_COLS), M.contains(FOUR)).groupBy("im").agg(F.sum("k").alias("events"))
+    able = matching(states, c.select("im", *_COLS, "seq"), at_least, FOUR).groupBy("im").agg(F.sum("k").alias("events"))
     return c.join(able, "im", "left").select("im", *[F.col(x).cast("long").alias(x) for x in _COLS], F.coalesce("events", F.lit(0)).alias("events"))
 
 
@@ -276,7 +277,7 @@ def combo_dedupe(spark, d):
     """Combinations listed twice, as a union of overlapping settings, are kept once."""
     twice = M.combinations(spark, FOUR, types_range=(1, 2)).unionByName(M.combinations(spark, FOUR)).drop("seq").dropDuplicates(_COLS)
     states = M.with_counts(split_events(spark, d)).groupBy(*[f"c_{t}" for t in FOUR]).agg(F.count("*").alias("k"))
-    able = states.join(twice.select("im", *_COLS), M.contains(FOUR)).groupBy("im").agg(F.sum("k").alias("events"))
+    able = matching(states, twice.select("im", *_COLS), at_least, FOUR).groupBy("im").agg(F.sum("k").alias("events"))
     return twice.join(able, "im", "left").select("im", *[F.col(x).cast("long").alias(x) for x in _COLS], F.coalesce("events", F.lit(0)).alias("events"))
 
 
@@ -287,7 +288,7 @@ _SEQ = ", ".join([f"(n_{t} = 0)::INT" for t in FOUR] + [f"n_{t}" for t in FOUR])
 def limit_combos(spark, d):
     first = M.combinations(spark, FOUR, limit=10)
     states = M.with_counts(split_events(spark, d)).groupBy(*[f"c_{t}" for t in FOUR]).agg(F.count("*").alias("k"))
-    able = states.join(first.select("im", *_COLS), M.contains(FOUR)).groupBy("im").agg(F.sum("k").alias("events"))
+    able = matching(states, first.select("im", *_COLS, "seq"), at_least, FOUR).groupBy("im").agg(F.sum("k").alias("events"))
     return first.join(able, "im", "left").select("im", F.col("seq").cast("long").alias("seq"), F.coalesce("events", F.lit(0)).alias("events"))
 
 
@@ -295,7 +296,7 @@ def limit_combos(spark, d):
 def fs_contains_combo(spark, d):
     base = M.labelled(cut_events(spark, d)).select("fs", *[f"c_{t}" for t in TYPES])
     states = base.join(M.populous(base), "fs", "left_semi").distinct()
-    return states.join(combos(spark, subleading=1), M.contains()).select("fs", "im")
+    return matching(states, combos(spark, subleading=1), at_least).select("fs", "im")
 
 
 @query("events_x_combos", f"WITH {SQL_F}, {sql_combos(types_range=(2, 4))} SELECT v.fs, im, count(*) AS n FROM v SEMI JOIN f ON f.fs = v.fs JOIN combos ON {_FITS} GROUP BY v.fs, im")
