@@ -21,6 +21,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Bytes of text that a row map holds in Python objects at once.
 SLICE_BYTES = 4_000_000
+#: Rows that go to Python in one Arrow batch, unless the application's configuration says: Spark's 10,000 texts are tens of MB in the JVM and in the worker, on the way there and back.
+BATCH_ROWS, BATCH_SETTING = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 _kept: dict = {}
@@ -60,7 +62,7 @@ def code_points(text: str) -> np.ndarray:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, once per application."""
+    """Give executors this package, and Arrow batches a size for texts, once per application."""
     sc = spark.sparkContext
     if getattr(sc, "_peakframe_shipped", False):
         return
@@ -70,6 +72,8 @@ def ship(spark: SparkSession) -> None:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(target)
+    if not sc.getConf().contains(BATCH_SETTING):
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     sc._peakframe_shipped = True
 
 

@@ -28,7 +28,7 @@ SWITCH, WEIGHT = 20.0, 0.3
 #: Texts whose words are looked up together.
 GROUP = 256
 #: Words that a worker remembers; when full it starts anew.
-MEMO = 250_000
+MEMO = 150_000
 
 #: Start of each range of code points, in order, and its script.
 RANGES = [(0x0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x700, "other"), (0x900, "devanagari"), (0x980, "bengali"), (0xA00, "indic"), (0xE00, "thai"), (0xE80, "other"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "ethiopic"), (0x13A0, "other"), (0x1780, "khmer"), (0x1800, "other"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x2C60, "latin"), (0x2C80, "other"), (0x2DE0, "cyrillic"), (0x2E80, "han"), (0x3040, "kana"), (0x3100, "other"), (0x31F0, "kana"), (0x3400, "han"), (0xA000, "other"), (0xA640, "cyrillic"), (0xA720, "latin"), (0xA800, "other"), (0xAC00, "hangul"), (0xD800, "other"), (0xF900, "han"), (0xFB00, "latin"), (0xFB1D, "hebrew"), (0xFB50, "arabic"), (0xFE00, "other"), (0xFF21, "latin"), (0xFF66, "kana"), (0xFFA0, "hangul"), (0x10000, "other"), (0x20000, "han")]

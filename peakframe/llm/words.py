@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from peakframe.llm.common import kept
 
 #: Entries of a generation of the memo of words that a worker keeps, their cores (lower case, without the marks behind) among them. About 250 bytes each, in two generations.
-MEMO = 280_000
+MEMO = 180_000
 #: Texts whose words are looked up together.
 GROUP = 1024
 #: What Python and the library surely treat alike: letters up to here are letters to both, and composed.
