@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakframe.operators.ordering import placed
+from peakframe.operators.statistics import written_observed
 from peakframe.registry import query
 from peakframe.sources import catalog as C
 from peakframe.sources import files as Z
@@ -120,6 +121,19 @@ def src_failed_files(spark, d):
     return failed.join(files, failed["file"] == files["path"]).groupBy("error").agg(F.count_distinct("part").alias("parts"))
 
 
+_GOOD = f"FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey WHERE {_ERROR} IS NULL"
+
+
+@query("src_read_observed", f"SELECT (SELECT count(*) FROM region) AS total_files, (SELECT count(*) FROM region WHERE {_ERROR} IS NULL) AS successful_files, (SELECT count(*) FROM region WHERE {_ERROR} IS NOT NULL) AS failed_files, count(*) AS total_events, count(*) AS written_events, round(sum(c_acctbal), 2) AS total {_GOOD}")
+def src_read_observed(spark, d):
+    """Files are read, their rows written, and successes and failures counted in one pass; what was written is read back."""
+    files, path = _region_files(spark, d), scratch(spark, "read")
+    read = Z.read_files(files, T.StructType([T.StructField("c_acctbal", T.DoubleType())]))
+    seen = written_observed(read, path, Z.read_metrics(), keep=F.col("outcome").isNull())
+    back = spark.read.parquet(path).agg(F.count("*").alias("written_events"), F.round(F.sum("row.c_acctbal"), 2).alias("total"))  # one row
+    return seen.drop("total_size_mb", "average_time_sec").join(F.broadcast(back), F.lit(True))
+
+
 _WANTED = "(SELECT 'root://store.example/data16_13TeV/DAOD.' || o_custkey || '.root' AS url, count(*) AS n FROM orders GROUP BY 1)"
 
 

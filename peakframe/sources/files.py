@@ -6,6 +6,7 @@ tables of path and content as Spark's binaryFile source gives them do as well.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,7 +44,7 @@ def located(path: str):
 
 
 def opened(path: str, content: bytes | None = None):
-    """The Parquet file, or a Failure that says how far it could be read."""
+    """(Parquet file, its bytes), or a Failure that says how far it could be read."""
     import pyarrow.parquet as pq
 
     try:
@@ -66,12 +67,12 @@ def opened(path: str, content: bytes | None = None):
     except (OSError, pa.ArrowException) as e:
         raise Failure("unreadable", e) from e
     try:
-        return pq.ParquetFile(source)
+        return pq.ParquetFile(source), size
     except (OSError, pa.ArrowException, ValueError) as e:
         raise Failure("footer", e) from e
 
 
-OUTCOME = T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType()), T.StructField("message", T.StringType()), T.StructField("rows", T.LongType()), T.StructField("groups", T.IntegerType()), T.StructField("failed_groups", T.IntegerType())])
+OUTCOME = T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType()), T.StructField("message", T.StringType()), T.StructField("rows", T.LongType()), T.StructField("groups", T.IntegerType()), T.StructField("failed_groups", T.IntegerType()), T.StructField("bytes", T.LongType()), T.StructField("seconds", T.DoubleType())])
 
 
 def paths_of(files: DataFrame, path: str, content: str | None) -> DataFrame:
@@ -82,26 +83,27 @@ def paths_of(files: DataFrame, path: str, content: str | None) -> DataFrame:
 def read_files(files: DataFrame, schema: T.StructType, path: str = "path", content: str | None = None) -> DataFrame:
     """file, row, outcome: a row for each row of each Parquet file that `path` names, in the columns of `schema` (cast to its types), and behind them one with the file's outcome.
 
-    outcome: ok; else error, one of FAILURES, and message; how many rows came, row groups there are, and row groups that could not be read. As each group stands for itself, the rows of the others
+    outcome: ok; else error, one of FAILURES, and message; how many rows came, row groups there are, and row groups that could not be read; the file's size and the time it took. As each group stands for itself, the rows of the others
     are kept. A null path is absent; a file named twice is read twice. One file's batch of ROWS rows is held at a time.
     """
     names, kinds = schema.names, to_arrow_schema(schema)
     row_kind = pa.struct(list(kinds))
     outcome_kind = pa.struct(list(to_arrow_schema(OUTCOME)))
 
-    def said(name: str | None, ok: bool, error: str | None, message: str | None, rows: int, groups: int, failed: int) -> pa.RecordBatch:
-        outcome = {"ok": ok, "error": error, "message": message, "rows": rows, "groups": groups, "failed_groups": failed}
+    def said(name: str | None, began: float, error: str | None, message: str | None, rows: int = 0, groups: int = 0, failed: int = 0, size: int | None = None) -> pa.RecordBatch:
+        outcome = {"ok": error is None, "error": error, "message": message, "rows": rows, "groups": groups, "failed_groups": failed, "bytes": size, "seconds": time.monotonic() - began}
         return pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.nulls(1, row_kind), pa.array([outcome], outcome_kind)], names=["file", "row", "outcome"])
 
     def one(name: str | None, content: bytes | None) -> Iterator[pa.RecordBatch]:
+        began = time.monotonic()
         try:
             if name is None:
                 raise Failure("absent", "no path")
-            file = opened(name, content)
+            file, size = opened(name, content)
             if missing := [c for c in names if c not in file.schema_arrow.names]:
                 raise Failure("schema", f"no column {', '.join(missing)}")
         except Failure as e:
-            yield said(name, False, e.kind, str(e), 0, 0, 0)
+            yield said(name, began, e.kind, str(e))
             return
         rows = failed = 0
         error = message = None
@@ -119,7 +121,7 @@ def read_files(files: DataFrame, schema: T.StructType, path: str = "path", conte
             for x in made:
                 rows += len(x)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(x), pa.string()), x, pa.nulls(len(x), outcome_kind)], names=["file", "row", "outcome"])
-        yield said(name, not failed, error, message, rows, groups, failed)
+        yield said(name, began, error, message, rows, groups, failed, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +179,7 @@ def readable_columns(wanted: DataFrame, path: str = "path", column: str = "colum
                 try:
                     if name is None:
                         continue
-                    file = opened(name, batch.column(2)[row].as_py() if content else None)
+                    file, _ = opened(name, batch.column(2)[row].as_py() if content else None)
                     there = [f.path for f in map(file.schema.column, range(len(file.schema)))]
                     top = {p.split(".list.")[0] for p in there} | {f.name for f in file.schema_arrow}
                     good, trials = readable(file, [c for c in columns if c in top])
@@ -187,3 +189,9 @@ def readable_columns(wanted: DataFrame, path: str = "path", column: str = "colum
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [[], [], []], (pa.string(), pa.string(), pa.int32()), strict=True)], names=["file", "column", "trials"])
 
     return asked.mapInArrow(run, "file string, column string, trials int").select(F.col("file").alias(path), F.col("column").alias(column), "trials")
+
+
+def read_metrics() -> list:
+    """Aggregates over read_files: files, how many were read and failed, rows, megabytes, seconds; for an observation on the way, or for agg()."""
+    n, ok = F.count("outcome"), F.count_if("outcome.ok")
+    return [n.alias("total_files"), ok.alias("successful_files"), F.count_if(~F.col("outcome.ok")).alias("failed_files"), F.count("row").alias("total_events"), (F.coalesce(F.sum("outcome.bytes"), F.lit(0)) / (1024 * 1024)).alias("total_size_mb"), F.coalesce(F.avg("outcome.seconds"), F.lit(0.0)).alias("average_time_sec")]

@@ -56,6 +56,8 @@ def test_every_failure_is_a_row(spark, folder, form):
     got = {os.path.basename(r["file"]): (r["ok"], r["error"], r["rows"]) for r in Z.outcomes_of(read).collect() if r["file"]}
     assert got == WANT
     assert [(r["error"], r["rows"]) for r in Z.outcomes_of(read).filter("file IS NULL").collect()] == [("absent", 0)]
+    seen = read.agg(*Z.read_metrics()).first()
+    assert (seen["total_files"], seen["successful_files"], seen["failed_files"], seen["total_events"]) == (12, 2, 10, 190) and seen["total_size_mb"] > 0 and seen["average_time_sec"] > 0
     rows = Z.rows_of(read).collect()
     assert {x: sum(os.path.basename(r["file"]) == x for r in rows) for x in WANT} == {x: n for x, (_, _, n) in WANT.items()}
     assert {r["k"] for r in rows if "group" in r["file"]} == set(range(100)) - set(range(30, 40)) and all(r["s"] == f"s{r['k']}" for r in rows)
