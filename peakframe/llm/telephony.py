@@ -20,6 +20,8 @@ RATE, FRAME = 8000, 576
 DECODED_BYTES = 500_000
 #: Bytes of an ADPCM block: 4 of header, 32 of two samples each.
 BLOCK = 36
+#: Bytes of a payload of more than DECODED_BYTES that are decoded at once: whole ADPCM blocks, whole samples.
+WINDOW = BLOCK * 8192
 
 # The IMA ADPCM step sizes and index changes.
 STEPS = np.array([
@@ -77,13 +79,7 @@ TAPS /= TAPS.sum()
 
 def doubled(x: np.ndarray) -> np.ndarray:
     """16-bit PCM at twice the rate: the samples, and band-limited values half-way between."""
-    out = np.empty(2 * len(x), dtype=np.int16)
-    if not len(x):
-        return out
-    out[0::2] = x
-    padded = np.concatenate([np.repeat(x[:1], 7), x, np.repeat(x[-1:], 8)]).astype(np.float32)
-    out[1::2] = np.clip(np.rint(np.convolve(padded, TAPS.astype(np.float32), "valid")), -32768, 32767)
-    return out
+    return half_band(np.concatenate([np.repeat(x[:1], 7), x, np.repeat(x[-1:], 8)])) if len(x) else np.empty(0, dtype="<i2")
 
 
 def padded(data: bytes, frame: int = FRAME) -> bytes:
@@ -119,7 +115,7 @@ def expanded(payload: bytes, code: int) -> np.ndarray:
     """16-bit samples; a short last ADPCM block is left out."""
     raw = np.frombuffer(payload, dtype=np.uint8)
     if code == PCM:
-        return np.frombuffer(payload[: len(payload) // 2 * 2], dtype="<i2")
+        return raw[: len(raw) // 2 * 2].view("<i2")
     if code == IMA:
         return adpcm(raw[: len(raw) // BLOCK * BLOCK].reshape(-1, BLOCK)).ravel()
     return (A if code == ALAW else MU)[raw]
@@ -139,6 +135,75 @@ def measured(samples: np.ndarray, bounds: np.ndarray) -> list[str]:
     return [f"{r:.3f}/{p}/{t}" for r, p, t in zip(rms, peaks, changes, strict=True)]
 
 
+class Meter:
+    """What measured() says of one stretch, from windows of its samples in order."""
+
+    def __init__(self):
+        self.n = self.square = self.peak = self.turns = 0
+        self.sign = None
+
+    def add(self, samples: np.ndarray) -> None:
+        if len(samples):
+            negative = np.signbit(samples)
+            self.n += len(samples)
+            self.square += int((samples.astype(np.int64) ** 2).sum())
+            self.peak = max(self.peak, int(np.abs(samples.astype(np.int32)).max()))
+            self.turns += int(np.count_nonzero(negative[1:] != negative[:-1])) + (self.sign is not None and bool(negative[0]) != self.sign)
+            self.sign = bool(negative[-1])
+
+    def text(self) -> str:
+        return f"{np.sqrt(np.float64(self.square) / max(1, self.n)):.3f}/{self.peak}/{self.turns}"
+
+
+def windows(payload, code: int):
+    """The samples of a payload, WINDOW bytes of it at a time."""
+    for a in range(0, len(payload), WINDOW):
+        yield expanded(payload[a : a + WINDOW], code)
+
+
+def doubled_windows(parts):
+    """doubled() of samples that come in windows: each keeps the 7 samples before it and waits for the 8 behind it."""
+    held = None
+    for x in parts:
+        if not len(x):
+            continue
+        held = np.concatenate([np.repeat(x[:1], 7) if held is None else held, x])
+        if len(held) > 15:
+            yield half_band(held)
+            held = held[-15:]
+    if held is not None:
+        yield half_band(np.concatenate([held, np.repeat(held[-1:], 8)]))
+
+
+def half_band(context: np.ndarray) -> np.ndarray:
+    """The samples of context but the first 7 and the last 8, and the values half-way behind each."""
+    out = np.empty(2 * (len(context) - 15), dtype="<i2")
+    out[0::2] = context[7:-8]
+    out[1::2] = np.clip(np.rint(np.convolve(context.astype(np.float32), TAPS.astype(np.float32), "valid")), -32768, 32767)
+    return out
+
+
+def long_sound(payload, code: int, rate: int, keep: bool) -> tuple[list[str], int, bytearray | None]:
+    """(measures as mu-law, A-law and ADPCM, CRC-32 of the PCM at twice the rate, the PCM as WAV if it is kept) of one payload, window by window: beside the PCM, memory does not grow with it."""
+    meters = []
+    for kind in (MULAW, ALAW, IMA):
+        meters.append(Meter())
+        for x in windows(payload, kind):
+            meters[-1].add(x)
+    size = 2 * sum(len(x) for x in windows(payload, code))
+    head = wav(b"", PCM, 2 * rate)
+    out, at, crc = bytearray(len(head) + 2 * size) if keep else None, len(head), 0
+    if keep:  # as wav() does it; 16-bit samples need no byte behind them
+        out[: len(head)] = head[:4] + struct.pack("<I", len(head) - 8 + 2 * size) + head[8:-4] + struct.pack("<I", 2 * size)
+    for x in doubled_windows(windows(payload, code)):
+        data = x.tobytes()
+        crc = zlib.crc32(data, crc)
+        if keep:
+            out[at : at + len(data)] = data
+            at += len(data)
+    return [m.text() for m in meters], crc, out
+
+
 def encode_media(df: DataFrame, text: str = "text", media: str = "media", frame: int = FRAME, code: int = MULAW) -> DataFrame:
     """df with the UTF-8 bytes of `text` as telephony samples in a WAV column. Null and empty texts are one frame of 255. An existing column `media` is replaced."""
 
@@ -153,19 +218,30 @@ def decode_media(df: DataFrame, media: str = "media", pcm: str | None = "pcm") -
 
     `feature` has root mean square, peak and sign changes of the payload as mu-law, A-law and ADPCM, and the CRC-32 of its PCM at twice the rate.
     With `pcm` that PCM is stored too, as WAV. Null media and media that are no WAV file give nulls; a payload without samples has zeros, as has the ADPCM reading of one shorter than a block.
-    Equal media have equal features; repeated rows each keep their row; an empty df gives no rows. Columns of df that have the new names are replaced.
+    A payload of more than DECODED_BYTES is decoded in windows, with the same values; its PCM, if stored, is the one thing that grows with it (four times its bytes). Equal media have equal features; repeated rows each keep their row; an empty df gives no rows. Columns of df that have the new names are replaced.
     """
 
     def make():
         def f(values):
             out = [[None] * len(values) for _ in range(6 + bool(pcm))]
             good = []
+
+            def put(i: int, payload, code: int, rate: int, said: list[str], crc: int, sound) -> None:
+                row = [hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(payload), len(values[i]), hashlib.sha256(values[i]).hexdigest(), f"mulaw={said[0]};alaw={said[1]};adpcm={said[2]};pcm{2 * rate}={crc:08x}"]
+                for column, x in zip(out, row + [sound] * bool(pcm), strict=True):
+                    column[i] = x
+
             for i, v in enumerate(values):
                 try:
-                    if v is not None:
-                        good.append((i, *opened(bytes(v))))
+                    if v is None:
+                        continue
+                    code, rate, payload = opened(memoryview(v))
                 except (ValueError, struct.error):
-                    pass
+                    continue
+                if len(payload) > DECODED_BYTES:
+                    put(i, payload, code, rate, *long_sound(payload, code, rate, bool(pcm)))
+                else:
+                    good.append((i, code, rate, bytes(payload)))
             if not good:
                 return out
             payloads = [x[3] for x in good]
@@ -180,10 +256,8 @@ def decode_media(df: DataFrame, media: str = "media", pcm: str | None = "pcm") -
                     samples, sizes = np.concatenate(parts), [len(p) for p in parts]
                 said.append(measured(samples, np.concatenate([[0], np.cumsum(sizes)])))
             for j, (i, code, rate, payload) in enumerate(good):
-                sound = doubled(expanded(payload, code)).astype("<i2").tobytes()
-                row = [hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(payload), len(values[i]), hashlib.sha256(values[i]).hexdigest(), f"mulaw={said[0][j]};alaw={said[1][j]};adpcm={said[2][j]};pcm{2 * rate}={zlib.crc32(sound):08x}"]
-                for column, x in zip(out, row + ([wav(sound, PCM, 2 * rate)] if pcm else []), strict=True):
-                    column[i] = x
+                sound = doubled(expanded(payload, code)).tobytes()
+                put(i, payload, code, rate, [x[j] for x in said], zlib.crc32(sound), wav(sound, PCM, 2 * rate) if pcm else None)
             return out
 
         return f

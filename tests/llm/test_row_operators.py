@@ -439,3 +439,37 @@ def test_hundreds_of_languages(spark, monkeypatch):
     assert len(model.languages) == 60 and model.rows * 60 <= 1 << 17 and langid.rows_for(3) < langid.BUCKETS
     got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(df, model).collect()}
     assert sum(got[i] == k for i, _, k in rows) >= 55
+
+
+@pytest.mark.parametrize("code", [telephony.MULAW, telephony.ALAW, telephony.IMA, telephony.PCM])
+@pytest.mark.parametrize("size", [1, 2, 35, 36, 37, 72 * 10, 72 * 10 + 5, 72 * 10 + 16, 3000])
+def test_windows_give_the_values_of_the_whole(spark, monkeypatch, code, size):
+    """Payloads decoded a few blocks at a time: features, CRC and PCM as of the payload in one piece."""
+    rng = np.random.default_rng(size)
+    media = telephony.wav(rng.integers(0, 256, size, dtype=np.uint8).tobytes(), code)
+    whole = telephony.doubled(telephony.expanded(telephony.opened(media)[2], code)).tobytes()
+    payload = memoryview(media)[slice(*(lambda at: (at, at + size))(media.index(b"data") + 8))]
+    kinds = (telephony.MULAW, telephony.ALAW, telephony.IMA)
+    want = [telephony.measured(x, np.array([0, len(x)]))[0] for x in (telephony.expanded(bytes(payload), k) for k in kinds)]
+    monkeypatch.setattr(telephony, "WINDOW", telephony.BLOCK * 2)
+    said, crc, pcm = telephony.long_sound(payload, code, 8000, True)
+    assert (said, crc, bytes(pcm)) == (want, zlib.crc32(whole), telephony.wav(whole, telephony.PCM, 16000))
+    assert telephony.long_sound(payload, code, 8000, False) == (want, crc, None)
+
+
+def test_payload_of_many_megabytes(tmp_path):
+    """A worker's memory stays near the payload's size; with its PCM, near that of the PCM."""
+    import subprocess
+    import sys
+
+    program = """
+import resource, sys
+from peakframe.llm import telephony as t
+import numpy as np
+media = memoryview(t.wav(np.random.default_rng(1).integers(0, 256, 60_000_000, dtype=np.uint8).tobytes()))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+t.long_sound(t.opened(media)[2], t.MULAW, 8000, len(sys.argv) > 1)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    grown = [int(subprocess.run([sys.executable, "-c", program, *more], capture_output=True, text=True, check=True, cwd=telephony.__file__.split("/peakframe/")[0]).stdout) for more in ([], ["pcm"])]
+    assert grown[0] < 60 and grown[1] < 330
