@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakframe.operators.ordering import placed
-from peakframe.sources.shared import written
+from peakframe.sources.shared import ship, written
 
 #: Files that one task looks at together, and stretches that one task composes.
 SPAN, BRANCH = 50_000, 16
@@ -103,6 +103,7 @@ def capped(files: DataFrame, keys: list[str], order: list[str], size: str, most:
     chunk can have ended before. Sizes are whole numbers from 0; null counts as 0. Files that agree in keys and order are in no particular order among each other. Null keys are a key; an empty
     table gives an empty one.
     """
+    ship(files.sparkSession)
     rows = placed(files, [*keys, *order], "__place").withColumns({"__span": F.floor(F.col("__place") / span), "__size": F.coalesce(F.col(size).cast("long"), F.lit(0).cast("long"))})
     unit = [*keys, "__span"]
     key_fields = [files.schema[k] for k in keys]

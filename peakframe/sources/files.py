@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from peakframe.sources.shared import ship
+
 #: How Parquet files begin and end.
 MAGIC = b"PAR1"
 #: Kinds of failure, the earliest first: no such file; no access; no bytes; another format; the end is missing; a footer that can't be read; a column that is missing; data that can't be read.
@@ -86,6 +88,7 @@ def read_files(files: DataFrame, schema: T.StructType, path: str = "path", conte
     outcome: ok; else error, one of FAILURES, and message; how many rows came, row groups there are, and row groups that could not be read; the file's size and the time it took. As each group stands for itself, the rows of the others
     are kept. A null path is absent; a file named twice is read twice. One file's batch of ROWS rows is held at a time.
     """
+    ship(files.sparkSession)
     names, kinds = schema.names, to_arrow_schema(schema)
     row_kind = pa.struct(list(kinds))
     outcome_kind = pa.struct(list(to_arrow_schema(OUTCOME)))
@@ -168,6 +171,7 @@ def readable_columns(wanted: DataFrame, path: str = "path", column: str = "colum
 
     A file that can't be opened has no readable column. Repeated rows count once; a file has a bounded number of columns. With k bad columns of n, about k * log n reads are made, not n.
     """
+    ship(wanted.sparkSession)
     held = [F.first(F.col(f"`{content}`")).alias("__content")] if content else []
     asked = wanted.groupBy(F.col(f"`{path}`").alias("file")).agg(F.sort_array(F.collect_set(F.col(f"`{column}`"))).alias("columns"), *held)
 

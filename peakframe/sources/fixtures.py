@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peakframe.sources.files import located
+from peakframe.sources.shared import ship
 
 TYPES = ["Electrons", "Muons", "Jets", "BJets", "Photons", "Taus"]
 
@@ -115,6 +116,7 @@ def columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layout_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """file, path: a small Parquet file with the columns of each file of the inventory, written by executors. In files whose number ends in 1, the data of every column that ends in _eta is spoilt."""
+    ship(spark)
     wanted = columns(spark, sf_dir).groupBy("file").agg(F.sort_array(F.collect_list("column_name")).alias("columns"), F.endswith(F.first("file"), F.lit("1")).alias("bad"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,6 +157,8 @@ def put_file(path: str, data: bytes) -> None:
 def damaged_copies(files: DataFrame, block: int = 1 << 20) -> DataFrame:
     """Copies each file of (source, target, damage) in blocks, on executors: `absent` ones not at all, `truncated` ones to their half, `footer` ones with other bytes where the footer begins. Gives targets."""
 
+    ship(files.sparkSession)
+
     def copy(source: str, target: str, damage: str | None) -> None:
         system, inside = located(source)
         there, at = located(target)

@@ -1,13 +1,30 @@
-"""Tables that are read more than once: written to the folder that driver and executors share."""
+"""What driver and executors share: the package itself, and a folder for tables that are read more than once."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives executors this package, once per application. What runs Python on them calls it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_peakframe_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="spark-")), "peakframe_src.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(target)
+    sc._peakframe_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session. A local session, where all share one machine, may leave it unset and gets a folder of its own; on a cluster that is an error."""
     sc = spark.sparkContext

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from peakframe.sources.shared import written
+from peakframe.sources.shared import ship, written
 
 
 def capped_stream(files: DataFrame, key: str, order: str, size: str, most: int) -> DataFrame:
@@ -19,6 +19,7 @@ def capped_stream(files: DataFrame, key: str, order: str, size: str, most: int)
     A chunk takes files as long as their sizes sum to `most` or less; its first file always fits. State is two numbers for each key, whatever has passed; null sizes count as 0. The files of one
     key in one batch are handled in one task, in pieces as they come, so a batch should be bounded (maxFilesPerTrigger).
     """
+    ship(files.sparkSession)
     out = T.StructType([files.schema[key], files.schema[order], T.StructField(size, T.LongType()), T.StructField("chunk", T.LongType())])
 
     def run(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
