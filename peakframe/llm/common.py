@@ -4,12 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import os
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from peakframe.sources import shared
+
 #: Bytes of text that a row map holds in Python objects at once.
 SLICE_BYTES = 4_000_000
 #: Rows that go to Python in one Arrow batch, unless the application's configuration says: Spark's 10,000 texts are tens of MB in the JVM and in the worker, on the way there and back.
@@ -63,18 +62,12 @@ def code_points(text: str) -> np.ndarray:
 
 def ship(spark: SparkSession) -> None:
     """Give executors this package, and Arrow batches a size for texts, once per application."""
+    shared.ship(spark)
     sc = spark.sparkContext
-    if getattr(sc, "_peakframe_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="spark-")), "peakframe_src.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent))
-    sc.addPyFile(target)
-    if not sc.getConf().contains(BATCH_SETTING):
-        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
-    sc._peakframe_shipped = True
+    if not getattr(sc, "_peakframe_batches", False):
+        sc._peakframe_batches = True
+        if not sc.getConf().contains(BATCH_SETTING):
+            spark.conf.set(BATCH_SETTING, BATCH_ROWS)
 
 
 def shared_dir(spark: SparkSession) -> str:
