@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from peakframe.sources.shared import ship
+from peakframe.sources.shared import ship, written
 
 #: How Parquet files begin and end.
 MAGIC = b"PAR1"
@@ -24,8 +24,8 @@ MAGIC = b"PAR1"
 FAILURES = ["absent", "unreadable", "empty", "format", "truncated", "footer", "schema", "data"]
 #: Rows that are decoded at once.
 ROWS = 8192
-#: Rows of a batch of paths; each names a file that is opened.
-PATHS = 64
+#: Files that a task opens, about, and most tasks.
+FILES_A_TASK, TASKS = 16, 100_000
 
 
 class Failure(Exception):
@@ -77,9 +77,10 @@ def opened(path: str, content: bytes | None = None):
 OUTCOME = T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType()), T.StructField("message", T.StringType()), T.StructField("rows", T.LongType()), T.StructField("groups", T.IntegerType()), T.StructField("failed_groups", T.IntegerType()), T.StructField("bytes", T.LongType()), T.StructField("seconds", T.DoubleType())])
 
 
-def paths_of(files: DataFrame, path: str, content: str | None) -> DataFrame:
-    """A table of paths dealt out so that a task opens some of them, by what they are called."""
-    return files.select(F.col(f"`{path}`").alias("file"), (F.col(f"`{content}`") if content else F.lit(None).cast("binary")).alias("content")).repartition("file")
+def dealt(files: DataFrame, column: str = "file") -> DataFrame:
+    """A table with a row for each file, dealt out by number of files: as bytes its rows are few, and Spark would give them all to one task."""
+    n = max(files.sparkSession.sparkContext.defaultParallelism, min(TASKS, -(-files.count() // FILES_A_TASK)))
+    return files.repartition(n, column)
 
 
 def read_files(files: DataFrame, schema: T.StructType, path: str = "path", content: str | None = None) -> DataFrame:
@@ -132,7 +133,8 @@ def read_files(files: DataFrame, schema: T.StructType, path: str = "path", conte
                 yield from one(name, data.as_py())
 
     out = T.StructType([T.StructField("file", T.StringType()), T.StructField("row", schema), T.StructField("outcome", OUTCOME)])
-    return paths_of(files, path, content).mapInArrow(run, out)
+    listed = files.select(F.col(f"`{path}`").alias("file"), (F.col(f"`{content}`") if content else F.lit(None).cast("binary")).alias("content"))
+    return (listed if content else dealt(listed)).mapInArrow(run, out)
 
 
 def rows_of(read: DataFrame) -> DataFrame:
@@ -192,7 +194,7 @@ def readable_columns(wanted: DataFrame, path: str = "path", column: str = "colum
                 out += [(name, c, trials) for c in good]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [[], [], []], (pa.string(), pa.string(), pa.int32()), strict=True)], names=["file", "column", "trials"])
 
-    return asked.mapInArrow(run, "file string, column string, trials int").select(F.col("file").alias(path), F.col("column").alias(column), "trials")
+    return (asked if content else dealt(written(asked))).mapInArrow(run, "file string, column string, trials int").select(F.col("file").alias(path), F.col("column").alias(column), "trials")
 
 
 def read_metrics() -> list:

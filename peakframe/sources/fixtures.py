@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakframe.sources.files import located
+from peakframe.sources.files import dealt, located
 from peakframe.sources.shared import ship
 
 TYPES = ["Electrons", "Muons", "Jets", "BJets", "Photons", "Taus"]
@@ -128,7 +128,7 @@ def layout_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
                 put_file(out[-1][1], spoilt(table_, [c for c in r["columns"] if r["bad"] and c.endswith("_eta")]))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in list(zip(*out, strict=True)) or [[], []]], names=["file", "path"])
 
-    return wanted.mapInArrow(run, "file string, path string")
+    return dealt(wanted).mapInArrow(run, "file string, path string")
 
 
 def spoilt(table_: pa.Table, bad: list[str]) -> bytes:
@@ -180,7 +180,7 @@ def damaged_copies(files: DataFrame, block: int = 1 << 20) -> DataFrame:
                     copy(r["source"], r["target"], r["damage"])
             yield batch.select(["target"])
 
-    return files.select("source", "target", "damage").mapInArrow(run, "target string")
+    return dealt(files.select("source", "target", "damage"), "target").mapInArrow(run, "target string")
 
 
 # The same views as SQL, each the body of a WITH clause.
