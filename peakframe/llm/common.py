@@ -147,6 +147,6 @@ def row_map(df: DataFrame, column: str, make: Callable[[], Callable[[list], list
                 arrays = [part.column(i) for i in range(len(cols))] + [pa.array(x, type=added.field(i).type) for i, x in enumerate(out)]
                 yield pa.RecordBatch.from_arrays(arrays, names=cols + names)
             batch = part = out = arrays = None
-        give_back()
+            give_back()
 
     return source.mapInArrow(run, schema)

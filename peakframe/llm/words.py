@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from pathlib import Path
 
 import numpy as np
@@ -68,6 +69,8 @@ class JsonTokenizer:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core, and each thread would keep memory of its own
+        os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)

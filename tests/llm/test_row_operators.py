@@ -410,7 +410,7 @@ def test_languages_of_odd_rows(spark, model):
 
 
 def test_all_operators_are_registered():
-    assert Counter(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == Counter(range(1, 11))
+    assert Counter(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == Counter(range(1, 14))
 
 
 @pytest.mark.parametrize(("memo", "words"), [(50, 51), (50, 400), (None, None)])
