@@ -176,14 +176,6 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
-def test_one_of_each_of_odd_rows(spark):
-    kept = simhash.one_of_each(odd_docs(spark)).collect()
-    blank = [r for r in kept if not (r["text"] or "").strip()]
-    assert len(blank) == 1 and blank[0]["doc_id"] == 0
-    assert sum(r["text"] == "same" for r in kept) == 1 and all(r["media"] == "clash" for r in kept)
-    assert simhash.one_of_each(empty(spark)).count() == 0
-
-
 # --- revisits --------------------------------------------------------------------------------------------------------
 def test_canonical_urls(spark):
     urls = ["HTTP://WWW.Example.com:80/a/?b=2&utm_source=x&a=1#top", "https://m.example.com/a?a=1&b=2", "//example.com/a/?a=1&&b=2"]
