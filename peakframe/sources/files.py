@@ -87,7 +87,7 @@ def read_files(files: DataFrame, schema: T.StructType, path: str = "path", conte
     """file, row, outcome: a row for each row of each Parquet file that `path` names, in the columns of `schema` (cast to its types), and behind them one with the file's outcome.
 
     outcome: ok; else error, one of FAILURES, and message; how many rows came, row groups there are, and row groups that could not be read; the file's size and the time it took. As each group stands for itself, the rows of the others
-    are kept. A null path is absent; a file named twice is read twice. One file's batch of ROWS rows is held at a time.
+    are kept. A null path is absent; a file named twice is read twice. One row group is held at a time, in pieces of ROWS rows.
     """
     ship(files.sparkSession)
     names, kinds = schema.names, to_arrow_schema(schema)
