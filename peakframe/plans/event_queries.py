@@ -380,13 +380,18 @@ def combo_stats(spark, d):
     counts = [f"c_{t}" for t in TYPES]
     base = M.labelled(cut_events(spark, d)).select("fs", *counts)
     states = base.join(M.populous(base), "fs", "left_semi").distinct()
-    each = states.join(F.broadcast(combos(spark)), F.lit(True)).select("fs", "im", M.contains().alias("has"), M.fits().alias("fit"))  # states and combinations, not events
+    c, states = combos(spark), written(states)
     got = masses(spark, d).select("fs", "im").distinct().withColumn("got", F.lit(True))
-    y = each.join(got, ["fs", "im"], "left").withColumn("got", F.coalesce("got", F.lit(False)))
-    n = lambda c: F.count_if(c)
-    return y.groupBy("fs").agg(
-        n(F.col("got")).alias("calculated"), n(~F.col("got")).alias("skipped"), n(~F.col("has")).alias("no_matching_combination"), n(F.col("has") & ~F.col("fit")).alias("no_events_after_filter"),
-        F.lit(0).cast("long").alias("no_events_after_slice"), n(F.col("fit") & ~F.col("got")).alias("empty_inv_mass"),
+    # pairs that fit are among those that a state contains; the pairs of no match are what is left of all
+    has = matching(states, c, at_least).groupBy("fs").agg(F.count("*").alias("has"))
+    fit = matching(states, c).select("fs", "im").join(got, ["fs", "im"], "left").groupBy("fs").agg(F.count("*").alias("fit"), F.count("got").alias("fit_got"))
+    of = states.groupBy("fs").agg((F.count("*") * c.count()).alias("pairs"), F.count("*").alias("states"))
+    calculated = got.groupBy("fs").agg(F.count("*").alias("channels"))
+    none = lambda x: F.coalesce(F.col(x), F.lit(0))
+    y = of.join(has, "fs", "left").join(fit, "fs", "left").join(calculated, "fs", "left").withColumn("calculated", F.col("states") * none("channels"))
+    return y.select(
+        "fs", "calculated", (F.col("pairs") - F.col("calculated")).alias("skipped"), (F.col("pairs") - none("has")).alias("no_matching_combination"), (none("has") - none("fit")).alias("no_events_after_filter"),
+        F.lit(0).cast("long").alias("no_events_after_slice"), (none("fit") - none("fit_got")).alias("empty_inv_mass"),
     )
 
 
