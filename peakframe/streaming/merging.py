@@ -18,16 +18,20 @@ class MergedTable:
     """Histograms kept under a folder: a version for each batch, and a ledger that says which batches are in.
 
     A batch is merged into the version of the batch before it and written as a version of its own, under its id; then a line of the ledger names it. A batch that failed before its line was there
-    is run again: it writes its version anew from the same version before, so nothing counts twice. One whose line is there is left alone. Versions are a few thousand bins; all but the last two may go.
+    is run again: it writes its version anew from the same version before, so nothing counts twice. One whose line is there is left alone. Versions are a few thousand bins; `forget` removes those that nothing can need again.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
+    def _path(self, path: str):
+        """(file system, path) as Spark has them."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
     def _there(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        system, p = self._path(path)
+        return system.exists(p)
 
     def ledger(self) -> DataFrame:
         path = f"{self.folder}/ledger"
@@ -37,6 +41,15 @@ class MergedTable:
         """The table as batch left it; None: empty."""
         return self.spark.createDataFrame([], STORED) if batch is None else self.spark.read.schema(STORED).parquet(f"{self.folder}/version={batch}")
 
+    def forget(self) -> list[int]:
+        """Removes the versions before the one that the last batch was merged into, and gives their batches. A batch that runs again needs no earlier one."""
+        last, gone = self.last(), []
+        for r in self.ledger().filter(F.col("batch") < (last or 0) - 1).orderBy("batch").select("batch").collect():
+            system, p = self._path(f"{self.folder}/version={r['batch']}")
+            if system.delete(p, True):
+                gone.append(r["batch"])
+        return gone
+
     def last(self) -> int | None:
         return self.ledger().agg(F.max("batch")).first()[0]
 

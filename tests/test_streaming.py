@@ -64,6 +64,7 @@ def test_batch_that_fails_half_way_counts_once(spark, fails):
     assert half.last() == (fails - 1 if fails else None) and sum(r[-1] for r in held(half.table())) < values.count()
     table = merge_stream(spark, folder, values.schema, ranges, target, between=between)
     assert seen == [*range(fails + 1), *range(fails, 6)] and table.last() == 5
+    assert table.forget() == [0, 1, 2, 3] and table.forget() == []
     assert held(table.table()) == held(H.filled(H.named(values), ranges, [10.0]))
     assert [r["entries"] for r in table.ledger().orderBy("batch").collect()][-1] == values.count()
 
@@ -85,6 +86,7 @@ def test_later_files_are_merged_into_what_is_there(spark):
     merge_stream(spark, folder, values.schema, ranges, target, files_a_batch=5)
     values.limit(50).write.mode("append").parquet(folder)
     table = merge_stream(spark, folder, values.schema, ranges, target, files_a_batch=5)
+    assert table.forget() == []
     assert table.last() == 1 and held(table.table()) == held(H.filled(H.named(spark.read.parquet(folder)), ranges, [10.0]))
 
 
