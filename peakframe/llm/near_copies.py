@@ -19,7 +19,7 @@ from peakframe.llm.common import cut, row_map
 from peakframe.llm.components import components
 from peakframe.llm.simhash import TILE, UNIT, shingle_hashes, simhash, tiled_links
 
-WORDS, SIMILARITY, RADIUS = 5, 0.8, 28
+WORDS, SIMILARITY, RADIUS = 5, 0.8, 22
 #: Keys of a text and the min-hashes in each: two texts at the least similarity share no key once in 40,000 times.
 BANDS, BAND = 20, 4
 #: Rows that are broadcast to the documents; beyond it the join shuffles.
