@@ -51,20 +51,24 @@ def releases_known(spark: SparkSession) -> DataFrame:
 
 
 def complete(found: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of collections that have all of pt, eta and phi."""
-    whole = found.filter(F.col("field").isin(REQUIRED)).groupBy(*keys).agg(F.count_distinct("field").alias("k")).filter(F.col("k") == len(REQUIRED))
-    return found.join(whole, keys, "left_semi")
+    """Rows of collections that have all of pt, eta and phi. A collection has a bounded number of rows, which come together once; there is no join that the planner could take for a small one."""
+    rest = [c for c in found.columns if c not in keys]
+    held = found.dropna(subset=keys).groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("__rows"))
+    whole = F.forall(F.array(*map(F.lit, REQUIRED)), lambda f: F.exists("__rows", lambda r: r["field"] == f))
+    return held.filter(whole).select(*keys, F.inline("__rows")).select(*found.columns)
 
 
 def projected(inventory: DataFrame) -> DataFrame:
-    """file, ptype, field, column_name that each file's release schema finds in it; mass may be named m in dotted layouts."""
+    """file, ptype, field, column_name that each file's release schema finds in it; mass may be named m in dotted layouts.
+
+    The columns of a file, of which there are a bounded number, come together in one row, and schemas are broadcast: nothing else is joined.
+    """
     spark = inventory.sparkSession
-    asked = inventory.select("file", schema_name(F.col("release")).alias("release")).distinct().join(F.broadcast(release_schema(spark)), "release")
-    have = inventory.select("file", "column_name").distinct()
-    direct = asked.join(have, ["file", "column_name"]).select("file", "ptype", "field", "column_name")
-    missing = asked.filter("fallback is not null").join(have, ["file", "column_name"], "left_anti")
-    other = missing.select("file", "ptype", "field", F.col("fallback").alias("column_name")).join(have, ["file", "column_name"]).select("file", "ptype", "field", "column_name")
-    return complete(direct.unionByName(other), ["file", "ptype"])
+    asked = release_schema(spark).groupBy("release").agg(F.collect_list(F.struct("ptype", "field", "column_name", "fallback")).alias("asked"))
+    files = inventory.filter("file IS NOT NULL").groupBy("file").agg(F.collect_set(schema_name(F.col("release"))).alias("releases"), F.collect_set("column_name").alias("have"))
+    each = files.select("file", "have", F.explode("releases").alias("release")).join(F.broadcast(asked), "release").select("file", "have", F.inline("asked"))
+    name = F.when(F.array_contains("have", F.col("column_name")), F.col("column_name")).when(F.array_contains("have", F.col("fallback")), F.col("fallback"))
+    return complete(each.select("file", "ptype", "field", name.alias("column_name")).filter("column_name IS NOT NULL"), ["file", "ptype"])
 
 
 def nested_paths(inventory: DataFrame, objects: dict[str, str]) -> DataFrame:
