@@ -105,17 +105,19 @@ def first_word(text: Column, words: list[str], plural: str = "s") -> Column:
 
 
 def inferred(inventory: DataFrame) -> DataFrame:
-    """file, pattern, prefix, suffix, ptype, object, fields from column names alone. Of several objects the least name counts, a nested one without Puppi first."""
+    """file, pattern, prefix, suffix, ptype, object, fields from column names alone. Of several objects the least name counts, a nested one without Puppi first. The columns of a file come together once; all that follows is by file."""
     col = F.col("column_name")
-    flags = inventory.groupBy("file").agg(F.bool_or(F.contains(col, F.lit("."))).alias("dotted"), F.bool_or(col.startswith("pat") & F.contains(col, F.lit("__PAT."))).alias("nested"))
-    rows = inventory.select("file", "column_name").distinct().join(flags, "file")
+    files = inventory.filter("file IS NOT NULL").groupBy("file").agg(F.collect_set("column_name").alias("have"))
+    flags = files.select("file", "have", F.exists("have", lambda c: F.contains(c, F.lit("."))).alias("dotted"), F.exists("have", lambda c: c.startswith("pat") & F.contains(c, F.lit("__PAT."))).alias("nested"))
+    rows = flags.select("file", "dotted", "nested", F.explode("have").alias("column_name"))
     relevant = lambda f: F.array_join(F.array_intersect(F.array(*[F.lit(x) for x in (*REQUIRED, "mass")]), f), ",")
     # nested: pat{object}__PAT.
     inner = F.regexp_extract(col, r"^pat(.*?)__PAT\.", 1)
     nested = rows.filter(F.col("nested") & F.contains(col, F.lit("__PAT."))).select("file", inner.alias("object"), first_word(inner, WORDS_NESTED).alias("ptype"), col.alias("c"))
-    best = nested.filter("ptype is not null").groupBy("file", "ptype").agg(F.min(F.struct(F.contains("object", F.lit("Puppi")).alias("p"), "object"))["object"].alias("object"))
     marks = F.array_compact(F.array(*[F.when(F.contains("c", F.lit(i)), f) for f, i in INDICATORS.items()]))
-    got = nested.join(best, ["file", "ptype", "object"]).select("file", "ptype", "object", F.explode(marks).alias("f")).groupBy("file", "ptype", "object").agg(F.collect_set("f").alias("fs"))
+    objects = nested.filter("ptype is not null").groupBy("file", "ptype", "object").agg(F.array_distinct(F.flatten(F.collect_set(marks))).alias("fs"))
+    best = objects.groupBy("file", "ptype").agg(F.min(F.struct(F.contains("object", F.lit("Puppi")).alias("p"), "object", "fs")).alias("b"))
+    got = best.select("file", "ptype", "b.object", "b.fs").filter(F.size("fs") > 0)
     a = got.select("file", F.lit("dotted").alias("pattern"), F.lit("pat").alias("prefix"), F.lit("__PAT.").alias("suffix"), "ptype", "object", relevant("fs").alias("fields"))
     # dotted: {Analysis}{object}{AuxDyn}.{field}
     base, field = F.regexp_extract(col, r"^(.*)\.[^.]*$", 1), F.regexp_extract(col, r"\.([^.]*)$", 1)
