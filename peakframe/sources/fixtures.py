@@ -104,14 +104,21 @@ TABLES = {0: "CollectionTree", 1: "Events", 2: "mini", 3: "Events"}
 RELEASES = {0: "2024r-pp_mc", 1: "record_30529", 2: "2025e-13tev-beta", 3: "unknown"}
 
 
+#: Files of the inventory in a partition.
+INVENTORY_FILES = 20_000
+
+
 def columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The column inventory: file, release, table, column_name."""
-    k = (F.col("c_custkey") % 4).cast("int")
+    """The column inventory: file, release, table, column_name. Files are dealt by name, a bounded number to a task, before their columns are listed: a few megabytes of customers are many rows, and what is done by file needs no other shuffle."""
+    customers = table(spark, sf_dir, "customer")
+    n = max(spark.sparkContext.defaultParallelism, -(-customers.count() // INVENTORY_FILES))
+    k = F.col("k")
     by = lambda d: F.element_at(F.create_map(*[F.lit(x) for kv in d.items() for x in kv]), k)
     names = F.when(k == 0, F.array(*map(F.lit, INVENTORY[0])))
     for i in (1, 2, 3):
         names = names.when(k == i, F.array(*map(F.lit, INVENTORY[i])))
-    return table(spark, sf_dir, "customer").select(F.concat(F.lit("file"), F.col("c_custkey").cast("string")).alias("file"), by(RELEASES).alias("release"), by(TABLES).alias("table"), F.explode(names).alias("column_name"))
+    files = customers.select(F.concat(F.lit("file"), F.col("c_custkey").cast("string")).alias("file"), (F.col("c_custkey") % 4).cast("int").alias("k")).repartition(n, "file")
+    return files.select("file", by(RELEASES).alias("release"), by(TABLES).alias("table"), F.explode(names).alias("column_name"))
 
 
 def layout_files(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
