@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from peakframe.functions.labels import FS_ORDER, LETTERS, REST_MASS, four_vector, fs_label, im_label, mev_to_gev, particle_mass, signed_mass, total
 from peakframe.operators.matching import at_least, exactly, matching
-from peakframe.operators.selection import valid_final_state
-from peakframe.sources.shared import written
+from peakframe.operators.selection import pinned, valid_final_state
+from peakframe.sources.shared import looked_up, stored, written
 
 #: Events that a final state has at least, and the most particles of a combination.
 MIN_EVENTS, MOST = 10, 4
@@ -74,14 +74,21 @@ def fits(types=FS_ORDER) -> Column:
     return reduce(lambda x, y: x & y, [exactly(F.col(f"n_{t}"), F.col(f"s_{t}"), F.col(f"c_{t}")) for t in types])
 
 
+def populous_states(df: DataFrame, least: int = MIN_EVENTS, scope: str = "global") -> DataFrame:
+    """(source_file,) fs and counts c_{T} of the final states that populous() keeps. Events are gone through once: its numbers are sums of theirs."""
+    keys = ["fs"] if scope == "global" else ["source_file", "fs"]
+    states = written(df.groupBy(*keys, *[f"c_{t}" for t in FS_ORDER]).agg(F.count("*").alias("k")))
+    enough = states.groupBy(*keys).agg(F.sum("k").alias("n")).filter(F.col("n") >= least)
+    return states.join(enough.drop("n"), keys, "left_semi").drop("k")
+
+
 def channels(df: DataFrame, combos: DataFrame, least: int = MIN_EVENTS, scope: str = "global") -> DataFrame:
     """(final state, combination) pairs that can have masses, for an equi-join with events on the state.
 
     States are a few thousand rows whatever the events; a bitmap index gives each its combinations, so no condition is tried for each pair.
     """
-    keys = ["fs"] if scope == "global" else ["source_file", "fs"]
     counts = [f"c_{t}" for t in FS_ORDER]
-    states = df.groupBy(*keys, *counts).agg(F.count("*").alias("k")).join(populous(df, least, scope).drop("n"), keys, "left_semi").drop("k")
+    states = populous_states(df, least, scope)
     if scope == "global":
         return matching(states, combos)
     return states.join(matching(states.select("fs", *counts).distinct(), combos), ["fs", *counts])
@@ -96,30 +103,45 @@ def vectors(events: DataFrame, use_stored_mass: bool = False) -> DataFrame:
     return events.withColumns({f"v_{t}": F.transform(F.sort_array(t, asc=False), of(t)) for t in FS_ORDER})
 
 
-def chosen_mass(types=FS_ORDER) -> Column:
-    """Mass of the particles that n_{T}, s_{T} choose from v_{T}."""
-    parts = [F.slice(f"v_{t}", F.col(f"s_{t}") + 1, F.col(f"n_{t}")) for t in types]
-    return signed_mass(total(F.concat(*parts)))
+def chosen(types=FS_ORDER) -> Column:
+    """The four-vectors that n_{T}, s_{T} choose from v_{T}."""
+    return F.concat(*[F.slice(f"v_{t}", F.col(f"s_{t}") + 1, F.col(f"n_{t}")) for t in types])
 
 
 def mass_spectrum(events: DataFrame, combos: DataFrame, least: int = MIN_EVENTS, scope: str = "global", use_stored_mass: bool = False, digits: int | None = 6) -> DataFrame:
     """fs, im, source_file, event_id, m (GeV) for each event and combination that fits its final state exactly; final states with few events are left out.
 
     A channel whose masses are all 0 is left out too. Masses are rounded to `digits` so that equal events give equal masses on any machine.
+
+    Events are read, cut and labelled once: every valid state has its combinations beforehand, from parameters alone, and broadcast. Which states have few events, and which channels only zeros, is told by the
+    stored masses, as an event has one in each channel of its state.
     """
-    base = labelled(events)
     keys = ["fs"] if scope == "global" else ["source_file", "fs"]
-    counts = [f"c_{t}" for t in FS_ORDER]
-    ready = vectors(base, use_stored_mass).select("event_id", "source_file", "fs", *counts, *[f"v_{t}" for t in FS_ORDER])
-    pairs = channels(base.select("source_file", "fs", *counts), combos, least, scope)
-    m = mev_to_gev(chosen_mass())
+    pairs = looked_up(matching(valid_states(events.sparkSession), combos).select("fs", "im", *[f"{k}_{t}" for t in FS_ORDER for k in "ns"]))
+    m = mev_to_gev(signed_mass(F.col("__v")))
     if digits is not None:
         m = F.round(m, digits) + 0.0
-    return drop_empty(written(ready.join(pairs, keys + counts).select("fs", "im", "source_file", "event_id", m.alias("m"))))
+    ready = vectors(labelled(events), use_stored_mass).select("event_id", "source_file", "fs", *[f"v_{t}" for t in FS_ORDER])
+    # the mass names its four-vector many times, which is computed once
+    summed = pinned(ready.join(pairs, "fs").select("fs", "im", "source_file", "event_id", *[c for t in FS_ORDER for c in (f"n_{t}", f"s_{t}", f"v_{t}")]), {"__v": total(chosen())})
+    found = stored(summed.select("fs", "im", "source_file", "event_id", m.alias("m")), "masses")
+    times = pairs.groupBy("fs", "im").agg(F.count("*").alias("times"))  # more than 1 where a combination is listed again
+    sizes = found.groupBy(*keys, "im").agg(F.count("*").alias("k"), F.bool_or(F.col("m") == 0).alias("zero"), F.bool_or(F.col("m") != 0).alias("some"))
+    enough = written(sizes.join(times, ["fs", "im"]).filter(F.col("k") >= F.col("times") * least))
+    empty = enough.groupBy("fs", "im").agg(F.bool_or("zero").alias("zero"), F.bool_or("some").alias("some")).filter("zero AND NOT some")
+    good = looked_up(enough.join(empty, ["fs", "im"], "left_anti").select(*keys, "im"))
+    return found.join(good, [*keys, "im"], "left_semi").select("fs", "im", "source_file", "event_id", "m")
+
+
+def valid_states(spark: SparkSession, cap: int = 4) -> DataFrame:
+    """fs and counts c_{T} of every valid final state, some thousands."""
+    df = spark.range(1).select()
+    for t in FS_ORDER:
+        df = df.withColumn(f"c_{t}", F.explode(F.sequence(F.lit(0), F.lit(cap))))
+    return df.filter(valid_final_state(counts_of())).withColumn("fs", fs_label(counts_of(), cap))
 
 
 def drop_empty(masses: DataFrame) -> DataFrame:
-    """Without channels (fs, im) of which every mass is 0; they are looked for among the zeros alone. Pass a written table."""
-    zeros = masses.filter("m = 0").select("fs", "im").distinct()
-    empty = written(zeros.join(masses.filter("m != 0").select("fs", "im").distinct(), ["fs", "im"], "left_anti"))
-    return masses if empty.isEmpty() else masses.join(empty, ["fs", "im"], "left_anti")
+    """Without channels (fs, im) of which every mass is 0. Pass a written table."""
+    empty = written(masses.groupBy("fs", "im").agg(F.bool_or(F.col("m") == 0).alias("zero"), F.bool_or(F.col("m") != 0).alias("some")).filter("zero AND NOT some").select("fs", "im"))
+    return masses if empty.isEmpty() else masses.join(looked_up(empty), ["fs", "im"], "left_anti")

@@ -1,6 +1,7 @@
 """Cleaning of mass spectra: histogram of each key, cut left of the right-most highest bin, tail split at the first empty bin.
 
-`values` tables have key columns and m. Every step is a partial aggregation by (key, bin) and a join back on the key, so one very common key spreads over tasks.
+`values` tables have key columns and m. Every step is a partial aggregation by (key, bin) and a join back on the key, so one very common key spreads over tasks. Tables of a row for each key
+are written, so that values are read in one scan a step, and broadcast while they are small: values are neither shuffled nor sorted then.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peakframe.functions.labels import bin_index, edge, n_bins
+from peakframe.sources.shared import looked_up
 
 WIDTH = 10.0
 KEYS = ["fs", "im"]
@@ -21,7 +23,7 @@ def ranges(values: DataFrame, keys: list[str] = KEYS, width: float = WIDTH) -> D
 
 def binned(values: DataFrame, keys: list[str] = KEYS, width: float = WIDTH) -> DataFrame:
     """values with lo, hi, nb of the key and bin (null where the key has one value only)."""
-    return values.join(ranges(values, keys, width), keys).withColumn("bin", bin_index(F.col("m"), F.col("lo"), F.col("hi"), F.col("nb")))
+    return values.join(looked_up(ranges(values, keys, width)), keys).withColumn("bin", bin_index(F.col("m"), F.col("lo"), F.col("hi"), F.col("nb")))
 
 
 def bin_counts(values: DataFrame, keys: list[str] = KEYS, width: float = WIDTH) -> DataFrame:
@@ -37,7 +39,7 @@ def peaks(counts: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 def peak_cut(values: DataFrame, keys: list[str] = KEYS, width: float = WIDTH) -> DataFrame:
     """Values at or right of their key's peak; keys without bins keep all."""
-    found = peaks(bin_counts(values, keys, width), keys).select(*keys, "peak")
+    found = looked_up(peaks(bin_counts(values, keys, width), keys).select(*keys, "peak"))
     return values.join(found, keys, "left").filter(F.col("peak").isNull() | (F.col("m") >= F.col("peak"))).drop("peak")
 
 
@@ -51,7 +53,7 @@ def first_gaps(counts: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 def tail_split(values: DataFrame, keys: list[str] = KEYS, width: float = WIDTH) -> DataFrame:
     """values with part: `outliers` from the first empty bin on (if it isn't bin 0 or 1), else `main`."""
-    gaps = first_gaps(bin_counts(values, keys, width), keys).filter("gap_bin > 1").select(*keys, "gap")
+    gaps = looked_up(first_gaps(bin_counts(values, keys, width), keys).filter("gap_bin > 1").select(*keys, "gap"))
     return values.join(gaps, keys, "left").withColumn("part", F.when(F.col("m") >= F.col("gap"), "outliers").otherwise("main")).drop("gap")
 
 

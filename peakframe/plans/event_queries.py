@@ -377,11 +377,8 @@ SELECT fs, count(*) FILTER (got) AS calculated, count(*) FILTER (NOT got) AS ski
  0::BIGINT AS no_events_after_slice, count(*) FILTER (fit AND NOT got) AS empty_inv_mass FROM y GROUP BY fs""",
 )
 def combo_stats(spark, d):
-    counts = [f"c_{t}" for t in TYPES]
-    base = M.labelled(cut_events(spark, d)).select("fs", *counts)
-    states = base.join(M.populous(base), "fs", "left_semi").distinct()
-    c, states = combos(spark), written(states)
-    got = masses(spark, d).select("fs", "im").distinct().withColumn("got", F.lit(True))
+    c, states = combos(spark), written(M.populous_states(M.labelled(cut_events(spark, d))))
+    got = written(masses(spark, d).select("fs", "im").distinct().withColumn("got", F.lit(True)))
     # pairs that fit are among those that a state contains; the pairs of no match are what is left of all
     has = matching(states, c, at_least).groupBy("fs").agg(F.count("*").alias("has"))
     fit = matching(states, c).select("fs", "im").join(got, ["fs", "im"], "left").groupBy("fs").agg(F.count("*").alias("fit"), F.count("got").alias("fit_got"))

@@ -9,6 +9,10 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a table that is broadcast; beyond it a join shuffles.
+BROADCAST_ROWS = 100_000
 
 
 def ship(spark: SparkSession) -> None:
@@ -47,3 +51,16 @@ def written(df: DataFrame) -> DataFrame:
     """df materialised in the shared folder, so that what reads it twice doesn't compute it twice."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder as Parquet: for large tables, of which readers need some columns each."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def looked_up(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df, a row for each key, written for joins with a large table: broadcast if it has at most `most` rows, so that the large one is neither shuffled nor sorted."""
+    table = written(df)
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
