@@ -114,8 +114,9 @@ def src_accessible_cols(spark, d):
     inventory = X.columns(spark, d)
     files = written(X.layout_files(spark, d, scratch(spark, "layouts")))
     wanted = written(Y.projected(inventory))
-    readable = Z.readable_columns(wanted.select("file", "column_name").distinct().join(files, "file"))
-    return Y.accessible(wanted, readable.join(files, "path").select("file", "column_name"))
+    # a row for each file, of a size that the planner doesn't know: never broadcast
+    readable = Z.readable_columns(wanted.select("file", "column_name").distinct().join(files.hint("merge"), "file"))
+    return Y.accessible(wanted, readable.join(files.hint("merge"), "path").select("file", "column_name"))
 
 
 @query("required_fields_subset", f"WITH {PROJ} SELECT DISTINCT file, ptype FROM pj")

@@ -24,8 +24,8 @@ MAGIC = b"PAR1"
 FAILURES = ["absent", "unreadable", "empty", "format", "truncated", "footer", "schema", "data"]
 #: Rows that are decoded at once.
 ROWS = 8192
-#: Files that a task opens, about, and most tasks.
-FILES_A_TASK, TASKS = 16, 100_000
+#: Files that a task opens, about, and most tasks: the driver holds something of each task of a stage.
+FILES_A_TASK, TASKS = 16, 2_000
 
 
 class Failure(Exception):

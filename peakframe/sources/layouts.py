@@ -148,7 +148,7 @@ def picked_table(available: DataFrame, candidates: list[str], default: str = "Co
 
 def accessible(wanted: DataFrame, readable: DataFrame) -> DataFrame:
     """Rows of wanted (file, ptype, field, column_name) that are readable (file, column_name) and whose collection is still complete."""
-    return complete(wanted.join(readable, ["file", "column_name"], "left_semi"), ["file", "ptype"])
+    return complete(wanted.join(readable.hint("merge"), ["file", "column_name"], "left_semi"), ["file", "ptype"])
 
 
 def object_types(inventory: DataFrame) -> DataFrame:
